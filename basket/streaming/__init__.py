@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference answers every question in batch over stored tables: it has no
+stream source, watermark, window or state.  Nothing is built here on purpose
+(see README); the batch queries are plain DataFrame functions, so a caller can
+apply them per micro-batch with ``foreachBatch`` if needed.
+"""
