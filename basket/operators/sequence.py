@@ -86,32 +86,42 @@ def sequence_within(
     ensure_checkpoint_dir(df.sparkSession)
     local = local.checkpoint(eager=True)
 
-    # 3. Slices that continue in another partition can only sit at partition edges.
-    tails = local.filter(F.col(_LRN) == F.col(_LCNT))
-    if keys:
-        key = F.struct(*keys)
-        edges = local.groupBy(_PID).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
-        edge_keys = edges.select(_PID, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("k"))
-        split = (
-            edge_keys.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("k")))
-            .filter(F.col("_n") > 1)
-            .select(F.col(_PID).alias("_e_pid"), *[F.col(f"k.{c}").alias(f"_e_{c}") for c in keys])
-        )
-        # split has at most two rows per range partition: bounded by n.
-        on = _null_safe_on(tails, split, [(_PID, "_e_pid")] + [(c, f"_e_{c}") for c in keys])
-        tails = tails.join(F.broadcast(split), on, "left_semi")
-        fw = Window.partitionBy(*keys).orderBy(_PID)
-    else:
-        # One group: every partition is a slice of it; one tail row per partition.
-        fw = Window.orderBy(_PID)
-
-    fix = tails.select(
+    # 3. A group can continue into the next partition only as the last group of
+    # one partition and the first group of the next.  One aggregate per
+    # partition (partial, so one row per task) gives both edge groups: the row
+    # struct ordered like the range key makes min() the first row and max() the
+    # last row, which carries the group's local count and its last values.
+    first = F.min(F.struct(*[F.col(c) for c in keys + order], F.col(_LCNT).alias("_cnt")))
+    last = F.max(F.struct(*[F.col(c) for c in keys + order], F.col(_LCNT).alias("_cnt"),
+                          *[F.col(c).alias(f"_last_{c}") for c in lags]))
+    edges = local.groupBy(_PID).agg(first.alias("_first"), last.alias("_last"))
+    first_entry = F.struct(
+        *[F.col(f"_first.{c}").alias(c) for c in keys],
+        F.col("_first._cnt").alias("_cnt"),
+        *[F.lit(None).alias(f"_last_{c}") for c in lags],
+    )
+    last_entry = F.struct(
+        *[F.col(f"_last.{c}").alias(c) for c in keys],
+        F.col("_last._cnt").alias("_cnt"),
+        *[F.col(f"_last._last_{c}").alias(f"_last_{c}") for c in lags],
+    )
+    # A partition holding a single group lists it once.
+    one_group = F.struct(*[F.col(f"_first.{c}") for c in keys]).eqNullSafe(
+        F.struct(*[F.col(f"_last.{c}") for c in keys])
+    ) if keys else F.lit(True)
+    edge_rows = edges.select(
+        _PID,
+        F.explode(F.when(one_group, F.array(last_entry)).otherwise(F.array(first_entry, last_entry))).alias("e"),
+    ).select(_PID, "e.*")
+    # At most 2 rows per range partition: bounded by n, whatever the data size.
+    fw = Window.partitionBy(*keys).orderBy(_PID) if keys else Window.orderBy(_PID)
+    fix = edge_rows.select(
         F.col(_PID).alias("_f_pid"),
         *[F.col(c).alias(f"_f_{c}") for c in keys],
-        F.sum(_LCNT).over(fw.rowsBetween(Window.unboundedPreceding, -1)).alias(_OFF),
+        F.sum("_cnt").over(fw.rowsBetween(Window.unboundedPreceding, -1)).alias(_OFF),
         F.lead(_PID).over(fw).isNotNull().alias(_MORE),
-        *[F.lag(c).over(fw).alias(f"_f_carry_{c}") for c in lags],
-    )
+        *[F.lag(f"_last_{c}").over(fw).alias(f"_f_carry_{c}") for c in lags],
+    ).checkpoint(eager=True)
 
     # 4. Stitch: fix has at most one row per (partition, edge group), so it is
     # bounded by 2 * n rows and safe to broadcast whatever the data size.
@@ -141,3 +151,11 @@ def dense_ids(df: DataFrame, value_col: str, id_col: str, *, num_partitions: int
     values = df.select(value_col).distinct()
     ranked = sequence_within(values, [], [value_col], num_partitions=num_partitions)
     return ranked.select(value_col, F.col("seq").alias(id_col))
+
+
+def dense_ids_by(df: DataFrame, kind_col: str, value_col: str, id_col: str, *, num_partitions: int | None = None) -> DataFrame:
+    """Dense ranks of ``value`` computed separately for each ``kind`` in one pass:
+    ``(kind, value, id)``.  Several small dictionaries share one range shuffle."""
+    values = df.select(kind_col, value_col).distinct()
+    ranked = sequence_within(values, [kind_col], [value_col], num_partitions=num_partitions)
+    return ranked.select(kind_col, value_col, F.col("seq").alias(id_col))

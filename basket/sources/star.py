@@ -29,7 +29,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basket.operators.sequence import dense_ids, sequence_within
+from basket.operators.sequence import dense_ids_by, sequence_within
 from basket.sources import schema as S
 from basket.sources.tables import Tables
 
@@ -66,13 +66,25 @@ def star_products(part: DataFrame) -> DataFrame:
         F.split_part("product_name", F.lit(" "), F.lit(1)).alias("aisle"),
         F.split_part("product_name", F.lit(" "), F.lit(2)).alias("department"),
     )
-    product_ids = dense_ids(names, "product_name", "product_id")
-    aisle_ids = dense_ids(named, "aisle", "aisle_id")
-    department_ids = dense_ids(named, "department", "department_id")
+    # The three dictionaries are ranked together, one sequence per kind.
+    words = named.select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("product").alias("kind"), F.col("product_name").alias("value")),
+                F.struct(F.lit("aisle").alias("kind"), F.col("aisle").alias("value")),
+                F.struct(F.lit("department").alias("kind"), F.col("department").alias("value")),
+            )
+        ).alias("w")
+    ).select("w.kind", "w.value")
+    ids = dense_ids_by(words, "kind", "value", "id")
+
+    def ids_of(kind: str, name: str, id_name: str) -> DataFrame:
+        return ids.filter(F.col("kind") == kind).select(F.col("value").alias(name), F.col("id").alias(id_name))
+
     return (
-        named.join(product_ids, "product_name")
-        .join(aisle_ids, "aisle")
-        .join(department_ids, "department")
+        named.join(ids_of("product", "product_name", "product_id"), "product_name")
+        .join(ids_of("aisle", "aisle", "aisle_id"), "aisle")
+        .join(ids_of("department", "department", "department_id"), "department")
         .select(
             F.col("product_id").cast("long"),
             "product_name",
