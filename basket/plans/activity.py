@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basket.functions.columns import as_double, basket_bucket, bucket_rank
+from basket.functions.columns import as_double, basket_bucket, bucket_rank, ratio
 from basket.operators.facts import basket_sizes
 from basket.sources.schema import SPLITS
 
@@ -30,12 +30,22 @@ def orders_by_hour(orders: DataFrame) -> DataFrame:
 
 
 def avg_items_by_dow(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Mean basket size per weekday; orders without items do not count."""
+    """Mean basket size per weekday; orders without items do not count.
+
+    A basket is (split, order).  Items are counted per order with one count per
+    split (partial aggregation, one shuffle on order_id); the result is already
+    partitioned on order_id, so joining orders moves only the orders side.  The
+    mean is sum(items) / number of baskets, the same integers the per-basket
+    average divides.
+    """
+    per_order = items.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.size(F.collect_set("eval_set")).alias("baskets"),  # at most one per split
+    )
     return (
-        basket_sizes(items)
-        .join(orders.select("order_id", "order_dow"), "order_id")
+        per_order.join(orders.select("order_id", "order_dow"), "order_id")
         .groupBy("order_dow")
-        .agg(F.avg("num_items").alias("avg_items"))
+        .agg(ratio(F.sum("n"), F.sum("baskets")).alias("avg_items"))
         .orderBy(F.col("order_dow").asc_nulls_first())
     )
 

@@ -10,9 +10,10 @@ Feature table (one row per user, all doubles):
 * users without any item get 0 for the basket features, single-order users 0 days.
 
 Scale: every step is a (partially aggregated) groupBy or an equi-join on a key that
-is unique on one side (order_id in orders, user_id in per-user tables); the fact is
-joined to orders once and feeds both per-order and per-department aggregates.  A
-user with a huge history only makes per-user aggregate buffers bigger, not a task.
+is unique on one side (order_id in orders, user_id in per-user tables).  The fact
+is reduced to one row per order before it meets orders, and that per-order table
+feeds both the basket and the department aggregates.  A user with a huge history
+only makes per-user aggregate buffers bigger, not a task.
 
 k-means is Spark ML (distributed Lloyd iterations, k-means|| seeding).  The
 training rows are pinned to a layout (hash partitioned and sorted on user_id)
@@ -74,26 +75,37 @@ def user_features(
         F.avg("order_hour_of_day").alias("avg_hour"),
     )
 
-    # Items of the kept orders, with their user and department (one fact join).
-    user_items = (
+    # Per order first (partial aggregation: the fact never shuffles as raw rows),
+    # both splits together; the department set of an order is bounded by the
+    # department dimension.  The result is partitioned on order_id, so the join
+    # to orders moves only the orders side.
+    per_order = (
         items.select("order_id", "product_id", "reordered")
-        .join(o.select("order_id", "user_id"), "order_id")
         .join(products.select("product_id", "department_id"), "product_id", "left")
+        .groupBy("order_id")
+        .agg(
+            F.count(F.lit(1)).alias("num_items"),
+            F.avg(F.col("reordered").cast("double")).alias("reorder_rate_order"),
+            F.collect_set("department_id").alias("departments"),
+        )
+        .join(o.select("order_id", "user_id"), "order_id")
     )
-
-    per_order = user_items.groupBy("user_id", "order_id").agg(
-        F.count(F.lit(1)).alias("num_items"),
-        F.avg(F.col("reordered").cast("double")).alias("reorder_rate_order"),
-    )
-    user_basket = per_order.groupBy("user_id").agg(
-        F.avg("num_items").alias("avg_items_per_order"),
-        F.avg("reorder_rate_order").alias("reorder_rate_user"),
+    # One per-user aggregate for the basket and department features, so the
+    # per-order table (and the fact below it) is computed once: each order's
+    # department set is exploded, and only its first row (or its only row, when
+    # the set is empty) carries the order's count and rate into the averages.
+    exploded = per_order.select(
+        "user_id", "num_items", "reorder_rate_order", F.posexplode_outer("departments").alias("pos", "department_id")
     )
-
+    order_row = F.col("pos").isNull() | (F.col("pos") == 0)
     distinct_depts = F.count_distinct("department_id") if exact_departments else F.approx_count_distinct("department_id")
-    user_depts = user_items.groupBy("user_id").agg(distinct_depts.alias("dept_diversity"))
+    user_items = exploded.groupBy("user_id").agg(
+        F.avg(F.when(order_row, F.col("num_items"))).alias("avg_items_per_order"),
+        F.avg(F.when(order_row, F.col("reorder_rate_order"))).alias("reorder_rate_user"),
+        distinct_depts.alias("dept_diversity"),
+    )
 
-    feats = user_orders.join(user_basket, "user_id", "left").join(user_depts, "user_id", "left")
+    feats = user_orders.join(user_items, "user_id", "left")
     return feats.select(
         "user_id",
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in FEATURES],
