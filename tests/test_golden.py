@@ -1,0 +1,144 @@
+"""Golden mini-tables: one test per edge case of FIXTURES.md section 4."""
+
+import pytest
+
+from basket.plans import catalog
+from basket.plans import segments as G
+from tests.mini import PRODUCTS, item, make, orders_row
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def run(t, key, **kw):
+    return rows(catalog.run(t, key, **kw))
+
+
+def test_bucket_edges(spark):
+    sizes = [5, 6, 10, 11, 20, 21]
+    orders = [orders_row(i, 1) for i in range(len(sizes))]
+    prior = [item(i, 10, pos=k) for i, n in enumerate(sizes) for k in range(n)]
+    t = make(spark, orders, prior)
+    assert run(t, "basket_size_buckets") == [("1-5", 1), ("6-10", 2), ("11-20", 2), ("21+", 1)]
+
+
+def test_order_in_both_splits(spark):
+    t = make(spark, [orders_row(1, 1, dow=3)], [item(1, 10), item(1, 20)], [item(1, 10), item(1, 20), item(1, 30)])
+    assert run(t, "kpi") == [(1, 5, 5.0)]
+    assert run(t, "basket_size_buckets") == [("1-5", 2)]
+    assert run(t, "avg_items_by_dow") == [(3, 2.5)]
+    assert run(t, "avg_items_per_order_by_eval_set") == [("prior", 2.0), ("train", 3.0)]
+
+
+def test_unknown_product(spark):
+    t = make(spark, [orders_row(1, 1)], [item(1, 10, 1), item(1, 999, 0)])
+    assert [r[0] for r in run(t, "top_products")] == [10]
+    assert run(t, "sales_by_department") == [(1, "produce", 1, 100.0)]
+    assert run(t, "reorder_rate_by_department") == [(1, "produce", 1.0, 1)]
+    assert run(t, "kpi") == [(1, 2, 2.0)]
+    assert run(t, "reorder_rate_global") == [(0.5,)]
+    f = G.user_features(t.orders, t.order_items, t.products).collect()[0]
+    assert f.dept_diversity == 1.0
+
+
+def test_product_with_unknown_department(spark):
+    products = PRODUCTS + [(40, "cheese", 2, 99)]
+    t = make(spark, [orders_row(1, 1)], [item(1, 40), item(1, 40), item(1, 10)], products=products)
+    assert run(t, "top_products")[0] == (40, "cheese", 2)
+    assert run(t, "sales_by_department") == [(1, "produce", 1, 100.0)]
+    assert [r[0] for r in run(t, "reorder_rate_by_department")] == [1]
+
+
+def test_min_count_is_inclusive(spark):
+    t = make(spark, [orders_row(1, 1)], [item(1, 10, 1), item(1, 10, 0), item(1, 10, 1), item(1, 20, 1)])
+    assert run(t, "top_reordered_products", n=10, min_count=3) == [(10, "apple", 3, 2 / 3)]
+
+
+def test_null_reordered_is_skipped_by_rate_but_counted(spark):
+    t = make(spark, [orders_row(1, 1)], [item(1, 10, 1), item(1, 10, None), item(1, 10, 0)])
+    assert run(t, "top_reordered_products", n=10, min_count=1) == [(10, "apple", 3, 0.5)]
+    assert run(t, "reorder_rate_global") == [(0.5,)]
+    assert run(t, "reorder_rate_by_department") == [(1, "produce", 0.5, 3)]
+
+
+def test_empty_train_split(spark):
+    t = make(spark, [orders_row(1, 1)], [item(1, 10, 1), item(1, 20, 0)])
+    assert run(t, "items_sold_by_eval_set") == [("prior", 2)]
+    assert run(t, "avg_items_per_order_by_eval_set") == [("prior", 2.0), ("train", None)]
+    assert run(t, "reorder_rate_by_eval_set") == [("prior", 0.5), ("train", None)]
+
+
+def test_empty_fact(spark):
+    t = make(spark, [orders_row(1, 1)], [])
+    assert run(t, "kpi") == [(1, 0, None)]
+    assert run(t, "reorder_rate_global") == [(None,)]
+    assert run(t, "items_sold_by_eval_set") == []
+
+
+def test_null_weekday_sorts_first(spark):
+    t = make(spark, [orders_row(1, 1, dow=2), orders_row(2, 1, dow=None), orders_row(3, 2, dow=0)], [])
+    assert run(t, "orders_by_dow") == [(None, 1), (0, 1), (2, 1)]
+
+
+def test_single_order_user_and_user_without_items(spark):
+    orders = [orders_row(1, 1, days=None), orders_row(2, 2, days=None), orders_row(3, 2, number=2, days=4.0)]
+    t = make(spark, orders, [item(1, 10, 1)])
+    f = {r.user_id: r for r in G.user_features(t.orders, t.order_items, t.products).collect()}
+    assert f[1].avg_days_between_orders == 0.0 and f[1].avg_items_per_order == 1.0
+    assert f[2].num_orders == 2.0 and f[2].avg_days_between_orders == 4.0
+    assert (f[2].avg_items_per_order, f[2].reorder_rate_user, f[2].dept_diversity) == (0.0, 0.0, 0.0)
+
+
+def test_user_rate_is_mean_of_order_rates(spark):
+    orders = [orders_row(1, 7), orders_row(2, 7, number=2)]
+    prior = [item(1, 10, 1), item(2, 10, 0), item(2, 20, 0), item(2, 30, 0)]
+    t = make(spark, orders, prior)
+    f = G.user_features(t.orders, t.order_items, t.products).collect()[0]
+    assert f.reorder_rate_user == 0.5
+    assert f.avg_items_per_order == 2.0
+    assert f.dept_diversity == 2.0
+
+
+def test_ties_broken_by_id(spark):
+    t = make(spark, [orders_row(1, 1)], [item(1, 30), item(1, 10), item(1, 20), item(1, 20)])
+    assert [r[0] for r in run(t, "top_products")] == [20, 10, 30]
+    orders = [orders_row(i, u) for i, u in enumerate([5, 3, 3, 5, 9])]
+    t = make(spark, orders, [])
+    assert run(t, "top_users_by_orders", n=2) == [(3, 2), (5, 2)]
+
+
+def test_duplicate_product_row_counts_twice(spark):
+    products = PRODUCTS + [(10, "apple", 1, 1)]
+    t = make(spark, [orders_row(1, 1)], [item(1, 10, 1), item(1, 20, 0)], products=products)
+    assert run(t, "top_products")[0] == (10, "apple", 2)
+    top = run(t, "top_reordered_products", n=10, min_count=1)
+    assert top.count((10, "apple", 1, 1.0)) == 2
+
+
+def test_too_few_points_for_k(spark):
+    orders = [orders_row(i, 1, number=i + 1) for i in range(6)]
+    t = make(spark, orders, [item(0, 10)])
+    feats = G.user_features(t.orders, t.order_items, t.products)
+    with pytest.raises(ValueError):
+        G.fit_segments(G.training_rows(feats, min_orders=1), k=2)
+
+
+def test_malformed_csv_int_is_null_in_permissive_mode(spark, tmp_path):
+    from basket.sources.tables import load_tables
+
+    (tmp_path / "orders.csv").write_text(
+        "order_id,user_id,eval_set,order_number,order_dow,order_hour_of_day,days_since_prior_order\n"
+        "1,1,prior,1,x,9,\n2,1,train,2,3,10,7.0\n"
+    )
+    (tmp_path / "order_products__prior.csv").write_text("order_id,product_id,add_to_cart_order,reordered\n1,10,1,0\n")
+    (tmp_path / "order_products__train.csv").write_text("order_id,product_id,add_to_cart_order,reordered\n2,10,1,1\n")
+    (tmp_path / "products.csv").write_text("product_id,product_name,aisle_id,department_id\n10,apple,1,1\n")
+    (tmp_path / "aisles.csv").write_text("aisle_id,aisle\n1,fresh\n")
+    (tmp_path / "departments.csv").write_text("department_id,department\n1,produce\n")
+    t = load_tables(spark, str(tmp_path), "csv")
+    assert run(t, "orders_by_dow") == [(None, 1), (3, 1)]
+    assert run(t, "items_sold_by_eval_set") == [("prior", 1), ("train", 1)]
+    assert run(t, "reorder_rate_by_eval_set") == [("prior", 0.0), ("train", 1.0)]
+    with pytest.raises(Exception):
+        load_tables(spark, str(tmp_path), "csv", mode="FAILFAST").orders.collect()
