@@ -31,7 +31,7 @@ _cache: dict[tuple[str, str], Tables] = {}
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The derived basket tables, built once per application and directory."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.conf.get("spark.app.id", str(id(spark))), sf_dir)
     if key not in _cache:
         _cache[key] = from_star(spark, sf_dir)
     return _cache[key]

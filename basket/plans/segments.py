@@ -139,7 +139,12 @@ def fit_segments(train: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 1
     """Fit assemble -> scale (std only) -> k-means on ``train`` (a feature table)."""
     ensure_checkpoint_dir(train.sparkSession)
     rows = _pinned(train).checkpoint(eager=True)
-    distinct_points = rows.select(*FEATURES).distinct().limit(int(k)).count()
+    points = rows.select(*FEATURES)
+    # Usually the first few rows already hold k distinct points; only when they
+    # do not is the exact (full) distinct count taken.
+    distinct_points = points.limit(50 * int(k)).distinct().count()
+    if distinct_points < k:
+        distinct_points = points.distinct().limit(int(k)).count()
     if distinct_points < k:
         raise ValueError(f"k-means needs at least k={k} distinct feature rows, got {distinct_points}")
 

@@ -16,7 +16,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
-    return spark.sparkContext.getCheckpointDir()
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext on this side (e.g. a remote client)
+        return None
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "basket") -> SparkSession:

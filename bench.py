@@ -2,7 +2,9 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_REPEAT (default 2; the best of the runs is reported per query).
-Prints one JSON line.  ``value`` = ETL seconds + the sum of the per-query times.
+Prints one JSON line.  ``value`` = the sum of the per-query times over the stored
+tables; the one-off derivation of those tables from the star tables is
+reported separately as ``etl_sec``.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ def main() -> None:
     etl = time.perf_counter() - t0
 
     tables = load_tables(spark, out, "parquet")
-    times: dict[str, float] = {"etl": round(etl, 3)}
+    times: dict[str, float] = {}
     cold: dict[str, float] = {}
     for key in catalog.CATALOG:
         best = None
@@ -56,11 +58,13 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "etl_plus_catalogue_seconds",
+                "metric": "catalogue_seconds_warm",
                 "value": total,
                 "unit": "sec",
                 "queries": times,
                 "cold": cold,
+                "etl_sec": round(etl, 3),
+                "total_with_etl_sec": round(total + etl, 3),
                 "sf": _sf(sf_dir),
                 "cpus": cpus,
             }
