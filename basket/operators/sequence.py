@@ -32,12 +32,6 @@ _OFF = "_sq_off"
 _MORE = "_sq_more"
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     cond = None
     for lc, rc in pairs:
@@ -68,10 +62,14 @@ def sequence_within(
     keys = list(group_cols)
     order = list(order_cols)
     lags = list(lag_cols)
-    n = _partitions(df, num_partitions)
-
     # 1. Range-partition on the full sort key: hot groups span several partitions.
-    ranged = df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in keys + order])
+    # Without an explicit count AQE may coalesce the ranges; it only merges
+    # adjacent ones, so partition ids stay contiguous and in key order.
+    sort_key = [F.col(c).asc_nulls_first() for c in keys + order]
+    if num_partitions:
+        ranged = df.repartitionByRange(int(num_partitions), *sort_key)
+    else:
+        ranged = df.repartitionByRange(*sort_key)
     ranged = ranged.withColumn(_PID, F.spark_partition_id())
 
     # 2. Number each (partition, group) slice locally; one Window operator.
@@ -113,7 +111,8 @@ def sequence_within(
         _PID,
         F.explode(F.when(one_group, F.array(last_entry)).otherwise(F.array(first_entry, last_entry))).alias("e"),
     ).select(_PID, "e.*")
-    # At most 2 rows per range partition: bounded by n, whatever the data size.
+    # At most 2 rows per range partition: bounded by the partition count,
+    # whatever the data size.
     fw = Window.partitionBy(*keys).orderBy(_PID) if keys else Window.orderBy(_PID)
     fix = edge_rows.select(
         F.col(_PID).alias("_f_pid"),
@@ -124,7 +123,7 @@ def sequence_within(
     ).checkpoint(eager=True)
 
     # 4. Stitch: fix has at most one row per (partition, edge group), so it is
-    # bounded by 2 * n rows and safe to broadcast whatever the data size.
+    # bounded by twice the partition count and safe to broadcast.
     on = _null_safe_on(local, fix, [(_PID, "_f_pid")] + [(c, f"_f_{c}") for c in keys])
     joined = local.join(F.broadcast(fix), on, "left")
     off = F.coalesce(F.col(_OFF), F.lit(0))

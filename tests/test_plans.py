@@ -38,3 +38,23 @@ def test_split_filter_prunes_partitions(stored):
 def test_columns_pruned_at_scan(stored):
     p = plan(catalog.run(stored, "reorder_rate_global"))
     assert "ReadSchema: struct<reordered:int>" in p
+
+
+def _final_plan(df) -> str:
+    df.collect()  # AQE settles the final plan on execution
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize(
+    "key", ["kpi", "top_products", "sales_by_department", "reorder_rate_by_department", "avg_items_by_dow"]
+)
+def test_fact_scanned_once(stored, key):
+    p = _final_plan(catalog.run(stored, key))
+    assert p.count("order_items]") == 1, p
+
+
+def test_features_scan_fact_once(stored):
+    from basket.plans import segments as G
+
+    p = _final_plan(G.user_features(stored.orders, stored.order_items, stored.products))
+    assert p.count("order_items]") == 1, p
