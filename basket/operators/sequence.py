@@ -85,14 +85,20 @@ def sequence_within(
     local = local.checkpoint(eager=True)
 
     # 3. A group can continue into the next partition only as the last group of
-    # one partition and the first group of the next.  One aggregate per
-    # partition (partial, so one row per task) gives both edge groups: the row
-    # struct ordered like the range key makes min() the first row and max() the
-    # last row, which carries the group's local count and its last values.
-    first = F.min(F.struct(*[F.col(c) for c in keys + order], F.col(_LCNT).alias("_cnt")))
-    last = F.max(F.struct(*[F.col(c) for c in keys + order], F.col(_LCNT).alias("_cnt"),
-                          *[F.col(c).alias(f"_last_{c}") for c in lags]))
-    edges = local.groupBy(_PID).agg(first.alias("_first"), last.alias("_last"))
+    # one partition and the first group of the next.  Only group boundary rows
+    # (first or last row of a local group) can be partition edges, so just those
+    # feed one aggregate per partition (partial, so one row per task): the
+    # smallest first row and the largest last row, ordered by the group key.
+    # The last one carries the group's local count and its last values.
+    boundary = local.filter((F.col(_LRN) == 1) | (F.col(_LRN) == F.col(_LCNT)))
+    first = F.min(F.when(F.col(_LRN) == 1, F.struct(*keys, F.col(_LCNT).alias("_cnt"))))
+    last = F.max(
+        F.when(
+            F.col(_LRN) == F.col(_LCNT),
+            F.struct(*keys, F.col(_LCNT).alias("_cnt"), *[F.col(c).alias(f"_last_{c}") for c in lags]),
+        )
+    )
+    edges = boundary.groupBy(_PID).agg(first.alias("_first"), last.alias("_last"))
     first_entry = F.struct(
         *[F.col(f"_first.{c}").alias(c) for c in keys],
         F.col("_first._cnt").alias("_cnt"),

@@ -58,3 +58,10 @@ def test_features_scan_fact_once(stored):
 
     p = _final_plan(G.user_features(stored.orders, stored.order_items, stored.products))
     assert p.count("order_items]") == 1, p
+
+
+@pytest.mark.parametrize("key", [k for k in catalog.CATALOG if not k.startswith("kmeans")])
+def test_hash_aggregates_only(stored, key):
+    """Aggregation buffers stay fixed-width: no sort-based or object aggregate."""
+    p = _final_plan(catalog.run(stored, key))
+    assert "SortAggregate" not in p and "ObjectHashAggregate" not in p
