@@ -44,11 +44,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder; set a local one only when none is named.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is; the temporary-folder fallback is for local runs and tests only.
+    is (a cluster without one is an error); the temporary-folder fallback is for
+    local masters only (local runs, tests).
     """
     d = checkpoint_dir(spark)
     if d:
         return d
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
+        raise RuntimeError(
+            "no checkpoint folder: set spark.checkpoint.dir to a folder shared by the cluster"
+        )
     d = tempfile.mkdtemp(prefix="basket-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(d)
     return d

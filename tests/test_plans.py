@@ -42,7 +42,7 @@ def test_columns_pruned_at_scan(stored):
 
 def _final_plan(df) -> str:
     df.collect()  # AQE settles the final plan on execution
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return df._jdf.queryExecution().executedPlan().executedPlan().toString()
 
 
 @pytest.mark.parametrize(
