@@ -52,3 +52,11 @@ def test_report_writes_every_query(t, tmp_path, spark):
     for key in REPORT_KEYS:
         assert spark.read.parquet(str(out / key)).count() >= 1
     assert spark.read.parquet(str(out / "top_products")).count() == 5
+
+
+def test_query_records_caps(t):
+    from basket.plans.report import query_records
+
+    assert len(query_records(t, "orders_by_hour", limit=3)) == 3
+    assert len(query_records(t, "top_products", n=7)) == 7
+    assert len(query_records(t, "sales_by_department")) == 8
