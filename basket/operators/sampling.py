@@ -27,10 +27,25 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFram
     return df.filter(hash_bucket(key, seed) < F.lit(int(round(fraction * _BUCKETS))))
 
 
+# Largest cap served by a top-k, whose final merge holds max_keys rows in one task.
+TOP_K_MAX = 100_000
+
+
 def hash_cap(keys: DataFrame, key: str, max_keys: int, seed: int) -> DataFrame:
-    """At most ``max_keys`` keys, the ones with the smallest seeded hash.
+    """At most ``max_keys`` distinct keys, the ones with the smallest seeded hash
+    (ties by key): exactly the same keys whatever the layout.
 
-    A top-k (each task keeps its best ``max_keys``, one task merges them), so
-    only ``max_keys`` rows ever meet in one place.
+    Small caps are a top-k (each task keeps its best ``max_keys``, one task
+    merges them).  Larger caps number the keys in (hash, key) order with the
+    distributed row number and keep the first ``max_keys``.
     """
-    return keys.orderBy(hash_bucket(key, seed), F.col(key)).limit(int(max_keys))
+    max_keys = int(max_keys)
+    if max_keys < 1:
+        raise ValueError(f"max_keys must be at least 1, got {max_keys}")
+    hashed = keys.select(key).distinct().withColumn("_h", hash_bucket(key, seed))
+    if max_keys <= TOP_K_MAX:
+        return hashed.orderBy("_h", key).limit(max_keys).select(key)
+    from basket.operators.sequence import sequence_within
+
+    numbered = sequence_within(hashed, [], ["_h", key])
+    return numbered.filter(F.col("seq") <= F.lit(max_keys)).select(key)

@@ -63,3 +63,13 @@ def test_catalogue_entry_filters_one_cluster(t):
     all_ = G.kmeans_user_clusters(t.orders, t.order_items, t.products, k=3)
     one = G.kmeans_user_clusters(t.orders, t.order_items, t.products, k=3, cluster=1)
     assert one.count() == all_.filter(F.col("cluster") == 1).count() > 0
+
+
+def test_large_cap_uses_distributed_numbering(spark, monkeypatch):
+    from basket.operators import sampling
+
+    keys = spark.range(1, 2001).withColumnRenamed("id", "user_id")
+    small = {r.user_id for r in sampling.hash_cap(keys, "user_id", 150, 42).collect()}
+    monkeypatch.setattr(sampling, "TOP_K_MAX", 10)
+    large = {r.user_id for r in sampling.hash_cap(keys, "user_id", 150, 42).collect()}
+    assert len(small) == 150 and small == large
