@@ -40,9 +40,25 @@ def test_columns_pruned_at_scan(stored):
     assert "ReadSchema: struct<reordered:int>" in p
 
 
+def _indent(line: str) -> int:
+    return len(line) - len(line.lstrip(" :|+-"))
+
+
 def _final_plan(df) -> str:
+    """The executed (final) plan, without the initial plans printed inside subqueries."""
     df.collect()  # AQE settles the final plan on execution
-    return df._jdf.queryExecution().executedPlan().executedPlan().toString()
+    text = df._jdf.queryExecution().executedPlan().executedPlan().toString()
+    kept, skip_deeper_than = [], None
+    for line in text.splitlines():
+        if skip_deeper_than is not None:
+            if _indent(line) >= skip_deeper_than:
+                continue
+            skip_deeper_than = None
+        if "== Initial Plan ==" in line:
+            skip_deeper_than = _indent(line)
+            continue
+        kept.append(line)
+    return "\n".join(kept)
 
 
 @pytest.mark.parametrize(
