@@ -26,12 +26,13 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basket.operators.sequence import dense_ids_by, sequence_within
 from basket.sources import schema as S
-from basket.sources.tables import Tables
+from basket.sources.tables import Tables, load_tables, save_tables
 
 
 def read_star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,7 +97,8 @@ def star_products(part: DataFrame) -> DataFrame:
     )
 
 
-def star_items(lineitem: DataFrame, part: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+def star_lines(lineitem: DataFrame, part: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Line items of prior and train orders with their product, user and order number."""
     part_product = part.select(F.col("p_partkey").alias("partkey"), F.col("p_name").alias("product_name")).join(
         products.select("product_name", "product_id"), "product_name"
     )
@@ -106,9 +108,14 @@ def star_items(lineitem: DataFrame, part: DataFrame, orders: DataFrame, products
         F.col("l_linenumber").cast("int").alias("add_to_cart_order"),
     )
     kept_orders = orders.filter(F.col("eval_set") != S.TEST).select("order_id", "user_id", "order_number", "eval_set")
-    f = lines.join(kept_orders, "order_id").join(part_product.select("partkey", "product_id"), "partkey")
-    first = f.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
-    return f.join(first, ["user_id", "product_id"]).select(
+    return lines.join(kept_orders, "order_id").join(part_product.select("partkey", "product_id"), "partkey")
+
+
+def mark_reorders(lines: DataFrame) -> DataFrame:
+    """Items with ``reordered``: the order number is above the user's first order
+    number for that product (a partial-then-final min joined back on the pair)."""
+    first = lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
+    return lines.join(first, ["user_id", "product_id"]).select(
         "order_id",
         "product_id",
         "add_to_cart_order",
@@ -117,6 +124,10 @@ def star_items(lineitem: DataFrame, part: DataFrame, orders: DataFrame, products
     )
 
 
+def star_items(lineitem: DataFrame, part: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    return mark_reorders(star_lines(lineitem, part, orders, products))
+
+
 def from_star(spark: SparkSession, sf_dir: str) -> Tables:
     """The basket bundle derived from the star tables under ``sf_dir`` (lazy,
     except for the checkpoints of the ordered numbering)."""
@@ -124,6 +135,10 @@ def from_star(spark: SparkSession, sf_dir: str) -> Tables:
     orders = star_orders(read_star(spark, sf_dir, "orders"))
     products_full = star_products(part)
     items = star_items(read_star(spark, sf_dir, "lineitem"), part, orders, products_full)
+    return _bundle(orders, items, products_full)
+
+
+def _bundle(orders: DataFrame, items: DataFrame, products_full: DataFrame) -> Tables:
     return Tables(
         orders=orders,
         order_items=items,
@@ -131,3 +146,24 @@ def from_star(spark: SparkSession, sf_dir: str) -> Tables:
         aisles=products_full.select("aisle_id", "aisle").distinct(),
         departments=products_full.select("department_id", "department").distinct(),
     )
+
+
+def build_star_tables(
+    spark: SparkSession, sf_dir: str, out_path: str, level: StorageLevel = StorageLevel.MEMORY_AND_DISK
+) -> Tables:
+    """Derive the bundle and store it (the one-off ETL); returns the stored tables.
+
+    The joined lines feed both the per-(user, product) minimum and the join back;
+    the two branches prune different columns, so Spark would not reuse their
+    shuffles and would join the line items twice.  Persisting the lines for the
+    duration of the write computes that join once.
+    """
+    part = read_star(spark, sf_dir, "part")
+    orders = star_orders(read_star(spark, sf_dir, "orders"))
+    products_full = star_products(part)
+    lines = star_lines(read_star(spark, sf_dir, "lineitem"), part, orders, products_full).persist(level)
+    try:
+        save_tables(_bundle(orders, mark_reorders(lines), products_full), out_path)
+    finally:
+        lines.unpersist()
+    return load_tables(spark, out_path, "parquet")

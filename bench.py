@@ -19,8 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from basket.plans import catalog  # noqa: E402
 from basket.session import ensure_checkpoint_dir, local_session  # noqa: E402
-from basket.sources.star import from_star  # noqa: E402
-from basket.sources.tables import load_tables, save_tables  # noqa: E402
+from basket.sources.star import build_star_tables  # noqa: E402
 
 
 def _sf(path: str) -> str:
@@ -37,10 +36,9 @@ def main() -> None:
     # 1. ETL: star tables -> basket tables, written under the shared checkpoint folder.
     out = os.path.join(ensure_checkpoint_dir(spark), f"bench-tables-{uuid.uuid4().hex[:8]}")
     t0 = time.perf_counter()
-    save_tables(from_star(spark, sf_dir), out)
+    tables = build_star_tables(spark, sf_dir, out)
     etl = time.perf_counter() - t0
 
-    tables = load_tables(spark, out, "parquet")
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
     for key in catalog.CATALOG:

@@ -57,3 +57,13 @@ def test_save_and_load_roundtrip(spark, star, tmp_path):
         assert a.columns == b.columns
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert back.op_prior.count() + back.op_train.count() == ITEMS_ROWS
+
+
+def test_build_star_tables_equals_lazy_derivation(spark, star, tmp_path):
+    from basket.sources.star import build_star_tables
+
+    built = build_star_tables(spark, SF_SMALL, str(tmp_path / "etl"))
+    for name in ("orders", "order_items", "products", "departments"):
+        a, b = getattr(star, name), getattr(built, name)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
