@@ -27,8 +27,10 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFram
     return df.filter(hash_bucket(key, seed) < F.lit(int(round(fraction * _BUCKETS))))
 
 
-# Largest cap served by a top-k, whose final merge holds max_keys rows in one task.
-TOP_K_MAX = 100_000
+# Largest cap served by a top-k.  Its final merge sees max_keys rows from every
+# input partition (max_keys x partitions rows in one place), so beyond this the
+# exact distributed numbering is used instead.
+TOP_K_MAX = 10_000
 
 
 def hash_cap(keys: DataFrame, key: str, max_keys: int, seed: int) -> DataFrame:
