@@ -16,11 +16,12 @@ feeds both the basket and the department aggregates.  A user with a huge history
 only makes per-user aggregate buffers bigger, not a task.
 
 k-means is Spark ML (distributed Lloyd iterations, k-means|| seeding).  The
-training rows are pinned to a layout (hash partitioned and sorted on user_id)
-before the fit, so the seeding and hence the clusters do not depend on how the
-input happened to be partitioned; the fit input is checkpointed, so the
-iterations re-read it instead of re-running the feature plan (and survive lost
-executors).  Clusters are renumbered by size (largest first, then smallest
+training rows are pinned to a layout (hash partitioned and sorted on user_id,
+partition count derived from the row count) before the fit, so the seeding and
+hence the clusters depend on the data and the seed only, not on how the input
+happened to be partitioned or on session settings; the fit input is
+checkpointed, so the iterations re-read it instead of re-running the feature
+plan (and survive lost executors).  Clusters are renumbered by size (largest first, then smallest
 user_id) so ids are stable.
 """
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -125,8 +127,19 @@ class Segments:
     train: DataFrame  # the fitted rows, checkpointed
 
 
-def _pinned(df: DataFrame) -> DataFrame:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+# Rows per partition of the k-means input, and the partition cap.
+FIT_ROWS_PER_PARTITION = 100_000
+FIT_MAX_PARTITIONS = 10_000
+
+
+def fit_partitions(rows: int) -> int:
+    """Partition count of the fit input, from the data alone: k-means|| seeding
+    depends on the layout, so tying it to a session setting would make clusters
+    change with the configuration."""
+    return max(1, min(FIT_MAX_PARTITIONS, -(-int(rows) // FIT_ROWS_PER_PARTITION)))
+
+
+def _pinned(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n, "user_id").sortWithinPartitions("user_id")
 
 
@@ -138,7 +151,13 @@ def _size_order() -> Window:
 def fit_segments(train: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 15) -> Segments:
     """Fit assemble -> scale (std only) -> k-means on ``train`` (a feature table)."""
     ensure_checkpoint_dir(train.sparkSession)
-    rows = _pinned(train).checkpoint(eager=True)
+    # Features are computed once: kept while counting them and writing the
+    # layout-pinned checkpoint the iterations read.
+    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = _pinned(cached, fit_partitions(cached.count())).checkpoint(eager=True)
+    finally:
+        cached.unpersist()
     points = rows.select(*FEATURES)
     # Usually the first few rows already hold k distinct points; only when they
     # do not is the exact (full) distinct count taken.

@@ -73,3 +73,17 @@ def test_large_cap_uses_distributed_numbering(spark, monkeypatch):
     monkeypatch.setattr(sampling, "TOP_K_MAX", 10)
     large = {r.user_id for r in sampling.hash_cap(keys, "user_id", 150, 42).collect()}
     assert len(small) == 150 and small == large
+
+
+def test_clusters_do_not_depend_on_shuffle_partitions(spark, feats):
+    train = G.training_rows(feats, min_orders=5)
+    a = {tuple(r) for r in G.assign_segments(G.fit_segments(train, k=3, seed=7), train).collect()}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        b = {tuple(r) for r in G.assign_segments(G.fit_segments(train, k=3, seed=7), train).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert a == b
+    assert G.fit_partitions(1) == 1 and G.fit_partitions(250_000) == 3
+    assert G.fit_partitions(10**12) == G.FIT_MAX_PARTITIONS
