@@ -61,7 +61,15 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def _csv(spark: SparkSession, path: str, schema: StructType, mode: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("mode", mode).csv(path)
+    # enforceSchema=false: the header names are checked against the schema
+    # instead of columns being taken by position.
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", mode)
+        .csv(path)
+    )
 
 
 def load_tables(spark: SparkSession, path: str, fmt: str = "parquet", mode: str = "PERMISSIVE") -> Tables:

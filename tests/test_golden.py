@@ -142,3 +142,19 @@ def test_malformed_csv_int_is_null_in_permissive_mode(spark, tmp_path):
     assert run(t, "reorder_rate_by_eval_set") == [("prior", 0.0), ("train", 1.0)]
     with pytest.raises(Exception):
         load_tables(spark, str(tmp_path), "csv", mode="FAILFAST").orders.collect()
+
+
+def test_csv_header_is_checked(spark, tmp_path):
+    from basket.sources.tables import load_tables
+
+    (tmp_path / "orders.csv").write_text("user_id,order_id,eval_set,order_number,order_dow,order_hour_of_day,days_since_prior_order\n1,2,prior,1,3,9,\n")
+    for name, header in [
+        ("order_products__prior.csv", "order_id,product_id,add_to_cart_order,reordered"),
+        ("order_products__train.csv", "order_id,product_id,add_to_cart_order,reordered"),
+        ("products.csv", "product_id,product_name,aisle_id,department_id"),
+        ("aisles.csv", "aisle_id,aisle"),
+        ("departments.csv", "department_id,department"),
+    ]:
+        (tmp_path / name).write_text(header + "\n")
+    with pytest.raises(Exception):
+        load_tables(spark, str(tmp_path), "csv").orders.collect()
