@@ -128,7 +128,7 @@ class Segments:
 
 
 # Rows per partition of the k-means input, and the partition cap.
-FIT_ROWS_PER_PARTITION = 100_000
+FIT_ROWS_PER_PARTITION = 2_000
 FIT_MAX_PARTITIONS = 10_000
 
 

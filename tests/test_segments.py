@@ -85,5 +85,5 @@ def test_clusters_do_not_depend_on_shuffle_partitions(spark, feats):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
-    assert G.fit_partitions(1) == 1 and G.fit_partitions(250_000) == 3
+    assert G.fit_partitions(1) == 1 and G.fit_partitions(5_000) == 3
     assert G.fit_partitions(10**12) == G.FIT_MAX_PARTITIONS
