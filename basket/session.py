@@ -58,3 +58,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = tempfile.mkdtemp(prefix="basket-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def run_concurrently(*tasks):
+    """Run independent Spark actions from separate threads and return their results.
+
+    Spark schedules jobs submitted from different threads side by side, so small
+    independent jobs overlap instead of queueing behind each other.  Errors
+    propagate from the first failing task.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        futures = [pool.submit(t) for t in tasks]
+        return [f.result() for f in futures]

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basket.operators.sequence import dense_ids_by, sequence_within
+from basket.session import ensure_checkpoint_dir, run_concurrently
 from basket.sources import schema as S
 from basket.sources.tables import Tables, load_tables, save_tables
 
@@ -132,12 +133,20 @@ def from_star(spark: SparkSession, sf_dir: str) -> Tables:
     """The basket bundle derived from the star tables under ``sf_dir`` (lazy,
     except for the checkpoints of the ordered numbering)."""
     part = read_star(spark, sf_dir, "part")
-    orders = star_orders(read_star(spark, sf_dir, "orders"))
-    products_full = star_products(part)
+    orders, products_full = _orders_and_products(spark, sf_dir, part)
     items = star_items(read_star(spark, sf_dir, "lineitem"), part, orders, products_full)
     return _bundle(orders, items, products_full)
 
 
+def _orders_and_products(spark: SparkSession, sf_dir: str, part: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The order history and the product dictionaries are independent; their
+    (checkpointing) jobs are submitted side by side."""
+    ensure_checkpoint_dir(spark)
+    orders_raw = read_star(spark, sf_dir, "orders")
+    orders, products_full = run_concurrently(lambda: star_orders(orders_raw), lambda: star_products(part))
+    return orders, products_full
+
+
 def _bundle(orders: DataFrame, items: DataFrame, products_full: DataFrame) -> Tables:
     return Tables(
         orders=orders,
@@ -159,8 +168,7 @@ def build_star_tables(
     duration of the write computes that join once.
     """
     part = read_star(spark, sf_dir, "part")
-    orders = star_orders(read_star(spark, sf_dir, "orders"))
-    products_full = star_products(part)
+    orders, products_full = _orders_and_products(spark, sf_dir, part)
     lines = star_lines(read_star(spark, sf_dir, "lineitem"), part, orders, products_full).persist(level)
     try:
         save_tables(_bundle(orders, mark_reorders(lines), products_full), out_path)
