@@ -1,0 +1,24 @@
+"""The driver contract: entry() smoke query and the registry shapes."""
+
+import __spark_entry__ as E
+
+
+def test_entry_is_top_products_on_smoke_data(spark):
+    df = E.entry(spark)
+    assert df.columns == ["product_id", "product_name", "times_bought"]
+    rows = df.collect()
+    assert len(rows) == 10
+    assert [r.times_bought for r in rows] == sorted((r.times_bought for r in rows), reverse=True)
+
+
+def test_registry_shapes():
+    q, o = E.queries(), E.oracle_sql()
+    assert set(o) <= set(q)
+    assert set(q) - set(o) == {
+        "sampled_users",
+        "kmeans_user_clusters",
+        "kmeans_user_clusters_cluster0",
+        "kmeans_user_cluster_profile",
+    }
+    for sql in o.values():
+        assert sql.lstrip().upper().startswith("WITH")
