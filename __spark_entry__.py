@@ -75,6 +75,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # derived tables (the loader / adapter)
         "orders_table": _table("orders"),
         "order_items_table": _table("order_items"),
+        "op_prior_table": _table("op_prior"),
+        "op_train_table": _table("op_train"),
         "products_table": _table("products"),
         "aisles_table": _table("aisles"),
         "departments_table": _table("departments"),
@@ -172,6 +174,8 @@ b_feats AS (
 _BODIES = {
     "orders_table": "SELECT * FROM b_orders",
     "order_items_table": "SELECT order_id, product_id, add_to_cart_order, reordered, eval_set FROM b_items",
+    "op_prior_table": "SELECT order_id, product_id, add_to_cart_order, reordered FROM b_items WHERE eval_set = 'prior'",
+    "op_train_table": "SELECT order_id, product_id, add_to_cart_order, reordered FROM b_items WHERE eval_set = 'train'",
     "products_table": "SELECT * FROM b_prod",
     "aisles_table": "SELECT DISTINCT aisle_id, aisle FROM b_products",
     "departments_table": "SELECT * FROM b_depts",
