@@ -16,8 +16,8 @@ Scale notes.  The per-customer history uses :func:`sequence_within`, which split
 a customer holding a large share of all orders over many tasks instead of one
 window partition.  ``reordered`` compares each item with the minimum order number
 of its (user, product): a partial-then-final aggregate (map-side combine, so a hot
-pair never moves as raw rows) joined back on the pair, where AQE's skew-join
-handling splits a hot pair's partition.  Dimension joins are left to AQE, which
+pair never moves as raw rows) joined back on the pair; pairs above a row threshold
+get it by a bounded broadcast instead (see :func:`mark_reorders`).  Dimension joins are left to AQE, which
 broadcasts a side only once its measured size is under the threshold and keeps the
 sort-merge join otherwise.
 """
@@ -112,11 +112,34 @@ def star_lines(lineitem: DataFrame, part: DataFrame, orders: DataFrame, products
     return lines.join(kept_orders, "order_id").join(part_product.select("partkey", "product_id"), "partkey")
 
 
-def mark_reorders(lines: DataFrame) -> DataFrame:
+# Fixed value: a (user, product) pair with more line items than this is "hot".
+HOT_PAIR_ROWS = 1_000_000
+
+
+def mark_reorders(lines: DataFrame, hot_pair_rows: int = HOT_PAIR_ROWS) -> DataFrame:
     """Items with ``reordered``: the order number is above the user's first order
-    number for that product (a partial-then-final min joined back on the pair)."""
-    first = lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
-    return lines.join(first, ["user_id", "product_id"]).select(
+    number for that product.
+
+    The first order number per (user, product) is a partial-then-final min.  It
+    reaches the items by a shuffle join for ordinary pairs.  A pair holding more
+    than ``hot_pair_rows`` items would put all of them in one join task (AQE's
+    skew split does not apply: one join side is an aggregate, not a plain
+    shuffle), so those pairs get their first number by broadcast instead; there
+    are at most ``rows / hot_pair_rows`` of them, so the broadcast is bounded.
+    """
+    stats = lines.groupBy("user_id", "product_id").agg(
+        F.min("order_number").alias("first_number"), F.count(F.lit(1)).alias("_n")
+    )
+    hot = stats.filter(F.col("_n") > hot_pair_rows).select(
+        "user_id", "product_id", F.col("first_number").alias("_hot_first")
+    )
+    tagged = lines.join(F.broadcast(hot), ["user_id", "product_id"], "left")
+    hot_items = tagged.filter(F.col("_hot_first").isNotNull()).withColumn("first_number", F.col("_hot_first"))
+    cold_items = (
+        tagged.filter(F.col("_hot_first").isNull())
+        .join(stats.filter(F.col("_n") <= hot_pair_rows).select("user_id", "product_id", "first_number"), ["user_id", "product_id"])
+    )
+    return hot_items.unionByName(cold_items).select(
         "order_id",
         "product_id",
         "add_to_cart_order",

@@ -72,3 +72,18 @@ def test_hot_customer_spans_partitions(spark, skew_dir):
     o = spark.read.parquet(skew_dir + "/orders.parquet")
     ranged = o.repartitionByRange(8, "o_custkey", "o_orderdate", "o_orderkey").withColumn("p", F.spark_partition_id())
     assert ranged.filter("o_custkey = 3").select("p").distinct().count() >= 2
+
+
+def test_hot_pairs_take_the_broadcast_path(spark, skew_dir):
+    """With a tiny threshold most pairs are "hot": same items as the join path."""
+    from basket.sources import star as ST
+
+    part = ST.read_star(spark, skew_dir, "part")
+    orders = ST.star_orders(ST.read_star(spark, skew_dir, "orders"))
+    products = ST.star_products(part)
+    lines = ST.star_lines(ST.read_star(spark, skew_dir, "lineitem"), part, orders, products)
+    normal = ST.mark_reorders(lines)
+    split = ST.mark_reorders(lines, hot_pair_rows=2)
+    assert lines.groupBy("user_id", "product_id").count().filter("count > 2").count() > 0
+    assert normal.count() == split.count() == lines.count()
+    assert normal.exceptAll(split).count() == 0 and split.exceptAll(normal).count() == 0
