@@ -51,3 +51,23 @@ def hash_cap(keys: DataFrame, key: str, max_keys: int, seed: int) -> DataFrame:
 
     numbered = sequence_within(hashed, [], ["_h", key])
     return numbered.filter(F.col("seq") <= F.lit(max_keys)).select(key)
+
+
+def sample_predicate(keys: DataFrame, key: str, fraction: float, seed: int, max_keys: int | None = None) -> Column:
+    """A row filter equal to "key is in ``hash_sample`` (then ``hash_cap``) of ``keys``".
+
+    Used in place of a semi-join with the sampled key table: a filter is
+    map-only, so a key that holds a large share of the rows never has to meet
+    the key table in one join task.  The cap becomes a cutoff on
+    (hash, key), taken as a scalar subquery over the capped keys.
+    """
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError(f"fraction must be in [0, 1], got {fraction}")
+    pred = F.lit(True)
+    if fraction < 1.0:
+        pred = hash_bucket(key, seed) < F.lit(int(round(fraction * _BUCKETS)))
+    if max_keys is not None:
+        capped = hash_cap(hash_sample(keys.select(key).distinct(), key, fraction, seed), key, max_keys, seed)
+        cutoff = capped.agg(F.max(F.struct(hash_bucket(key, seed).alias("h"), F.col(key).alias("k")))).scalar()
+        pred = pred & (F.struct(hash_bucket(key, seed).alias("h"), F.col(key).alias("k")) <= cutoff)
+    return pred

@@ -33,10 +33,10 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basket.operators.sampling import hash_cap, hash_sample
+from basket.operators.sampling import hash_cap, hash_sample, sample_predicate
 from basket.session import ensure_checkpoint_dir
 
 # Feature columns, in the order they enter the vector.
@@ -65,9 +65,13 @@ def user_features(
     products: DataFrame,
     users: DataFrame | None = None,
     exact_departments: bool = True,
+    user_filter: Column | None = None,
 ) -> DataFrame:
-    """The six features per user; ``users`` (a user_id table) restricts the users."""
+    """The six features per user.  ``users`` (a user_id table, semi-joined) or
+    ``user_filter`` (a predicate on orders.user_id, map-only) restricts the users."""
     o = orders.select("order_id", "user_id", "days_since_prior_order", "order_hour_of_day")
+    if user_filter is not None:
+        o = o.filter(user_filter)
     if users is not None:
         o = o.join(users.select("user_id"), "user_id", "left_semi")
 
@@ -275,9 +279,10 @@ def kmeans_cluster_profile(
 
 
 def _fit(orders, items, products, k, seed, min_orders, sample_fraction, user_fraction, max_users):
-    users = None
+    pred = None
     if user_fraction < 1.0 or max_users is not None:
-        users = sample_users(orders, user_fraction, seed, max_users)
-    feats = user_features(orders, items, products, users)
+        # The user sample as a predicate on user_id (same users as sample_users).
+        pred = sample_predicate(orders, "user_id", user_fraction, seed, max_users)
+    feats = user_features(orders, items, products, user_filter=pred)
     train = training_rows(feats, min_orders, sample_fraction, seed)
     return feats, fit_segments(train, k, seed)

@@ -87,3 +87,25 @@ def test_clusters_do_not_depend_on_shuffle_partitions(spark, feats):
     assert a == b
     assert G.fit_partitions(1) == 1 and G.fit_partitions(5_000) == 3
     assert G.fit_partitions(10**12) == G.FIT_MAX_PARTITIONS
+
+
+def test_sample_predicate_equals_sampled_users(t):
+    from pyspark.sql import functions as F
+
+    from basket.operators.sampling import sample_predicate
+
+    for fraction, cap in [(0.3, None), (0.3, 25), (1.0, 40)]:
+        users = {r.user_id for r in G.sample_users(t.orders, fraction, 42, cap).collect()}
+        pred = sample_predicate(t.orders, "user_id", fraction, 42, cap)
+        got = {r.user_id for r in t.orders.filter(pred).select("user_id").distinct().collect()}
+        assert got == users
+    f1 = G.user_features(t.orders, t.order_items, t.products, G.sample_users(t.orders, 0.3, 42, 25))
+    f2 = G.user_features(t.orders, t.order_items, t.products, user_filter=sample_predicate(t.orders, "user_id", 0.3, 42, 25))
+    assert f1.exceptAll(f2).count() == 0 and f2.exceptAll(f1).count() == 0
+
+
+def test_sampled_fit_end_to_end(t):
+    out = G.kmeans_user_clusters(t.orders, t.order_items, t.products, k=3, user_fraction=0.6, max_users=80, assign="all")
+    users = {r.user_id for r in G.sample_users(t.orders, 0.6, 42, 80).collect()}
+    got = {r.user_id for r in out.collect()}
+    assert got == users
