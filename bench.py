@@ -1,7 +1,7 @@
 """Benchmark: derive and store the basket tables once, then time every catalogue query.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 2; the best of the runs is reported per query).
+BENCH_REPEAT (default 3; the best of the runs is reported per query).
 Prints one JSON line.  ``value`` = the sum of the per-query times over the stored
 tables; the one-off derivation of those tables from the star tables is
 reported separately as ``etl_sec``.
@@ -30,7 +30,7 @@ def _sf(path: str) -> str:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="basket-bench")
 
     # 1. ETL: star tables -> basket tables, written under the shared checkpoint folder.
