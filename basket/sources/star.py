@@ -2,7 +2,7 @@
 
 Mapping (FIXTURES.md section 2):
 
-* an order is ``orders`` row; user = customer; ``order_number`` is the position of
+* an order is an ``orders`` row; user = customer; ``order_number`` is the position of
   the order in its customer's history ordered by (date, key); the customer's last
   order is ``test`` when ``user_id % 3 = 0`` else ``train``, every other order is
   ``prior``; weekday from the date (0 = Sunday); the hour is synthetic
@@ -17,9 +17,11 @@ a customer holding a large share of all orders over many tasks instead of one
 window partition.  ``reordered`` compares each item with the minimum order number
 of its (user, product): a partial-then-final aggregate (map-side combine, so a hot
 pair never moves as raw rows) joined back on the pair; pairs above a row threshold
-get it by a bounded broadcast instead (see :func:`mark_reorders`).  Dimension joins are left to AQE, which
-broadcasts a side only once its measured size is under the threshold and keeps the
-sort-merge join otherwise.
+get it by a bounded broadcast instead (see :func:`mark_reorders`).  The line-item
+joins on order and part keys are shuffle-vs-shuffle sort-merge joins, which AQE's
+skew handling splits.  Dimension joins are left to AQE, which broadcasts a side
+only once its measured size is under the threshold and keeps the sort-merge join
+otherwise.
 """
 
 from __future__ import annotations
