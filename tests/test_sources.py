@@ -35,6 +35,9 @@ def test_persist_and_unpersist(spark):
     assert t.order_items.count() == 3
     unpersist_tables(t)
     assert not t.orders.is_cached and not t.products.is_cached
+    m = persist_tables(_t(spark), materialize=True)
+    assert m.orders.is_cached and m.order_items.count() == 3
+    unpersist_tables(m)
 
 
 def test_split_accessors_drop_label(spark):
