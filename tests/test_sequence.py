@@ -55,3 +55,9 @@ def test_dense_ids(spark):
     kinds = spark.createDataFrame([("x", "b"), ("x", "a"), ("y", "z"), ("y", "a"), ("x", "a")], "kind string, v string")
     got = sorted(tuple(r) for r in dense_ids_by(kinds, "kind", "v", "id").collect())
     assert got == [("x", "a", 1), ("x", "b", 2), ("y", "a", 1), ("y", "z", 2)]
+
+
+def test_empty_input(spark):
+    empty = spark.createDataFrame([], "g long, d long, k long, v double")
+    assert sequence_within(empty, ["g"], ["d", "k"], lag_cols=["v"]).count() == 0
+    assert sequence_within(empty, [], ["k"]).count() == 0
