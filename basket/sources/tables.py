@@ -73,7 +73,17 @@ def _csv(spark: SparkSession, path: str, schema: StructType, mode: str) -> DataF
     )
 
 
-def load_tables(spark: SparkSession, path: str, fmt: str = "parquet", mode: str = "PERMISSIVE") -> Tables:
+def load_tables(
+    spark: SparkSession, path: str, fmt: str = "parquet", mode: str = "PERMISSIVE", views: bool = False
+) -> Tables:
+    """Read the bundle (lazy); ``views=True`` also registers the temp views."""
+    tables = _read_tables(spark, path, fmt, mode)
+    if views:
+        register_views(tables)
+    return tables
+
+
+def _read_tables(spark: SparkSession, path: str, fmt: str, mode: str) -> Tables:
     if fmt == "csv":
         j = lambda name: os.path.join(path, name)
         prior = _csv(spark, j("order_products__prior.csv"), S.ORDER_PRODUCTS, mode)

@@ -44,3 +44,11 @@ def test_split_accessors_drop_label(spark):
     t = _t(spark)
     assert t.op_prior.columns == ["order_id", "product_id", "add_to_cart_order", "reordered"]
     assert t.op_prior.count() == 2 and t.op_train.count() == 1
+
+
+def test_load_with_views(spark, tmp_path):
+    from basket.sources.tables import load_tables, save_tables
+
+    save_tables(_t(spark), str(tmp_path / "t"))
+    load_tables(spark, str(tmp_path / "t"), views=True)
+    assert spark.sql("SELECT count(*) FROM order_items").collect()[0][0] == 3
