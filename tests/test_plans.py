@@ -81,3 +81,25 @@ def test_hash_aggregates_only(stored, key):
     """Aggregation buffers stay fixed-width: no sort-based or object aggregate."""
     p = _final_plan(catalog.run(stored, key))
     assert "SortAggregate" not in p and "ObjectHashAggregate" not in p
+
+
+@pytest.fixture(scope="module")
+def bucketed(spark, tmp_path_factory):
+    from basket.sources.star import build_star_tables
+
+    return build_star_tables(spark, SF_SMALL, str(tmp_path_factory.mktemp("bucketed")), buckets=4)
+
+
+@pytest.mark.parametrize(
+    "key", ["kpi", "avg_items_by_dow", "basket_size_buckets", "avg_items_per_order_by_eval_set", "features"]
+)
+def test_per_order_work_is_shuffle_free_on_buckets(bucketed, key):
+    from basket.plans import segments as G
+
+    if key == "features":
+        df = G.user_features(bucketed.orders, bucketed.order_items, bucketed.products)
+    else:
+        df = catalog.run(bucketed, key)
+    p = _final_plan(df)
+    assert "Bucketed: true" in p
+    assert "hashpartitioning(order_id" not in p and "hashpartitioning(eval_set#" not in p, p
