@@ -33,8 +33,9 @@ def avg_items_by_dow(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Mean basket size per weekday; orders without items do not count.
 
     A basket is (split, order).  Items are counted per order with one count per
-    split (partial aggregation, one shuffle on order_id); the result is already
-    partitioned on order_id, so joining orders moves only the orders side.  The
+    split (partial aggregation and one shuffle on order_id; no shuffle at all on
+    the bucketed layout); the result is partitioned on order_id, so joining
+    orders moves at most the orders side.  The
     mean is sum(items) / number of baskets, the same integers the per-basket
     average divides.
     """
