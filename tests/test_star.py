@@ -84,3 +84,15 @@ def test_bucketed_layout(spark, star, tmp_path):
     q.collect()
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan and "Exchange" not in plan.split("== Initial Plan ==")[0]
+
+
+def test_derivation_ignores_shuffle_partitions(spark, star):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        other = from_star(spark, SF_SMALL)
+        for name in ("orders", "order_items", "products"):
+            a, b = getattr(star, name), getattr(other, name)
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
