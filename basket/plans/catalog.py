@@ -27,16 +27,17 @@ class Param:
     lo: float | None = None
     hi: float | None = None
     optional: bool = False
+    kind: type = int
 
     def check(self, value: Any) -> Any:
         if value is None:
             if self.optional:
                 return None
             raise ValueError(f"{self.name} is required")
-        if isinstance(self.default, int) and not isinstance(value, bool):
-            value = int(value)
-        elif isinstance(self.default, float):
-            value = float(value)
+        try:
+            value = self.kind(value)
+        except (TypeError, ValueError):
+            raise ValueError(f"{self.name}={value!r} is not a {self.kind.__name__}") from None
         if self.lo is not None and value < self.lo:
             raise ValueError(f"{self.name}={value} is below {self.lo}")
         if self.hi is not None and value > self.hi:

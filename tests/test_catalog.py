@@ -60,3 +60,12 @@ def test_query_records_caps(t):
     assert len(query_records(t, "orders_by_hour", limit=3)) == 3
     assert len(query_records(t, "top_products", n=7)) == 7
     assert len(query_records(t, "sales_by_department")) == 8
+
+
+def test_string_parameters_are_converted(t):
+    assert catalog.N.check("7") == 7 and catalog.CLUSTER.check("1") == 1 and catalog.CLUSTER.check(None) is None
+    with pytest.raises(ValueError):
+        catalog.CLUSTER.check("x")
+    with pytest.raises(ValueError):
+        catalog.CLUSTER.check("25")
+    assert len(catalog.run(t, "top_products", n="4").collect()) == 4
