@@ -109,3 +109,12 @@ def test_sampled_fit_end_to_end(t):
     users = {r.user_id for r in G.sample_users(t.orders, 0.6, 42, 80).collect()}
     got = {r.user_id for r in out.collect()}
     assert got == users
+
+
+def test_approximate_department_count_option(t, feats):
+    approx = G.user_features(t.orders, t.order_items, t.products, exact_departments=False)
+    a = {r.user_id: r.dept_diversity for r in approx.collect()}
+    e = {r.user_id: r.dept_diversity for r in feats.collect()}
+    assert a.keys() == e.keys()
+    # HLL++ is exact for such small cardinalities (8 departments).
+    assert a == e
