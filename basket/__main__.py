@@ -2,7 +2,7 @@
 
     python -m basket report --path DIR [--fmt csv|parquet] [--out DIR] [--n 10] [--min-count 200]
     python -m basket query KEY --path DIR [--fmt ...] [--param n=5 ...] [--limit 1000]
-    python -m basket build --star DIR --out DIR      # derive + store from the star tables
+    python -m basket build --star DIR --out DIR [--buckets auto|N|0]   # derive + store
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so under
 ``spark-submit`` the cluster settings apply unchanged.
@@ -47,11 +47,13 @@ def main(argv: list[str] | None = None) -> None:
     b = sub.add_parser("build")
     b.add_argument("--star", required=True)
     b.add_argument("--out", required=True)
+    b.add_argument("--buckets", default="auto", help='order_id buckets: "auto", a number, or 0 for none')
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("basket").getOrCreate()
     if args.cmd == "build":
-        build_star_tables(spark, args.star, args.out)
+        buckets = args.buckets if args.buckets == "auto" else (int(args.buckets) or None)
+        build_star_tables(spark, args.star, args.out, buckets=buckets)
         return
     tables = load_tables(spark, args.path, args.fmt)
     if args.cmd == "report":
