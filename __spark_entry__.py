@@ -77,7 +77,27 @@ def _sampled_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.sample_users(tables(spark, sf_dir).orders, fraction=0.3, seed=42)
 
 
+def _llm():
+    """The training-data queries: (queries, SQL), empty when that subpackage is not there."""
+    try:
+        import corpus_pipeline
+        from basket.llm import registry
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "basket.llm", "basket.llm.registry"):
+            raise
+        return {}, {}
+    found, sql = registry.queries(), registry.oracle_sql()
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**_catalogue_queries(), **_llm()[0]}
+
+
+def _catalogue_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # derived tables (the loader / adapter)
         "orders_table": _table("orders"),
@@ -267,4 +287,5 @@ def oracle_sql() -> dict[str, str]:
     out["top_products_n25"] = _sql(_BODIES["top_products"], n=25)
     out["top_reordered_products_n20_min100"] = _sql(_BODIES["top_reordered_products"], n=20, min_count=100)
     out["top_users_by_orders_n25"] = _sql(_BODIES["top_users_by_orders"], n=25)
+    out.update(_llm()[1])
     return out
