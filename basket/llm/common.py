@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import basket
 from basket.session import ensure_checkpoint_dir
@@ -156,7 +157,25 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, function, schema) -> DataFrame:
     """``mapInArrow`` with this package on the workers' path."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def extend(df: DataFrame, function, ddl: str, limit: int = 4 << 20) -> DataFrame:
+    """Add the columns of ``ddl``, which ``function(record_batch) -> list of arrays`` makes from each slice.
+
+    All columns of ``df`` pass through; one whose name is also in ``ddl`` gives way to the new one.
+    """
+    new = T.StructType.fromDDL(ddl)
+    taken = {f.name.lower() for f in new}
+    kept = [f for f in df.schema if f.name.lower() not in taken]
+    names = [f.name for f in kept] + [f.name for f in new]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", limit):
+            old = [batch.column(f.name) for f in kept]
+            yield pa.RecordBatch.from_arrays(old + function(batch), names)
+
+    return arrow_map(df, run, T.StructType(kept + new.fields))

@@ -182,7 +182,8 @@ def read_records(spark: SparkSession, out: str) -> DataFrame:
     shards = index.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     base = shards.select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    files = shards.select("shard").repartition("shard")
+    # An explicit number of partitions: adaptive execution would put these few rows into one task.
+    files = shards.select("shard").repartitionByRange(max(1, shards.count()), "shard")
     records = arrow_map(files, _read(f"{out}/records", _width(index)), READ_SCHEMA)
     return records.join(F.broadcast(base), "shard").select(
         "doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids", "shard"

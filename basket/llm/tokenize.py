@@ -17,35 +17,39 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+from array import array
 
 _LEADING = re.compile(r"\s*\S+|\s+")
 _ODD = re.compile("[\x1c-\x1f]")
 
 
 class Encoder:
-    """Ids of texts as little-endian bytes of ``dtype``; ``limit`` bounds the remembered pieces."""
+    """Ids of texts as little-endian bytes of ``dtype``.
+
+    ``limit`` bounds the remembered pieces (to those met first, which hold the frequent ones);
+    others are encoded anew in each call.
+    """
 
-    def __init__(self, path: str, pieces: str, dtype: str = "<u4", limit: int = 600_000):
+    def __init__(self, path: str, pieces: str, dtype: str = "<u4", limit: int = 1_100_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces, self.dtype, self.limit = pieces, dtype, limit
+        self.pieces, self.limit = pieces, limit
+        self.code = {"<u2": "H", "<u4": "I"}[dtype]
         self.known: dict[str, bytes] = {}
         self.stop = {c: self._encode([c])[0] for c in ".,"}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in out]
+        return [array(self.code, e.ids).tobytes() for e in out]
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) > self.limit:
-            self.known.clear()
+    def _learn(self, pieces: set[str]) -> list[str]:
+        """Make every piece known; returns those to forget again, once the limit is reached."""
         pieces.difference_update(self.known)
-        # A full stop or comma after a letter is a piece of its own: encode the rest only.
-        tails = [p for p in pieces if p[-1] in ".," and len(p) > 1 and p[-2].isalpha() and p[-2] < "ɐ"]
+        full = len(self.known) >= self.limit
+        # A full stop or comma after a Latin-1 letter is a piece of its own: encode the rest only.
+        tails = [p for p in pieces if p[-1] in ".," and len(p) > 1 and p[-2].isalpha() and p[-2] <= "ÿ"]
         new = pieces.difference(tails)
         new.update(p[:-1] for p in tails)
         new.difference_update(self.known)
@@ -53,6 +57,7 @@ class Encoder:
         self.known.update(zip(texts, self._encode(texts), strict=True))
         for p in tails:
             self.known[p] = self.known[p[:-1]] + self.stop[p[-1]]
+        return texts + tails if full else []
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
@@ -61,9 +66,12 @@ class Encoder:
         odd = {i for i, t in enumerate(texts) if _ODD.search(t)}
         split = str.split if self.pieces == "dropped" else _LEADING.findall
         cut = [() if i in odd else split(t) for i, t in enumerate(texts)]
-        self._learn(set().union(*cut))
+        passing = self._learn(set().union(*cut))
         get = self.known.__getitem__
-        return [self._encode([texts[i]])[0] if i in odd else b"".join(map(get, c)) for i, c in enumerate(cut)]
+        out = [self._encode([texts[i]])[0] if i in odd else b"".join(map(get, c)) for i, c in enumerate(cut)]
+        for p in passing:
+            del self.known[p]
+        return out
 
 
 _encoders: dict[tuple, Encoder] = {}
