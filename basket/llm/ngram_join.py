@@ -158,14 +158,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # large star: neighbours above a node go to the node's least neighbour
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
         # small star: a node and its lower neighbours go to the least of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct("v", "m"))).alias("e"))
-        pairs = cut(small.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).filter("u <> v").distinct())
+        small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+        pairs = cut(small.filter("u <> v").distinct())
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
         if now == before:
             break
@@ -236,7 +236,7 @@ def _links(values: np.ndarray, bounds: np.ndarray, bands: np.ndarray, left: int,
 
 
 def _verify(threshold):
-    def run(key, group: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         rid = group.column("rid").to_numpy()
         _, keep = np.unique(rid, return_index=True)
         side = group.column("side").to_numpy()[keep]

@@ -229,7 +229,8 @@ def train(labelled: DataFrame, rows: int = 12_000, trees: int = 20, depth: int =
         featuresCol="_x", labelCol="toxic", predictionCol="_class",
         maxIter=trees, maxDepth=depth, stepSize=0.3, minInstancesPerNode=5, seed=7,
     )
-    gbt.set(gbt.rawPredictionCol, "_raw").set(gbt.probabilityCol, "_probability")
+    gbt.set(gbt.rawPredictionCol, "_raw")
+    gbt.set(gbt.probabilityCol, "_probability")
     model = gbt.fit(made.filter("_fit").select("_x", F.col("toxic").cast("double").alias("toxic")))
     half = Classifier(lexicon, model, None)
     calibrating = featured.filter("NOT _fit")
