@@ -6,9 +6,9 @@ word, capitals, words in capitals, punctuation, exclamation marks and obfuscatio
 words).  Words are compared after folding case and the usual digit and symbol
 substitutions, so ``1d1ot`` counts as ``idiot``.
 
-Fitting uses a bounded sample of labelled rows: on one part word counts give the learned lexicon and
-MLlib fits the trees, on the other part an isotonic regression maps the trees' margins to
-probabilities.  Scoring is one pass: an Arrow function makes the features, the trees and the calibration run in the JVM.
+Fitting uses a bounded sample of labelled rows: word counts on one half give a lexicon, MLlib fits the
+trees on the features of documents of the other half, and on the rest of that an isotonic regression maps the trees'
+margins to probabilities.  Scoring is one pass: an Arrow function makes the features, the trees and the calibration run in the JVM.
 """
 
 from __future__ import annotations
@@ -160,7 +160,7 @@ def _distinct_words(batches):
         )
 
 
-def learn_lexicon(sample: DataFrame, words: int = 64, min_docs: int = 5) -> dict[str, float]:
+def learn_lexicon(sample: DataFrame, words: int = 400, min_docs: int = 4) -> dict[str, float]:
     """The ``words`` words with the highest log-odds of standing in a toxic document, and those log-odds.
 
     ``sample`` has text and toxic (0 or 1).  Only words at least e times likelier are taken, from ``min_docs`` toxic documents on.
@@ -203,7 +203,7 @@ class Classifier:
         return scored.withColumn("score", 0.99 * calibrated + 0.01 * own).drop("_score", "_margin")
 
 
-def train(labelled: DataFrame, rows: int = 12_000, trees: int = 20, depth: int = 3) -> Classifier:
+def train(labelled: DataFrame, rows: int = 20_000, trees: int = 20, depth: int = 3) -> Classifier:
     """Fit on at most about ``rows`` labelled rows (text, toxic), chosen by hash of the text.
 
     Rows whose label is null are left out.  With one class only, or no row, the score is constant.
@@ -217,11 +217,15 @@ def train(labelled: DataFrame, rows: int = 12_000, trees: int = 20, depth: int =
     classes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(classes) < 2:
         return Classifier(Lexicon({}), None, None, float(next(iter(classes), 0)))
-    # Copies share a hash and so a part: none is fitted and calibrated on.
-    part = F.xxhash64("text", F.lit(1)) % 10
-    fit, rest = sample.filter(F.abs(part) < 7), sample.filter(F.abs(part) >= 7)
-    lexicon = Lexicon(learn_lexicon(fit.select("text", "toxic")))
-    featured = cut(with_features(sample.withColumn("_fit", F.abs(part) < 7), lexicon).drop("text"))
+    # Copies share a hash and so a part.  The trees see words learned from other documents only; the
+    # lexicon used from then on is learned from all of the sample.
+    part = F.abs(F.xxhash64("text", F.lit(1)) % 10)
+    half = Lexicon(learn_lexicon(sample.filter(part < 5).select("text", "toxic")))
+    lexicon = Lexicon(learn_lexicon(sample.select("text", "toxic")))
+    others = sample.filter(part >= 5).withColumn("_fit", part < 8)
+    featured = cut(with_features(others, half).drop("text"))
+    if featured.select("toxic").distinct().count() < 2:
+        return Classifier(lexicon, None, None, float(classes.get(1, 0) / sum(classes.values())))
     made = VectorAssembler(inputCols=[f"_f{i}" for i in range(len(FEATURES))], outputCol="_x").transform(
         featured.select("*", *[F.col("features")[i].alias(f"_f{i}") for i in range(len(FEATURES))])
     )
@@ -232,10 +236,9 @@ def train(labelled: DataFrame, rows: int = 12_000, trees: int = 20, depth: int =
     gbt.set(gbt.rawPredictionCol, "_raw")
     gbt.set(gbt.probabilityCol, "_probability")
     model = gbt.fit(made.filter("_fit").select("_x", F.col("toxic").cast("double").alias("toxic")))
-    half = Classifier(lexicon, model, None)
     calibrating = featured.filter("NOT _fit")
     held = calibrating if calibrating.select("toxic").distinct().count() == 2 else featured
-    margins = half.margins(held).select("_margin", F.col("toxic").cast("double").alias("toxic"))
+    margins = Classifier(lexicon, model, None).margins(held).select("_margin", F.col("toxic").cast("double").alias("toxic"))
     isotonic = IsotonicRegression(featuresCol="_margin", labelCol="toxic", predictionCol="_score").fit(margins)
     return Classifier(lexicon, model, isotonic)
 
