@@ -179,3 +179,9 @@ def extend(df: DataFrame, function, ddl: str, limit: int = 4 << 20) -> DataFrame
             yield pa.RecordBatch.from_arrays(old + function(batch), names)
 
     return arrow_map(df, run, T.StructType(kept + new.fields))
+
+
+def filtered(docs: DataFrame, own: set[str], function) -> DataFrame:
+    """``function(docs)`` with exactly the columns of ``docs``; those named like one in ``own`` stand aside meanwhile."""
+    aside = {c: f"__{c}" if c.lower() in own else c for c in docs.columns}
+    return function(docs.withColumnsRenamed(aside)).select(*[F.col(aside[c]).alias(c) for c in docs.columns])

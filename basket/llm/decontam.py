@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basket.llm.common import arrow_map, constants, cut, extend, slices, span_hashes, utf8, word_spans
+from basket.llm.common import arrow_map, constants, cut, extend, filtered, slices, span_hashes, utf8, word_spans
 
 NGRAM = 13
 #: Word bytes after lower-casing: digits, a-z and everything from 0x80 on.
@@ -191,8 +191,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, sha
 
     A text without marks is returned as it is.  Null texts stay null.
     """
-    own = {"n_words", "n_hit", "spans", "items", "clean_text"}
-    aside = {c: f"__{c}" if c.lower() in own else c for c in docs.columns}
-    hits = find_hits(docs.withColumnsRenamed(aside), benchmark, ngram).filter(~is_contaminated(share=share))
-    clean = extend(hits, _excise, "clean_text string")
-    return clean.select(*[F.col("clean_text" if c == "text" else aside[c]).alias(c) for c in docs.columns])
+
+    def keep(d: DataFrame) -> DataFrame:
+        hits = find_hits(d, benchmark, ngram).filter(~is_contaminated(share=share))
+        return extend(hits, _excise, "clean_text string").withColumn("text", F.col("clean_text"))
+
+    return filtered(docs, {"n_words", "n_hit", "spans", "items", "clean_text"}, keep)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basket.llm.common import extend, text_crc
+from basket.llm.common import extend, filtered, text_crc
 
 BLOCK = 2048
 UNKNOWN = "und"
@@ -225,3 +225,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(text_crc(doc_id) % 3 == 1, F.lit(False))
+
+
+def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.3) -> DataFrame:
+    """The documents with a language: not ``und``, and a score of ``min_score`` or more; columns as in ``docs``."""
+    good = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)
+    return filtered(docs, {"lang_pred", "score"}, lambda d: identify(d, model).filter(good))

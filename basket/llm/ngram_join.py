@@ -23,7 +23,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (used as pa.compute)
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basket.llm.common import (
@@ -350,7 +350,23 @@ def similar(
     return with_words.unionByName(alone)
 
 
-def is_kept(doc_id: str | Column = "doc_id", class_id: str | Column = "class_id") -> Column:
-    """The one document of each class that a filter keeps: its least doc_id."""
-    a, b = (F.col(c) if isinstance(c, str) else c for c in (doc_id, class_id))
-    return a.eqNullSafe(b)
+def deduplicate(docs: DataFrame, **parameters) -> DataFrame:
+    """``docs`` with one document of each similarity class: the least doc_id.
+
+    Rows that repeat a kept doc_id count once.  Documents without words and rows without a
+    doc_id stay.  Only narrow rows are joined by shuffle unless the ids to remove outgrow ``BROADCAST_ROWS``.
+    """
+    kept = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    found = similar(docs, **parameters).filter("doc_id IS NOT NULL")
+    per = cut(found.groupBy(F.col("doc_id").alias("_id")).agg(F.max(kept).alias("kept"), F.count("*").alias("n")))
+    removed, repeated = per.filter("NOT kept").select("_id"), per.filter("kept AND n > 1").select("_id")
+
+    def bounded(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+    out = docs.join(bounded(removed), docs["doc_id"] == removed["_id"], "left_anti")
+    if repeated.isEmpty():
+        return out
+    repeated = bounded(repeated)
+    once = out.join(repeated, out["doc_id"] == repeated["_id"], "left_semi").dropDuplicates(["doc_id"])
+    return out.join(repeated, out["doc_id"] == repeated["_id"], "left_anti").unionByName(once)

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basket.llm.common import filtered
+
 #: Rule name -> SQL condition over the measurements that means "fails".  The position is the bit:
 #: append new rules, never reorder.
 RULES = {
@@ -76,8 +78,7 @@ def measure(docs: DataFrame) -> DataFrame:
     for name, expression in steps:
         out = out.withColumn(name, F.expr(expression))
     covered = "aggregate(_p, struct(0L AS n, 0 AS e), (a, p) -> struct(a.n + p + 3 - greatest(p, a.e) AS n, p + 3 AS e)).n"
-    return out.select(
-        *cols,
+    measured = F.struct(
         F.expr("CAST(_n AS BIGINT)").alias("n_words"),
         F.expr("CAST(char_length(array_join(_w, '')) AS BIGINT)").alias("word_chars"),
         F.expr("CAST(regexp_count(_t, '[#*$%&|<>]') AS BIGINT)").alias("n_symbols"),
@@ -85,6 +86,9 @@ def measure(docs: DataFrame) -> DataFrame:
         F.expr("CAST(size(_l) - size(array_distinct(_l)) AS BIGINT)").alias("n_dup_lines"),
         F.expr(f"CASE WHEN size(_p) = 0 THEN 0L ELSE {covered} END").alias("n_repeat_words"),
     )
+    # One measured row per document through a generator: a filter on a measurement is then not pushed
+    # below the steps, where it would evaluate them again inside one another.
+    return out.select(*cols, F.explode(F.array(measured)).alias("_m")).select(*cols, "_m.*")
 
 
 def ledger(docs: DataFrame) -> DataFrame:
@@ -103,10 +107,7 @@ def passes(policy: str, failures: str = "failures") -> Column:
 
 def apply_policy(docs: DataFrame, policy: str = "full-1") -> DataFrame:
     """The documents that pass, with the columns of ``docs``."""
-    own = {*MEASURES, "failures"}
-    aside = {c: f"__{c}" if c.lower() in own else c for c in docs.columns}
-    kept = ledger(docs.withColumnsRenamed(aside)).filter(passes(policy))
-    return kept.select(*[F.col(aside[c]).alias(c) for c in docs.columns])
+    return filtered(docs, {*MEASURES, "failures"}, lambda d: ledger(d).filter(passes(policy)))
 
 
 def ablations(found: DataFrame, policy: str = "full-1") -> DataFrame:
