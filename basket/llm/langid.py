@@ -2,7 +2,7 @@
 
 Method: per language a suffix automaton is built over a bounded sample of labelled text.  A
 document is parsed against each automaton into phrases, each the longest match of the
-remaining text with any substring of the sample; a language's code length is its phrases times
+remaining text with any substring of the sample (and the symbol that ended it, if the sample lacks that); a language's code length is its phrases times
 log2 of its sample's length (the bits that name a phrase).  The language with the
 fewest bits per symbol wins.
 
@@ -140,14 +140,15 @@ class Model:
         for lane, b in enumerate(order.tolist()):
             steps[: len(blocks[b]), lane] = blocks[b]
         active = np.searchsorted(-lengths, -np.arange(len(steps)), side="left")
-        state = np.repeat(np.array(self.roots, np.int32)[:, None], len(blocks), axis=1)
+        roots = np.array(self.roots, np.int32)[:, None]
+        state = np.repeat(roots, len(blocks), axis=1)
         ended = np.zeros((langs, len(blocks)), np.int32)
         for t, k in enumerate(active.tolist()):
             at = self.table.take(state[:, :k] + steps[t, :k])
             over = at >> 31
             ended[:, :k] -= over
             state[:, :k] = at ^ over
-        np.add.at(total, np.array(owner)[order], ended.T + 1)
+        np.add.at(total, np.array(owner)[order], (ended + (state != roots)).T)
         return total
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:

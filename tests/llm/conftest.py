@@ -1,0 +1,55 @@
+import pytest
+from pyspark.sql import types as T
+
+SMALL = "/root/testdata/sf0.001"
+
+DOCS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+    ]
+)
+
+LONG = "word " * 30_000
+#: Null and empty texts, a null id, repeated rows, equal texts, a very long text, odd characters.
+ODD = [
+    (1, None, None, None, None),
+    (2, "", "en", "a", 0),
+    (3, " \n\t ", "en", None, 4),
+    (4, "1234 !!! ***", None, "a", 12),
+    (5, "the same text of several words that stands here twice", "en", "a", 50),
+    (5, "the same text of several words that stands here twice", "en", "a", 50),
+    (6, "the same text of several words that stands here twice", "fr", "b", 50),
+    (None, "a row without an id but with a text of its own", "en", "b", 46),
+    (7, LONG, "en", "a", len(LONG)),
+    (8, "日本語 テスト \U0001f600 <|endoftext|> İ\x1cx don't", "ja", "a", 30),
+]
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """ODD as a DataFrame with extra columns whose names the operators use themselves."""
+    rows = [(*r, 99, "mine", 0.5, [1]) for r in ODD]
+    extra = T.StructType(DOCS.fields + [
+        T.StructField("n_words", T.LongType()), T.StructField("items", T.StringType()),
+        T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(T.LongType())),
+    ])
+    return spark.createDataFrame(rows, extra)
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    return spark.read.parquet(f"{SMALL}/documents.parquet")
+
+
+@pytest.fixture()
+def path(tmp_path):
+    return str(tmp_path / "out")

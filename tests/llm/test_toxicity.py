@@ -1,0 +1,54 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from basket.llm import toxicity
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").join(
+        spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text"), "doc_id"
+    )
+    held = toxicity.held_out(F.col("doc_id"))
+    return toxicity.train(labels.filter(~held), rows=3000, trees=10), labels.filter(held), docs
+
+
+def test_held_out_ranking(fitted):
+    classifier, held, _ = fitted
+    rows = classifier.score(held).select("toxic", "score", "quality").collect()
+    toxic, clean = (np.array([r.score for r in rows if r.toxic == k and r.quality == 1]) for k in (1, 0))
+    auc = (toxic[:, None] > clean[None, :]).mean() + 0.5 * (toxic[:, None] == clean[None, :]).mean()
+    assert auc > 0.97
+    assert (toxic >= 0.5).mean() > 0.85 and (clean >= 0.5).mean() < 0.02
+
+
+def test_odd_rows(fitted, odd, none):
+    classifier = fitted[0]
+    scored = classifier.score(odd)
+    rows = scored.collect()
+    assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
+    assert {r["items"] for r in rows} == {"mine"}
+    assert classifier.score(none).collect() == []
+    by = {r.doc_id: r.score for r in rows}
+    assert by[1] == by[2] == by[3]
+
+
+def test_without_two_classes_the_score_is_constant(spark, odd):
+    one = spark.createDataFrame([("a text", 0), ("another", 0), (None, None)], "text string, toxic int")
+    assert {r.score for r in toxicity.train(one).score(odd).collect()} == {0.0}
+    assert {r.score for r in toxicity.train(one.limit(0)).score(odd).collect()} == {0.0}
+
+
+def test_features_of_plain_cases():
+    lexicon = toxicity.Lexicon({"foo": 2.0})
+    texts = ["you 1d10t", "IDIOT!!", "a foo b c", "", None, "x you a b c d idiot", "don't e-mail", "id$ot"]
+    f = dict(zip(toxicity.FEATURES, lexicon.features(pa.array(texts)).T, strict=True))
+    assert f["lexicon_density"].tolist() == [0.5, 1, 0, 0, 0, 1 / 7, 0, 0]
+    assert f["learned_density"].tolist() == [0, 0, 0.5, 0, 0, 0, 0, 0]
+    assert f["second_person"][0] == 0.5 and f["proximity"].tolist() == [0.5, 0, 0, 0, 0, 0, 0, 0]
+    assert f["capitals"][1] == 5 / 7 and f["capital_words"].tolist() == [0, 1, 0, 0, 0, 0, 0, 0]
+    assert f["exclamations"][1] == 2 and f["obfuscation"][6] == 0 and f["obfuscation"][7] > 0
+    assert f["log_words"][3] == f["log_words"][4] == 0
