@@ -29,6 +29,7 @@ WORD_BYTES[0x30:0x3A] = WORD_BYTES[0x61:0x7B] = WORD_BYTES[0x80:] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 HITS = "n_words long, spans array<struct<first:int,last:int>>, items array<string>"
+CLEAN = ", clean_text string"
 
 
 def _words(column: pa.Array):
@@ -97,9 +98,9 @@ class WindowSet:
             self.by_length[n] = (np.sort(hashes), table)
 
 
-def _scan(windows):
+def _scan(windows, clean: bool):
     def function(batch: pa.RecordBatch) -> list[pa.Array]:
-        _, data, offsets, start, end, doc = _words(batch.column("text"))
+        raw, data, offsets, start, end, doc = _words(batch.column("text"))
         docs = len(offsets) - 1
         marks = np.zeros(len(start) + 1, np.int32)
         items: dict[int, set[str]] = {}
@@ -135,18 +136,33 @@ def _scan(windows):
             if hit[lo]:
                 i = int(doc[lo])
                 spans[i].append({"first": lo - int(first[i]), "last": hi - 1 - int(first[i])})
-        return [
+        out = [
             pa.array(np.diff(first).astype(np.int64)),
             pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
             pa.array([sorted(items.get(i, ())) for i in range(docs)], pa.list_(pa.string())),
         ]
+        if clean:
+            texts = batch.column("text").to_pylist()
+            for i in range(docs):
+                if spans[i]:
+                    keep, at = [], int(offsets[i])
+                    for s in spans[i]:
+                        keep.append(raw[at : start[first[i] + s["first"]]].tobytes())
+                        at = int(end[first[i] + s["last"]])
+                    texts[i] = b"".join([*keep, raw[at : offsets[i + 1]].tobytes()]).decode()
+            out.append(pa.array(texts, pa.string()))
+        return out
 
     return function
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, max_windows: int = 2_000_000) -> DataFrame:
+def find_hits(
+    docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, max_windows: int = 2_000_000, clean: bool = False
+) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``spans`` (first and last word of each marked run) and ``items``.
 
+    With ``clean`` also ``clean_text``, the text without the marked runs.
+
     Null and empty texts have no words and no hits; an empty benchmark marks nothing;
     repeated rows are scanned once each.  Columns of ``docs`` of those names are replaced.
     """
@@ -154,11 +170,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, max_win
     windows = cut(benchmark_windows(benchmark, ngram))
     parts = max(1, math.ceil(windows.count() / max_windows))
     dealt = windows.withColumn("part", F.pmod(F.xxhash64("item", "n", "window"), F.lit(parts)))
-    out = docs.drop("n_words", "n_hit", "spans", "items")
+    out = docs.drop("n_words", "n_hit", "spans", "items", "clean_text")
     for part in range(parts):
         rows = dealt.filter(F.col("part") == part).select("item", "n", "window").collect()
         shared = spark.sparkContext.broadcast(WindowSet(rows))
-        out = extend(out if part == 0 else cut(out), _scan(shared), HITS)
+        last = clean and part == parts - 1
+        out = extend(out if part == 0 else cut(out), _scan(shared, last), HITS + CLEAN * last)
     n_hit = F.expr("aggregate(spans, 0L, (a, s) -> a + s.last - s.first + 1)")
     return out.withColumn("n_hit", n_hit)
 
@@ -168,24 +185,6 @@ def is_contaminated(n_hit="n_hit", n_words="n_words", share: int = 20):
     return (F.col(n_hit) > 0) & (F.col(n_hit) * share >= F.col(n_words))
 
 
-def _excise(batch: pa.RecordBatch) -> list[pa.Array]:
-    raw, _, offsets, start, end, doc = _words(batch.column("text"))
-    first = np.searchsorted(doc, np.arange(len(offsets)))
-    out = []
-    for i, (text, spans) in enumerate(
-        zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)
-    ):
-        if spans:
-            keep, at = [], int(offsets[i])
-            for s in spans:
-                keep.append(raw[at : start[first[i] + s["first"]]].tobytes())
-                at = int(end[first[i] + s["last"]])
-            keep.append(raw[at : offsets[i + 1]].tobytes())
-            text = b"".join(keep).decode()
-        out.append(text)
-    return [pa.array(out, pa.string())]
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, share: int = 20) -> DataFrame:
     """Documents that are not contaminated, with any marked spans cut out of ``text``; columns as in ``docs``.
 
@@ -193,7 +192,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, sha
     """
 
     def keep(d: DataFrame) -> DataFrame:
-        hits = find_hits(d, benchmark, ngram).filter(~is_contaminated(share=share))
-        return extend(hits, _excise, "clean_text string").withColumn("text", F.col("clean_text"))
+        hits = find_hits(d, benchmark, ngram, clean=True).filter(~is_contaminated(share=share))
+        return hits.withColumn("text", F.col("clean_text"))
 
     return filtered(docs, {"n_words", "n_hit", "spans", "items", "clean_text"}, keep)

@@ -221,7 +221,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     name.  Repeated rows are labelled alike; columns of those names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return extend(docs, _label(shared), "lang_pred string, score double", limit=8 << 20)
+    return extend(docs, _label(shared), "lang_pred string, score double", limit=4 << 20)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -116,7 +116,7 @@ def _sign(n, bands, rows):
         mult = ((k[: bands * rows] >> np.uint64(32)).astype(np.uint32)) | np.uint32(1)
         add = (k[bands * rows :] >> np.uint64(32)).astype(np.uint32)
         row_mix, band_mix = constants(rows, 7), constants(bands, 11)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             grams, owner, count, keys = shingles(batch.column("text"), n)
             bounds = np.searchsorted(owner, np.arange(len(count) + 1))
             hashes: list = []
@@ -178,7 +178,7 @@ def _sets(n):
     """Rows of candidates with their text become rows with their sorted shingle set."""
 
     def run(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             grams, owner, count, keys = shingles(batch.column("text"), n)
             bounds = np.searchsorted(owner, np.arange(len(count) + 1))
             same = (keys[0].view(np.int64) == batch.column("k1").to_numpy()) & (

@@ -90,7 +90,7 @@ def _pack(path, pieces, end_id, capacity, max_open):
         end = np.array([end_id], "<u4").tobytes()
         base = TaskContext.get().partitionId() << 40
         bins = BestFit(capacity, max_open)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             encoded = enc.encode(batch.column("text").to_pylist())
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):

@@ -84,7 +84,7 @@ def _write(out, path, pieces, end_id, dtype):
         shard, width = task.partitionId(), len(end)
         fs, folder = _folder(out)
         part, index, at, sink = f"{folder}/{_name(shard)}", [], 0, None
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             if sink is None:
                 fs.create_dir(folder, recursive=True)
                 tmp = f"{part}.{task.taskAttemptId()}.tmp"

@@ -30,7 +30,7 @@ class Encoder:
     others are encoded anew in each call.
     """
 
-    def __init__(self, path: str, pieces: str, dtype: str = "<u4", limit: int = 1_100_000):
+    def __init__(self, path: str, pieces: str, dtype: str = "<u4", limit: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 

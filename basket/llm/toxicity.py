@@ -143,11 +143,11 @@ def _featurise(lexicon):
 
 def with_features(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """``docs`` with the array ``features``, in the order of ``FEATURES``."""
-    return extend(docs, _featurise(docs.sparkSession.sparkContext.broadcast(lexicon)), _DDL)
+    return extend(docs, _featurise(docs.sparkSession.sparkContext.broadcast(lexicon)), _DDL, limit=2 << 20)
 
 
 def _distinct_words(batches):
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", 2 << 20):
         raw, offsets = utf8(batch.column("text"))
         data = _FOLD[raw]
         start, end, doc = word_spans(data, offsets, _LETTER)
