@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from basket.llm.common import arrow_map, cut
 
 ASSISTANT = "assistant"
+_END = "</turn>\n"
 _BODY = r"((?:[^\\<]|\\.|<(?!/turn>))*)"
 _TURN = re.compile(r"### ((?:[^\\:]|\\.)*): " + _BODY + r"</turn>\n", re.DOTALL)
 _ESCAPE = re.compile(r"\\(\\|###|</turn>|:)")
@@ -57,7 +58,8 @@ def unescape(text: str) -> str:
 
 
 def _conversations(rows: DataFrame) -> DataFrame:
-    """``conv_id, turns`` (role, text; in order) and ``path``, the hash of each prefix of turns.
+    """Per conversation, by turn: ``path`` (the hash of each prefix of turns), ``texts`` (formatted turns),
+    ``lengths`` and ``heads`` (where the loss span begins; null for turns without loss).
 
     One conversation is one row by nature of the result; its turns are the group.
     """
@@ -71,9 +73,20 @@ def _conversations(rows: DataFrame) -> DataFrame:
         own = F.sha2(F.to_json(F.struct(before.alias("p"), t["role"].alias("r"), t["text"].alias("t"))), 256)
         return F.concat(done, F.array(F.substring(own, 1, 32)))
 
+    def shaped(t: Column) -> Column:
+        head = F.concat(F.lit("### "), escaped(t["role"], role=True), F.lit(": "))
+        start = F.when(t["role"] == ASSISTANT, F.char_length(head).cast("long"))
+        return F.struct(F.concat(head, escaped(t["text"]), F.lit(_END)).alias("text"), start.alias("head"))
+
     path = F.aggregate("turns", F.array().cast("array<string>"), prefix)
-    turns = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return grouped.select("conv_id", turns.alias("turns"), path.alias("path"))
+    made = grouped.select("conv_id", path.alias("path"), F.transform("turns", shaped).alias("s"))
+    return made.select(
+        "conv_id",
+        "path",
+        F.col("s.text").alias("texts"),
+        F.transform("s", lambda x: F.char_length(x["text"]).cast("long")).alias("lengths"),
+        F.col("s.head").alias("heads"),
+    )
 
 
 class PrefixTrees:
@@ -104,49 +117,29 @@ def build(rows: DataFrame) -> PrefixTrees:
     An empty table gives empty trees.  Other columns are ignored.
     """
     convs = cut(_conversations(rows))
-    members = convs.select("conv_id", F.try_element_at("path", F.lit(-1)).alias("leaf"))
+    leaf = F.try_element_at("path", F.lit(-1)).alias("leaf")
+    # from here on texts stay where they are; only hashes and lengths move
+    slim = convs.select("conv_id", leaf, "path", "lengths", "heads")
 
     # distinct conversations, numbered in depth-first order
-    ids = convs.groupBy(F.try_element_at("path", F.lit(-1)).alias("leaf")).agg(F.min(F.struct(F.col("conv_id").isNotNull().alias("k"), "conv_id")).alias("c"))
-    owner = ids.select(F.col("leaf"), F.col("c.conv_id").alias("conv_id"))
-    first = convs.withColumn("leaf", F.try_element_at("path", F.lit(-1))).join(
-        owner.withColumnRenamed("leaf", "l").withColumnRenamed("conv_id", "c"), F.col("leaf").eqNullSafe(F.col("l")) & F.col("conv_id").eqNullSafe(F.col("c"))
-    )
-    ordered = first.select("path", "turns", "leaf").repartitionByRange("path").sortWithinPartitions("path")
+    distinct = slim.groupBy("leaf").agg(F.min(F.struct("path", "lengths", "heads")).alias("c")).select("leaf", "c.*")
+    ordered = distinct.repartitionByRange("path").sortWithinPartitions("path")
     numbered = cut(ordered.withColumn("rank", F.monotonically_increasing_id()))
 
     # a node belongs to the least-numbered conversation through it
-    prefixes = numbered.select("rank", F.posexplode("path").alias("depth", "node"))
-    emitted = prefixes.groupBy("node").agg(F.min("rank").alias("rank"))
-    new = emitted.groupBy("rank").agg(F.count("*").cast("int").alias("n_new"))
-
-    formatted = F.transform(
-        "turns",
-        lambda t: F.struct(
-            t["role"].alias("role"),
-            F.concat(F.lit("### "), escaped(t["role"], role=True), F.lit(": ")).alias("head"),
-            escaped(t["text"]).alias("body"),
-        ),
-    )
-    texts = F.transform("f", lambda t: F.concat(t["head"], t["body"], F.lit("</turn>\n")))
-    sized = (
-        numbered.join(new, "rank")
-        .withColumn("f", formatted)
-        .withColumn("texts", texts)
-        .withColumn("lengths", F.transform("texts", lambda x: F.char_length(x).cast("long")))
-        .withColumn("n_old", F.size("path") - F.col("n_new"))
-    )
+    prefixes = numbered.select("rank", F.explode("path").alias("node"))
+    new = prefixes.groupBy("node").agg(F.min("rank").alias("rank")).groupBy("rank").agg(F.count("*").cast("int").alias("n_new"))
     sized = cut(
-        sized.select(
+        numbered.join(new, "rank").select(
             F.shiftright("rank", 33).alias("part"),
             "rank",
             F.try_element_at("path", F.lit(1)).alias("tree"),
             "path",
-            "n_old",
-            "texts",
+            (F.size("path") - F.col("n_new")).alias("n_old"),
             "lengths",
-            F.transform("f", lambda t: F.when(t["role"] == ASSISTANT, F.char_length(t["head"]).cast("long"))).alias("heads"),
-            F.expr("aggregate(slice(lengths, n_old + 1, n_new), 0L, (a, x) -> a + x)").alias("emits"),
+            "heads",
+            F.expr("transform(sequence(0, size(lengths) - 1), i -> aggregate(slice(lengths, 1, i), 0L, (a, x) -> a + x))").alias("positions"),
+            F.expr("aggregate(slice(lengths, size(path) - n_new + 1, n_new), 0L, (a, x) -> a + x)").alias("emits"),
         )
     )
 
@@ -159,40 +152,43 @@ def build(rows: DataFrame) -> PrefixTrees:
     base = sums.select("part", "tree", F.coalesce(F.sum("emits").over(earlier), F.lit(0)).alias("base"))
     starts = local.join(base, ["part", "tree"]).select("rank", (F.col("base") + F.col("local")).alias("begin"))
 
-    own = sized.join(starts, "rank").withColumn(
-        "positions", F.expr("transform(sequence(0, size(lengths) - 1), i -> aggregate(slice(lengths, 1, i), 0L, (a, x) -> a + x))")
-    )
-    node = F.posexplode(F.expr("slice(arrays_zip(path, texts, lengths, positions, heads), n_old + 1, size(path))")).alias("i", "n")
-    nodes = own.select("tree", "rank", "path", "n_old", "begin", "positions", node).select(
-        "tree",
-        "rank",
-        F.col("n.path").alias("node"),
-        F.expr("get(path, n_old + i - 1)").alias("parent"),
-        (F.col("n_old") + F.col("i")).alias("depth"),
-        F.col("n.texts").alias("formatted"),
-        F.col("n.lengths").alias("length"),
-        F.col("n.positions").alias("position"),
-        (F.col("begin") + F.col("n.positions") - F.expr("get(positions, n_old)")).alias("offset"),
-        F.col("n.heads").alias("loss_start"),
-        F.when(F.col("n.heads").isNotNull(), F.col("n.lengths") - len("</turn>\n")).alias("loss_end"),
+    each = F.posexplode(F.expr("slice(arrays_zip(path, lengths, positions, heads), n_old + 1, size(path))")).alias("i", "n")
+    placed = cut(
+        sized.join(starts, "rank")
+        .select("tree", "rank", "path", "n_old", "begin", "positions", each)
+        .select(
+            "tree",
+            "rank",
+            "begin",
+            F.col("n.path").alias("node"),
+            F.expr("get(path, n_old + i - 1)").alias("parent"),
+            (F.col("n_old") + F.col("i")).alias("depth"),
+            F.col("n.lengths").alias("length"),
+            F.col("n.positions").alias("position"),
+            (F.col("begin") + F.col("n.positions") - F.expr("get(positions, n_old)")).alias("offset"),
+            F.col("n.heads").alias("loss_start"),
+            F.when(F.col("n.heads").isNotNull(), F.col("n.lengths") - len(_END)).alias("loss_end"),
+        )
     )
-    nodes = cut(nodes)
 
     # ancestors that an earlier conversation emitted: one row for each shared prefix of each distinct conversation
     shared = sized.filter("n_old > 0").select("rank", F.explode(F.expr("slice(path, 1, n_old)")).alias("node"))
-    at = nodes.select("node", F.struct(F.col("offset").alias("start"), (F.col("offset") + F.col("length")).alias("end")).alias("s"))
-    stretches = shared.join(at, "node").groupBy("rank").agg(F.sort_array(F.collect_list("s")).alias("before"))
-    with_before = nodes.join(stretches, "rank", "left")
+    stretch = F.struct(F.col("offset").alias("start"), (F.col("offset") + F.col("length")).alias("end"))
+    before = shared.join(placed.select("node", stretch.alias("s")), "node")
+    before = before.groupBy("rank").agg(F.sort_array(F.collect_list("s")).alias("before"))
     # the conversation's own earlier nodes lie next to each other: one more stretch up to this node
-    begin = F.min("offset").over(Window.partitionBy("rank"))
     ahead = F.coalesce("before", F.array().cast("array<struct<start:bigint,end:bigint>>"))
     mine = F.struct(F.col("begin").alias("start"), F.col("offset").alias("end"))
     raw = F.when(F.col("offset") > F.col("begin"), F.concat(ahead, F.array(mine))).otherwise(ahead)
-    nodes = with_before.withColumn("begin", begin).withColumn("attends", _merged(raw))
-    return PrefixTrees(
-        nodes.select("tree", "node", "parent", "depth", "formatted", "length", "position", "offset", "loss_start", "loss_end", "attends"),
-        members.join(numbered.select("leaf", "path"), "leaf"),
+    seen = placed.join(before, "rank", "left").withColumn("attends", _merged(raw))
+
+    # each node's text once, combined before the shuffle
+    pairs = convs.select(F.explode(F.arrays_zip("path", "texts")).alias("t"))
+    texts = pairs.groupBy(F.col("t.path").alias("node")).agg(F.first("t.texts").alias("formatted"))
+    nodes = seen.join(texts, "node").select(
+        "tree", "node", "parent", "depth", "formatted", "length", "position", "offset", "loss_start", "loss_end", "attends"
     )
+    return PrefixTrees(nodes, slim.select("conv_id", "leaf").join(numbered.select("leaf", "path"), "leaf"))
 
 
 def _merged(stretches: Column) -> Column:

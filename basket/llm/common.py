@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import basket
-from basket.session import ensure_checkpoint_dir
+from basket.session import ensure_checkpoint_dir, scratch_folder
 
 _U64 = np.uint64
 # Odd 64-bit base of the polynomial word hash and the constants of its finaliser.
@@ -34,11 +34,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder path below the cluster's shared checkpoint folder."""
-    d = ensure_checkpoint_dir(spark)
-    if d.startswith("file:/") and not d.startswith("file://"):
-        d = d[len("file:") :]
-    return f"{d.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new folder in the cluster's shared checkpoint folder, deleted when the application ends."""
+    d = scratch_folder(spark, name)
+    return d[len("file:") :] if d.startswith("file:/") and not d.startswith("file://") else d
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -157,10 +155,25 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, function, schema) -> DataFrame:
-    """``mapInArrow`` with this package on the workers' path."""
+    """``mapInArrow`` with this package on the workers' path; tasks leave no freed memory behind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            release_memory()
+
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)
 
 
 def extend(df: DataFrame, function, ddl: str, limit: int = 4 << 20) -> DataFrame:

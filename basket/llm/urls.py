@@ -23,6 +23,7 @@ from basket.llm.common import cut
 Rule = tuple[str, str, str]
 
 ROUNDS, DAMPING, THRESHOLD = 10, 0.85, 0.5
+BROADCAST_HOSTS = 200_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _HREF = r"""(?i)\bhref\s*=\s*["']?([^"'>\s]*)"""
 
@@ -129,7 +130,10 @@ def filter_urls(
     judged = judge(pages, rules)
     share = [F.avg(F.when(F.col("ruled") == v, 1.0).otherwise(0.0)).alias(c) for v, c in (("allow", "seed_trust"), ("block", "seed_distrust"))]
     seeds = judged.filter("host <> ''").groupBy("host").agg(*share)
-    scores = propagate(seeds, host_edges(pages), rounds, damping)
+    scores = cut(propagate(seeds, host_edges(pages), rounds, damping))
+    # Up to that many hosts the pages stay where they are; beyond, adaptive execution splits a hot host's pages.
+    if scores.count() <= BROADCAST_HOSTS:
+        scores = F.broadcast(scores)
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     suspect = distrust > threshold * (trust + distrust)
     return judged.join(scores, "host", "left").select(

@@ -1,23 +1,16 @@
 """The pipeline against a plain Python version of its stages, and the registered SQL twins."""
 
-import os
-import sys
-
 import public_tokenizers
 import pytest
 
 import corpus_pipeline
 from basket.llm import langid, registry
-
-sys.path.insert(0, os.path.dirname(__file__))
-sys.path.insert(0, os.path.dirname(os.path.dirname(__file__)))
-
-from oracle import compare, duck  # noqa: E402
-from test_decontam import WORD, lower  # noqa: E402
-from test_decontam import brute as plain_hits  # noqa: E402
-from test_ngram_join import brute as plain_similar  # noqa: E402
-from test_packing import check as check_packing  # noqa: E402
-from test_rules import failures  # noqa: E402
+from tests.llm.test_decontam import WORD, lower
+from tests.llm.test_decontam import brute as plain_hits
+from tests.llm.test_ngram_join import brute as plain_similar
+from tests.llm.test_packing import check as check_packing
+from tests.llm.test_rules import failures
+from tests.oracle import compare, duck
 
 SMALL = "/root/testdata/sf0.001"
 
