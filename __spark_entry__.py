@@ -7,25 +7,24 @@ the session's shared checkpoint folder, and each query then runs one catalogue
 query over the whole of them -- the same path as ``bench.py`` and the CLI.  The
 ``*_table`` entries check the derived tables themselves.
 ``oracle_sql`` gives the same computation in DuckDB SQL: the derivation as CTEs,
-then the query.  Queries whose result depends on k-means or on xxhash64 have no
-SQL twin and are checked for rows only (and by the tests).
+then the query.  The k-means labels themselves have no SQL twin; what must hold for any
+correct run (scaling, nearest centres, profile totals) is queried and has one.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basket.operators.facts import basket_sizes
+from basket.operators.sampling import sample_predicate, threshold
 from basket.plans import catalog
 from basket.plans import segments as G
-from basket.session import ensure_checkpoint_dir
+from basket.session import scratch_folder
 from basket.sources.star import build_star_tables
-from basket.sources.tables import Tables
+from basket.sources.tables import Tables, load_tables, persist_tables, register_views, save_csv
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -39,8 +38,7 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The derived basket tables, built and stored once per application and directory."""
     key = (spark.conf.get("spark.app.id", str(id(spark))), sf_dir)
     if key not in _cache:
-        out = os.path.join(ensure_checkpoint_dir(spark), f"basket-tables-{uuid.uuid4().hex[:12]}")
-        _cache[key] = build_star_tables(spark, sf_dir, out)
+        _cache[key] = build_star_tables(spark, sf_dir, scratch_folder(spark, "basket-tables"))
     return _cache[key]
 
 
@@ -53,16 +51,103 @@ def _q(key: str, **params) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: catalog.run(tables(spark, sf_dir), key, **params)
 
 
+def _rounded(f: DataFrame) -> DataFrame:
+    return f.select("user_id", *[F.round(c, DIGITS).alias(c) for c in G.FEATURES])
+
+
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
-    f = G.user_features(t.orders, t.order_items, t.products)
-    return f.select("user_id", *[F.round(c, DIGITS).alias(c) for c in G.FEATURES])
+    return _rounded(G.user_features(t.orders, t.item_parts, t.products))
+
+
+def _features_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tables(spark, sf_dir)
+    kept = sample_predicate(t.orders, "user_id", 0.3, 42, step=G.USER_STEP)
+    return _rounded(G.user_features(t.orders, t.item_parts, t.products, user_filter=kept))
+
+
+def _training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of a 0.3 sample that a 0.5 sample of their own keeps for the fit."""
+    t = tables(spark, sf_dir)
+    kept = sample_predicate(t.orders, "user_id", 0.3, 42, step=G.USER_STEP)
+    feats = G.user_features(t.orders, t.item_parts, t.products, user_filter=kept)
+    return G.training_rows(feats, 5, 0.5, 42).select("user_id")
+
+
+def _fit(spark: SparkSession, sf_dir: str):
+    t = tables(spark, sf_dir)
+    return G.fitted(t.orders, t.item_parts, t.products)
+
+
+def _scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deviations the fitted model scales with, beside the feature names (six rows)."""
+    scales = G.feature_scales(_fit(spark, sf_dir)[1])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(round(v, 6)).alias("std")) for c, v in scales.items()]))
+    # From the fitted rows, so that an empty fit gives no row.
+    return _fit(spark, sf_dir)[1].train.limit(1).select(rows.alias("r")).select("r.feature", "r.std")
+
+
+# Centres (raw units) for the checkable assignment.
+CENTRES = [[5.0, 200.0, 8.0, 3.0, 0.1, 4.0], [15.0, 150.0, 12.0, 4.0, 0.2, 7.0], [25.0, 80.0, 14.0, 5.0, 0.3, 8.0]]
+
+
+def _assign_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tables(spark, sf_dir)
+    feats = G.user_features(t.orders, t.item_parts, t.products)
+    near = G.nearest_centre(feats, CENTRES, dict.fromkeys(G.FEATURES, 1.0))
+    return near.select("user_id", "nearest", F.round("distance", 6).alias("distance"))
+
+
+def _assignment_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled users, clusters, and users whose label is not their nearest centre."""
+    feats, seg = _fit(spark, sf_dir)
+    centres = [list(map(float, c)) for c in seg.model.stages[-1].clusterCenters()]
+    near = G.nearest_centre(seg.train, centres, G.feature_scales(seg)).select("user_id", "nearest", "distance")
+    raw = seg.model.transform(seg.train).select("user_id", "raw_cluster").join(G.assign_segments(seg, seg.train), "user_id")
+    own = F.element_at(F.array(*[F.lit(i) for i in range(len(centres))]), F.col("raw_cluster") + 1)
+    return raw.join(near, "user_id").agg(
+        F.count(F.lit(1)).alias("users"),
+        F.count_distinct("cluster").alias("clusters"),
+        F.coalesce(F.sum((own != F.col("nearest")).cast("long")), F.lit(0)).alias("violations"),
+    )
+
+
+def _profile_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile put together again: all users and the overall means."""
+    prof = _q("kmeans_user_cluster_profile")(spark, sf_dir)
+    users = F.sum("users")
+    means = [c for c in prof.columns if c.startswith("avg_")]
+    return prof.agg(users.alias("users"), *[F.round(F.sum(F.col(c) * F.col("users")) / users, 6).alias(c) for c in means])
+
+
+def _csv_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after a round trip through the csv layout."""
+    out = scratch_folder(spark, "basket-csv")
+    save_csv(tables(spark, sf_dir), out)
+    return load_tables(spark, out, "csv").order_items
+
+
+def _views_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales by department in SQL over the registered views."""
+    register_views(tables(spark, sf_dir))
+    return spark.sql(
+        """SELECT department_id, department, items_sold,
+             CAST(items_sold AS DOUBLE) * 100.0 / (SELECT count(*) FROM order_items JOIN products USING (product_id)) AS pct
+           FROM (SELECT p.department_id, d.department, count(*) AS items_sold
+                 FROM order_items i JOIN products p ON i.product_id = p.product_id
+                   JOIN departments d ON p.department_id = d.department_id
+                 GROUP BY p.department_id, d.department)"""
+    )
+
+
+def _cached_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.run(persist_tables(tables(spark, sf_dir)), "kpi")
 
 
 def _fixed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile of the fixed assignment cluster = user_id % 5 (oracle-checkable)."""
     t = tables(spark, sf_dir)
-    f = G.user_features(t.orders, t.order_items, t.products)
+    f = G.user_features(t.orders, t.item_parts, t.products)
     prof = G.profile_segments(f.withColumn("cluster", (F.col("user_id") % 5).cast("int")))
     return prof.select(
         "cluster", "users", *[F.round(c, DIGITS).alias(c) for c in prof.columns if c.startswith("avg_")]
@@ -73,8 +158,8 @@ def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: getattr(tables(spark, sf_dir), name)
 
 
-def _sampled_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.sample_users(tables(spark, sf_dir).orders, fraction=0.3, seed=42)
+def _sampled_users(max_users: int | None = None) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: G.sample_users(tables(spark, sf_dir).orders, 0.3, 42, max_users)
 
 
 def _llm():
@@ -107,7 +192,10 @@ def _catalogue_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "products_table": _table("products"),
         "aisles_table": _table("aisles"),
         "departments_table": _table("departments"),
-        "basket_sizes": lambda spark, d: basket_sizes(tables(spark, d).order_items),
+        "basket_sizes": lambda spark, d: basket_sizes(tables(spark, d).item_parts),
+        "csv_items": _csv_items,
+        "views_sales_by_department": _views_sales,
+        "cached_kpi": _cached_kpi,
         # the catalogue, default parameters
         "kpi": _q("kpi"),
         "top_products": _q("top_products"),
@@ -132,7 +220,14 @@ def _catalogue_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # segmentation
         "user_features": _features,
         "segment_profile_fixed": _fixed_profile,
-        "sampled_users": _sampled_users,
+        "user_features_sampled": _features_sampled,
+        "sampled_users": _sampled_users(),
+        "sampled_users_capped": _sampled_users(50),
+        "training_rows_sampled": _training_rows,
+        "segment_scaling": _scaling,
+        "segment_assign_fixed": _assign_fixed,
+        "kmeans_assignment_check": _assignment_check,
+        "kmeans_profile_totals": _profile_totals,
         "kmeans_user_clusters": _q("kmeans_user_clusters"),
         "kmeans_user_clusters_cluster0": _q("kmeans_user_clusters", cluster=0),
         "kmeans_user_cluster_profile": _q("kmeans_user_cluster_profile"),
@@ -266,6 +361,32 @@ SELECT user_id, round(num_orders, {DIGITS}) AS num_orders,
   round(avg_hour, {DIGITS}) AS avg_hour, round(avg_items_per_order, {DIGITS}) AS avg_items_per_order,
   round(reorder_rate_user, {DIGITS}) AS reorder_rate_user, round(dept_diversity, {DIGITS}) AS dept_diversity
 FROM b_feats""",
+    "user_features_sampled": f"""
+SELECT user_id, round(num_orders, {DIGITS}) AS num_orders,
+  round(avg_days_between_orders, {DIGITS}) AS avg_days_between_orders,
+  round(avg_hour, {DIGITS}) AS avg_hour, round(avg_items_per_order, {DIGITS}) AS avg_items_per_order,
+  round(reorder_rate_user, {DIGITS}) AS reorder_rate_user, round(dept_diversity, {DIGITS}) AS dept_diversity
+FROM b_feats WHERE md5('42/users/' || user_id) < '{threshold(0.3)}'""",
+    "sampled_users": f"SELECT DISTINCT user_id FROM b_orders WHERE md5('42/users/' || user_id) < '{threshold(0.3)}'",
+    "sampled_users_capped": f"""
+SELECT user_id FROM (SELECT DISTINCT user_id FROM b_orders WHERE md5('42/users/' || user_id) < '{threshold(0.3)}') t
+ORDER BY md5('42/users-cap/' || user_id), user_id LIMIT 50""",
+    "training_rows_sampled": f"""
+SELECT user_id FROM b_feats WHERE num_orders >= 5
+  AND md5('42/users/' || user_id) < '{threshold(0.3)}' AND md5('42/fit/' || user_id) < '{threshold(0.5)}'""",
+    "segment_scaling": "UNION ALL".join(
+        f" SELECT '{c}' AS feature, round(stddev_samp({c}), 6) AS std FROM b_feats WHERE num_orders >= 5 " for c in G.FEATURES
+    ),
+    "segment_assign_fixed": f"""
+SELECT user_id, CAST(CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS INT) AS nearest,
+  round(least(d0, d1, d2), 6) AS distance
+FROM (SELECT user_id, {", ".join(" + ".join(f"({c} - {v}) * ({c} - {v})" for c, v in zip(G.FEATURES, centre, strict=True)) + f" AS d{i}" for i, centre in enumerate(CENTRES))} FROM b_feats) t""",
+    "kmeans_assignment_check": "SELECT count(*) AS users, 5 AS clusters, 0 AS violations FROM b_feats WHERE num_orders >= 5",
+    "kmeans_profile_totals": """
+SELECT count(*) AS users, round(avg(num_orders), 6) AS avg_num_orders, round(avg(avg_items_per_order), 6) AS avg_basket_size,
+  round(avg(reorder_rate_user), 6) AS avg_reorder_rate, round(avg(dept_diversity), 6) AS avg_dept_diversity,
+  round(avg(avg_days_between_orders), 6) AS avg_days_between, round(avg(avg_hour), 6) AS avg_hour
+FROM b_feats WHERE num_orders >= 5""",
     "segment_profile_fixed": f"""
 SELECT CAST(user_id % 5 AS INT) AS cluster, count(*) AS users,
   round(avg(num_orders), {DIGITS}) AS avg_num_orders,
@@ -284,6 +405,9 @@ def _sql(body: str, **params) -> str:
 
 def oracle_sql() -> dict[str, str]:
     out = {k: _sql(v, n=10, min_count=200) for k, v in _BODIES.items()}
+    out["csv_items"] = out["order_items_table"]
+    out["views_sales_by_department"] = out["sales_by_department"]
+    out["cached_kpi"] = out["kpi"]
     out["top_products_n25"] = _sql(_BODIES["top_products"], n=25)
     out["top_reordered_products_n20_min100"] = _sql(_BODIES["top_reordered_products"], n=20, min_count=100)
     out["top_users_by_orders_n25"] = _sql(_BODIES["top_users_by_orders"], n=25)

@@ -1,7 +1,7 @@
 """Command line: the batch report and single catalogue queries.
 
     python -m basket report --path DIR [--fmt csv|parquet] [--out DIR] [--n 10] [--min-count 200]
-    python -m basket query KEY --path DIR [--fmt ...] [--param n=5 ...] [--limit 1000]
+    python -m basket query KEY --path DIR [--fmt ...] [--param n=5 ...] [--limit 1000 | --out DIR]
     python -m basket build --star DIR --out DIR [--buckets auto|N|0]   # derive + store
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so under
@@ -12,11 +12,12 @@ from __future__ import annotations
 
 import argparse
 import json
+import sys
 
 from pyspark.sql import SparkSession
 
 from basket.plans import catalog
-from basket.plans.report import query_records, run_report
+from basket.plans.report import query_records, run_report, write_result
 from basket.sources.star import build_star_tables
 from basket.sources.tables import load_tables
 
@@ -44,6 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     q.add_argument("--fmt", default="parquet", choices=["csv", "parquet"])
     q.add_argument("--param", action="append", default=[])
     q.add_argument("--limit", type=int)
+    q.add_argument("--out", help="write the whole result as parquet instead")
     b = sub.add_parser("build")
     b.add_argument("--star", required=True)
     b.add_argument("--out", required=True)
@@ -59,8 +61,14 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "report":
         run_report(tables, args.out, show=args.out is None, n=args.n, min_count=args.min_count)
     else:
-        for rec in query_records(tables, args.key, args.limit, **_params(args.param)):
+        if args.out:
+            write_result(catalog.run(tables, args.key, **_params(args.param)), args.out)
+            return
+        found = query_records(tables, args.key, args.limit, **_params(args.param))
+        for rec in found.rows:
             print(json.dumps(rec, default=str))
+        if found.truncated:
+            print(f"first {len(found.rows)} of {found.total} rows; --out DIR writes them all", file=sys.stderr)
 
 
 if __name__ == "__main__":

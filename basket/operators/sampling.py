@@ -3,57 +3,64 @@
 ``DataFrame.sample`` keeps a different set of rows when the partition layout
 changes; a threshold on a seeded hash of the key keeps the same keys whatever
 the layout, needs no shuffle, and every branch of a plan that filters the same
-key with it agrees.
+key with it agrees.  The hash is the 128-bit md5 of (seed, step, key), compared
+as hexadecimal text, so any SQL engine can repeat it and a fraction is kept to
+its full precision.  ``step`` names the sampling step: two steps with different
+names sample independently, so their fractions multiply.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_BUCKETS = 1_000_000
+from basket.operators.sequence import sequence_within
+
+
+def key_hash(key: str, seed: int, step: str) -> Column:
+    """32 hexadecimal digits; a NULL key hashes like an empty one."""
+    value = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.md5(F.concat_ws("/", F.lit(str(int(seed))), F.lit(step), value).cast("binary"))
 
 
-def hash_bucket(key: str, seed: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(int(seed)), F.col(key)), F.lit(_BUCKETS))
+def threshold(fraction: float) -> str:
+    """The least hash outside the sample, as 32 hexadecimal digits."""
+    return f"{int(Fraction(fraction) * 2**128):032x}"
 
 
-def hash_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
-    """Rows whose key falls in the first ``fraction`` of the hash space."""
+def in_sample(key: str, fraction: float, seed: int, step: str) -> Column:
+    """Whether the key's hash falls in the first ``fraction`` of the hash space."""
     if not 0.0 <= fraction <= 1.0:
         raise ValueError(f"fraction must be in [0, 1], got {fraction}")
     if fraction >= 1.0:
-        return df
-    return df.filter(hash_bucket(key, seed) < F.lit(int(round(fraction * _BUCKETS))))
+        return F.lit(True)
+    return key_hash(key, seed, step) < F.lit(threshold(fraction))
 
 
-# Largest cap served by a top-k.  Its final merge sees max_keys rows from every
-# input partition (max_keys x partitions rows in one place), so beyond this the
-# exact distributed numbering is used instead.
-TOP_K_MAX = 10_000
+def hash_sample(df: DataFrame, key: str, fraction: float, seed: int, step: str = "rows") -> DataFrame:
+    """Rows whose key is in the sample of that step."""
+    return df.filter(in_sample(key, fraction, seed, step))
 
 
-def hash_cap(keys: DataFrame, key: str, max_keys: int, seed: int) -> DataFrame:
-    """At most ``max_keys`` distinct keys, the ones with the smallest seeded hash
-    (ties by key): exactly the same keys whatever the layout.
+def hash_cap(keys: DataFrame, key: str, max_keys: int, seed: int, step: str = "cap") -> DataFrame:
+    """At most ``max_keys`` distinct keys, the ones with the smallest hash (ties by key).
 
-    Small caps are a top-k (each task keeps its best ``max_keys``, one task
-    merges them).  Larger caps number the keys in (hash, key) order with the
-    distributed row number and keep the first ``max_keys``.
+    The keys are numbered in (hash, key) order with the distributed row number, at
+    any cap, and those up to the cap are kept: exactly the same keys whatever the layout.
     """
     max_keys = int(max_keys)
     if max_keys < 1:
         raise ValueError(f"max_keys must be at least 1, got {max_keys}")
-    hashed = keys.select(key).distinct().withColumn("_h", hash_bucket(key, seed))
-    if max_keys <= TOP_K_MAX:
-        return hashed.orderBy("_h", key).limit(max_keys).select(key)
-    from basket.operators.sequence import sequence_within
-
+    hashed = keys.select(key).distinct().withColumn("_h", key_hash(key, seed, step))
     numbered = sequence_within(hashed, [], ["_h", key])
     return numbered.filter(F.col("seq") <= F.lit(max_keys)).select(key)
 
 
-def sample_predicate(keys: DataFrame, key: str, fraction: float, seed: int, max_keys: int | None = None) -> Column:
+def sample_predicate(
+    keys: DataFrame, key: str, fraction: float, seed: int, max_keys: int | None = None, step: str = "rows"
+) -> Column:
     """A row filter equal to "key is in ``hash_sample`` (then ``hash_cap``) of ``keys``".
 
     Used in place of a semi-join with the sampled key table: a filter is
@@ -61,13 +68,10 @@ def sample_predicate(keys: DataFrame, key: str, fraction: float, seed: int, max_
     the key table in one join task.  The cap becomes a cutoff on
     (hash, key), taken as a scalar subquery over the capped keys.
     """
-    if not 0.0 <= fraction <= 1.0:
-        raise ValueError(f"fraction must be in [0, 1], got {fraction}")
-    pred = F.lit(True)
-    if fraction < 1.0:
-        pred = hash_bucket(key, seed) < F.lit(int(round(fraction * _BUCKETS)))
+    pred = in_sample(key, fraction, seed, step)
     if max_keys is not None:
-        capped = hash_cap(hash_sample(keys.select(key).distinct(), key, fraction, seed), key, max_keys, seed)
-        cutoff = capped.agg(F.max(F.struct(hash_bucket(key, seed).alias("h"), F.col(key).alias("k")))).scalar()
-        pred = pred & (F.struct(hash_bucket(key, seed).alias("h"), F.col(key).alias("k")) <= cutoff)
+        cap = f"{step}-cap"
+        capped = hash_cap(hash_sample(keys.select(key).distinct(), key, fraction, seed, step), key, max_keys, seed, cap)
+        place = F.struct(key_hash(key, seed, cap).alias("h"), F.col(key).alias("k"))
+        pred = pred & (place <= capped.agg(F.max(place)).scalar())
     return pred

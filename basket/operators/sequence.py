@@ -147,15 +147,45 @@ def sequence_within(
     return out
 
 
-def dense_ids(df: DataFrame, value_col: str, id_col: str, *, num_partitions: int | None = None) -> DataFrame:
-    """``(value, id)`` where id is the dense rank (1-based) of each distinct value.
+# Fixed value: a group with more rows than this is cut into slices.
+HOT_GROUP_ROWS = 1_000_000
 
-    Distinct values come from a partial-then-final aggregate; the rank is a
-    distributed row number over them (no single-task global window).
+
+def sequence_by_group(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    order_cols: Sequence[str],
+    *,
+    lag_cols: Sequence[str] = (),
+    hot_rows: int = HOT_GROUP_ROWS,
+) -> DataFrame:
+    """:func:`sequence_within` with one shuffle for all groups of ordinary size.
+
+    Rows are counted per group first (a partial-then-final aggregate).  Groups of up to ``hot_rows``
+    rows are numbered by a plain window; the others, at most rows / hot_rows of
+    them and so safe to broadcast, take the sliced way.
     """
-    values = df.select(value_col).distinct()
-    ranked = sequence_within(values, [], [value_col], num_partitions=num_partitions)
-    return ranked.select(value_col, F.col("seq").alias(id_col))
+    keys, order = list(group_cols), [F.col(c).asc_nulls_first() for c in order_cols]
+    ensure_checkpoint_dir(df.sparkSession)
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > int(hot_rows))
+    hot = large.select(*[F.col(c).alias(f"_h_{c}") for c in keys]).checkpoint(eager=True)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        total = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        seq = F.row_number().over(w)
+        return rows.select(
+            *df.columns,
+            seq.cast("long").alias("seq"),
+            (seq == total).alias("is_last"),
+            *[F.lag(c).over(w).alias(f"prev_{c}") for c in lag_cols],
+        )
+
+    if hot.isEmpty():
+        return plain(df)
+    on = _null_safe_on(df, hot, [(c, f"_h_{c}") for c in keys])
+    sliced = sequence_within(df.join(F.broadcast(hot), on, "left_semi"), keys, order_cols, lag_cols=lag_cols)
+    return plain(df.join(F.broadcast(hot), on, "left_anti")).unionByName(sliced)
 
 
 def dense_ids_by(df: DataFrame, kind_col: str, value_col: str, id_col: str, *, num_partitions: int | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basket.functions.columns import as_double, basket_bucket, bucket_rank, ratio
-from basket.operators.facts import basket_sizes
+from basket.operators.facts import Items, basket_sizes, over_parts
 from basket.sources.schema import SPLITS
 
 
@@ -29,7 +29,7 @@ def orders_by_hour(orders: DataFrame) -> DataFrame:
     )
 
 
-def avg_items_by_dow(orders: DataFrame, items: DataFrame) -> DataFrame:
+def avg_items_by_dow(orders: DataFrame, items: Items) -> DataFrame:
     """Mean basket size per weekday; orders without items do not count.
 
     A basket is (split, order).  Items are counted per order with one count per
@@ -42,12 +42,16 @@ def avg_items_by_dow(orders: DataFrame, items: DataFrame) -> DataFrame:
     # The fact holds the two split tables: an order is one basket per split it
     # appears in.  Numeric flags keep the aggregate a (codegen) hash aggregate.
     in_split = [F.max((F.col("eval_set") == s).cast("int")) for s in SPLITS]
-    per_order = items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        sum(in_split[1:], in_split[0]).alias("baskets"),
-    )
+    dated = orders.select("order_id", "order_dow")
+
+    def per_order(part: DataFrame) -> DataFrame:
+        counted = part.groupBy("order_id").agg(
+            F.count(F.lit(1)).alias("n"), sum(in_split[1:], in_split[0]).alias("baskets")
+        )
+        return counted.join(dated, "order_id")
+
     return (
-        per_order.join(orders.select("order_id", "order_dow"), "order_id")
+        over_parts(items, per_order)
         .groupBy("order_dow")
         .agg(ratio(F.sum("n"), F.sum("baskets")).alias("avg_items"))
         .orderBy(F.col("order_dow").asc_nulls_first())
@@ -57,7 +61,7 @@ def avg_items_by_dow(orders: DataFrame, items: DataFrame) -> DataFrame:
 # --- basket sizes (Q10) -------------------------------------------------------
 
 
-def basket_size_buckets(items: DataFrame) -> DataFrame:
+def basket_size_buckets(items: Items) -> DataFrame:
     """Baskets per size bucket, in bucket order; empty buckets give no row."""
     return (
         basket_sizes(items)
@@ -116,7 +120,7 @@ def _per_split(df: DataFrame, value: str, out: str) -> DataFrame:
     return wide.unpivot([], list(SPLITS), "eval_set", out).orderBy("eval_set")
 
 
-def avg_items_by_eval_set(items: DataFrame) -> DataFrame:
+def avg_items_by_eval_set(items: Items) -> DataFrame:
     return _per_split(basket_sizes(items), "num_items", "avg_items")
 
 

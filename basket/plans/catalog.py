@@ -1,7 +1,8 @@
 """The query catalogue: the 18 named queries, their groups, parameters and bounds.
 
 ``run(tables, key, **params)`` validates parameters against the bounds and
-returns the lazy result; nothing runs until the caller acts on it.
+returns the lazy result; the two k-means entries fit their model (once for equal
+parameters over the same tables) before they return.
 """
 
 from __future__ import annotations
@@ -28,12 +29,15 @@ class Param:
     hi: float | None = None
     optional: bool = False
     kind: type = int
+    choices: tuple[str, ...] = ()
 
     def check(self, value: Any) -> Any:
         if value is None:
             if self.optional:
                 return None
             raise ValueError(f"{self.name} is required")
+        if self.choices and value not in self.choices:
+            raise ValueError(f"{self.name}={value!r} is not one of {self.choices}")
         try:
             value = self.kind(value)
         except (TypeError, ValueError):
@@ -53,6 +57,11 @@ class Entry:
     fn: Callable[..., DataFrame]
     params: tuple[Param, ...] = field(default_factory=tuple)
 
+    @property
+    def ranked(self) -> bool:
+        """The result is in rank order already."""
+        return self.key not in ("kmeans_user_clusters",)
+
     @property
     def needs_n(self) -> bool:
         return any(p.name == "n" for p in self.params)
@@ -69,6 +78,15 @@ K = Param("k", 5, 2, 20)
 SEED = Param("seed", 42)
 CLUSTER = Param("cluster", None, 0, 19, optional=True)
 LIMIT = Param("limit", 1000, 1, 50_000)
+FIT = (
+    K,
+    SEED,
+    Param("min_orders", 5, 1, 1_000_000),
+    Param("sample_fraction", 1.0, 0.0, 1.0, kind=float),
+    Param("user_fraction", 1.0, 0.0, 1.0, kind=float),
+    Param("max_users", None, 1, 1_000_000_000_000, optional=True),
+    Param("assign", "train", kind=str, choices=("train", "active", "all")),
+)
 
 # Result-size caps per query when materialised as records (to_records).
 DEFAULT_LIMIT = 1000
@@ -82,7 +100,7 @@ def _e(key, label, group, fn, *params):
 CATALOG: dict[str, Entry] = {
     e.key: e
     for e in [
-        _e("kpi", "KPI overview", "KPI", lambda t: O.kpi_overview(t.orders, t.order_items)),
+        _e("kpi", "KPI overview", "KPI", lambda t: O.kpi_overview(t.orders, t.item_parts)),
         _e("top_products", "Top products", "Products", lambda t, n: P.top_products(t.order_items, t.products, n), N),
         _e("reorder_rate_global", "Global reorder rate", "Products", lambda t: O.reorder_rate_global(t.order_items)),
         _e(
@@ -107,8 +125,8 @@ CATALOG: dict[str, Entry] = {
         ),
         _e("orders_by_dow", "Orders by weekday", "Time", lambda t: A.orders_by_dow(t.orders)),
         _e("orders_by_hour", "Orders by hour", "Time", lambda t: A.orders_by_hour(t.orders)),
-        _e("avg_items_by_dow", "Basket size by weekday", "Time", lambda t: A.avg_items_by_dow(t.orders, t.order_items)),
-        _e("basket_size_buckets", "Basket size buckets", "Customers", lambda t: A.basket_size_buckets(t.order_items)),
+        _e("avg_items_by_dow", "Basket size by weekday", "Time", lambda t: A.avg_items_by_dow(t.orders, t.item_parts)),
+        _e("basket_size_buckets", "Basket size buckets", "Customers", lambda t: A.basket_size_buckets(t.item_parts)),
         _e("avg_orders_per_user", "Orders per user", "Customers", lambda t: A.avg_orders_per_user(t.orders)),
         _e("top_users_by_orders", "Top users by orders", "Customers", lambda t, n: A.top_users_by_orders(t.orders, n), N),
         _e("orders_count_by_eval_set", "Orders per split", "Dataset", lambda t: A.orders_by_eval_set(t.orders)),
@@ -117,27 +135,23 @@ CATALOG: dict[str, Entry] = {
             "avg_items_per_order_by_eval_set",
             "Basket size per split",
             "Dataset",
-            lambda t: A.avg_items_by_eval_set(t.order_items),
+            lambda t: A.avg_items_by_eval_set(t.item_parts),
         ),
         _e("reorder_rate_by_eval_set", "Reorder rate per split", "Dataset", lambda t: A.reorder_rate_by_eval_set(t.order_items)),
         _e(
             "kmeans_user_clusters",
             "User clusters",
             "Customers",
-            lambda t, k, seed, cluster: G.kmeans_user_clusters(
-                t.orders, t.order_items, t.products, k=k, seed=seed, cluster=cluster
-            ),
-            K,
-            SEED,
+            lambda t, **p: G.kmeans_user_clusters(t.orders, t.item_parts, t.products, **p),
+            *FIT,
             CLUSTER,
         ),
         _e(
             "kmeans_user_cluster_profile",
             "User cluster profile",
             "Customers",
-            lambda t, k, seed: G.kmeans_cluster_profile(t.orders, t.order_items, t.products, k=k, seed=seed),
-            K,
-            SEED,
+            lambda t, **p: G.kmeans_cluster_profile(t.orders, t.item_parts, t.products, **p),
+            *FIT,
         ),
     ]
 }

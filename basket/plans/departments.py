@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basket.functions.columns import ratio
+from basket.operators.facts import product_facts
 from basket.operators.shares import with_share
 
 
@@ -22,9 +23,8 @@ def _with_departments(per_product: DataFrame, products: DataFrame, departments:
 
 
 def sales_by_department(items: DataFrame, products: DataFrame, departments: DataFrame) -> DataFrame:
-    per_product = items.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
     per_dept = (
-        _with_departments(per_product, products, departments)
+        _with_departments(product_facts(items).select("product_id", "n"), products, departments)
         .groupBy("department_id", "department")
         .agg(F.sum("n").alias("items_sold"))
     )
@@ -37,14 +37,9 @@ def sales_by_department(items: DataFrame, products: DataFrame, departments: Data
 
 def reorder_rate_by_department(items: DataFrame, products: DataFrame, departments: DataFrame) -> DataFrame:
     """Mean ``reordered`` (NULLs skipped: sum / count of non-NULL) and item count."""
-    per_product = items.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("reordered").alias("s"),
-        F.count("reordered").alias("c"),
-    )
     return (
-        _with_departments(per_product, products, departments)
+        _with_departments(product_facts(items), products, departments)
         .groupBy("department_id", "department")
-        .agg(ratio(F.sum("s"), F.sum("c")).alias("reorder_rate"), F.sum("n").alias("items"))
+        .agg(ratio(F.sum("again"), F.sum("known")).alias("reorder_rate"), F.sum("n").alias("items"))
         .orderBy(F.col("reorder_rate").desc(), F.col("items").desc(), F.col("department_id").asc())
     )

@@ -6,20 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basket.functions.columns import as_double, ratio
+from basket.operators.facts import Items, over_parts
 
 
-def kpi_overview(orders: DataFrame, items: DataFrame) -> DataFrame:
+def kpi_overview(orders: DataFrame, items: Items) -> DataFrame:
     """num_orders (all orders), num_items (all item rows) and items per order, where
     the divisor is the number of distinct orders that have items (an order in both
     splits counts once here).
 
-    One scan of the fact: count and count-distinct in one two-phase aggregate;
-    the order count is a scalar subquery (no join at all).
+    One scan of the fact: items are counted per order (a hot order is one row per
+    task after the partial aggregate), then summed; the order count is a scalar
+    subquery (no join at all).
     """
     num_orders = orders.agg(F.count(F.lit(1))).scalar()
-    return items.agg(
-        F.count(F.lit(1)).alias("num_items"),
-        F.count_distinct("order_id").alias("orders_with_items"),
+    per_order = over_parts(items, lambda p: p.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")))
+    return per_order.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("num_items"), F.count("order_id").alias("orders_with_items")
     ).select(
         num_orders.alias("num_orders"),
         "num_items",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -11,39 +12,57 @@ from basket.plans.catalog import CATALOG, LIMIT, result_limit, run
 from basket.sources.tables import Tables
 
 
-def to_records(df: DataFrame, limit: int = 1000) -> list[dict[str, Any]]:
-    """At most ``limit`` rows as dicts (the result's own order is kept).
+@dataclass(frozen=True)
+class Records:
+    """Rows for a caller: the first ``len(rows)`` of ``total`` in a fixed order."""
 
-    Only the first ``limit`` rows ever reach the driver; for whole results use
-    :func:`write_result`.
+    rows: list[dict[str, Any]]
+    total: int
+
+    @property
+    def truncated(self) -> bool:
+        return len(self.rows) < self.total
+
+
+def to_records(df: DataFrame, limit: int = 1000, order: tuple[str, ...] = ()) -> Records:
+    """At most ``limit`` rows as dicts, with the number of rows there are.
+
+    ``order`` names the columns to sort by (all columns if none is given), so the rows do not
+    depend on the layout; the bounded sort is a top-k.  For whole results use :func:`write_result`.
     """
     limit = LIMIT.check(limit)
-    return [r.asDict(recursive=True) for r in df.limit(limit).collect()]
+    top = df.orderBy(*(order or df.columns)).limit(limit).collect()
+    total = len(top) if len(top) < limit else df.count()
+    return Records([row.asDict(recursive=True) for row in top], total)
 
 
-def query_records(tables: Tables, key: str, limit: int | None = None, **params: Any) -> list[dict[str, Any]]:
-    """Run one catalogue query and return its rows as records, capped like the
-    original service: ``limit`` when given, else 200 rows for department and
-    profile results and 1000 otherwise."""
-    return to_records(run(tables, key, **params), result_limit(key) if limit is None else limit)
+def query_records(tables: Tables, key: str, limit: int | None = None, **params: Any) -> Records:
+    """Run one catalogue query and return its first rows: ``limit`` when given, else 200
+    for department and profile results and 1000 otherwise.
+
+    Ranked results keep their ranking (they are bounded already); others are ordered by key.
+    """
+    limit = LIMIT.check(result_limit(key) if limit is None else limit)
+    result = run(tables, key, **params)
+    if CATALOG[key].ranked:
+        rows = [row.asDict(recursive=True) for row in result.take(limit)]
+        return Records(rows, len(rows) if len(rows) < limit else result.count())
+    return to_records(result, limit)
 
 
 def write_result(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     df.write.mode(mode).format(fmt).save(path)
 
 
-# Rows shown per query in the console report.
-SHOW_ROWS = 20
-SHOW_DEPARTMENT_ROWS = 30
-
 # The batch report covers the 16 non-ML queries, as the original console report did.
 REPORT_KEYS = tuple(k for k in CATALOG if not k.startswith("kmeans_"))
 
 
 def run_report(tables: Tables, out_dir: str | None = None, show: bool = False, **params: Any) -> dict[str, DataFrame]:
-    """Build every report query; write each to ``out_dir/<key>`` and/or show it.
+    """Build every report query; write each to ``out_dir/<key>`` and/or show all its rows.
 
-    ``params`` (n, min_count) apply to the queries that take them.
+    Every report result is small by nature (a fixed domain or a top-n).  ``params`` (n,
+    min_count) apply to the queries that take them.
     """
     results = {}
     for key in REPORT_KEYS:
@@ -55,5 +74,5 @@ def run_report(tables: Tables, out_dir: str | None = None, show: bool = False, *
             write_result(df, os.path.join(out_dir, key))
         if show:
             print(f"== {entry.label} ==")
-            df.show(SHOW_DEPARTMENT_ROWS if key.endswith("department") else SHOW_ROWS, truncate=False)
+            df.show(max(1, df.count()), truncate=False)
     return results

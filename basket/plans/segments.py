@@ -9,11 +9,11 @@ Feature table (one row per user, all doubles):
 * dept_diversity: distinct departments bought (unknown products count for none);
 * users without any item get 0 for the basket features, single-order users 0 days.
 
-Scale: every step is a (partially aggregated) groupBy or an equi-join on a key that
-is unique on one side (order_id in orders, user_id in per-user tables).  The fact
-is reduced to one row per order before it meets orders, and that per-order table
-feeds both the basket and the department aggregates.  A user with a huge history
-only makes per-user aggregate buffers bigger, not a task.
+Scale: every step is a (partially aggregated) hash aggregate or an equi-join on a key
+that is unique on one side (order_id in orders, user_id in per-user tables).  The fact
+is reduced to one row per order before it meets orders; the departments of an
+order, and then of a user, are bits of a few long columns, so no buffer grows with
+the data.  With a user sample, items are restricted to the kept orders before anything else.
 
 k-means is Spark ML (distributed Lloyd iterations, k-means|| seeding).  The
 training rows are pinned to a layout (hash partitioned and sorted on user_id,
@@ -22,23 +22,31 @@ hence the clusters depend on the data and the seed only, not on how the input
 happened to be partitioned or on session settings; the fit input is
 checkpointed, so the iterations re-read it instead of re-running the feature
 plan (and survive lost executors).  Clusters are renumbered by size (largest first, then smallest
-user_id) so ids are stable.
+user_id) so ids are stable.  Equal requests over the same tables share one fit, which
+can be saved and loaded.
 """
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from basket.functions.columns import ratio
+from basket.operators.facts import Items, over_parts
 from basket.operators.sampling import hash_cap, hash_sample, sample_predicate
 from basket.session import ensure_checkpoint_dir
 
+# The two sampling steps hash differently, so their fractions multiply.
+USER_STEP, FIT_STEP = "users", "fit"
+
 # Feature columns, in the order they enter the vector.
 FEATURES = (
     "num_orders",
@@ -53,15 +61,30 @@ FEATURES = (
 def sample_users(orders: DataFrame, fraction: float = 0.3, seed: int = 42, max_users: int | None = None) -> DataFrame:
     """Distinct user ids kept by a seeded hash threshold (same users whatever the
     layout); optionally at most ``max_users`` of them, smallest hash first."""
-    users = hash_sample(orders.select("user_id").distinct(), "user_id", fraction, seed)
+    users = hash_sample(orders.select("user_id").distinct(), "user_id", fraction, seed, USER_STEP)
     if max_users is not None:
-        users = hash_cap(users, "user_id", max_users, seed)
+        users = hash_cap(users, "user_id", max_users, seed, f"{USER_STEP}-cap")
     return users
 
 
+# Bits used of a long, and the words up to which departments are kept as bits.
+WORD_BITS, MAX_WORDS = 63, 16
+
+
+def _department_bits(products: DataFrame) -> tuple[DataFrame, int] | None:
+    """``(product_id, dept_no)`` and the number of departments; None if there are too many for bits."""
+    ids = products.select("department_id").where(F.col("department_id").isNotNull()).distinct()
+    count = ids.limit(WORD_BITS * MAX_WORDS + 1).count()
+    if count > WORD_BITS * MAX_WORDS:
+        return None
+    # At most WORD_BITS * MAX_WORDS rows: one task numbers them.
+    numbered = ids.select("department_id", (F.row_number().over(Window.orderBy("department_id")) - 1).alias("dept_no"))
+    return products.join(F.broadcast(numbered), "department_id").select("product_id", "dept_no"), count
+
+
 def user_features(
     orders: DataFrame,
-    items: DataFrame,
+    items: Items,
     products: DataFrame,
     users: DataFrame | None = None,
     exact_departments: bool = True,
@@ -70,6 +93,7 @@ def user_features(
     """The six features per user.  ``users`` (a user_id table, semi-joined) or
     ``user_filter`` (a predicate on orders.user_id, map-only) restricts the users."""
     o = orders.select("order_id", "user_id", "days_since_prior_order", "order_hour_of_day")
+    restricted = user_filter is not None or users is not None
     if user_filter is not None:
         o = o.filter(user_filter)
     if users is not None:
@@ -80,36 +104,47 @@ def user_features(
         F.avg("days_since_prior_order").alias("avg_days_between_orders"),
         F.avg("order_hour_of_day").alias("avg_hour"),
     )
-
-    # Per order first (partial aggregation: the fact never shuffles as raw rows),
-    # both splits together; the department set of an order is bounded by the
-    # department dimension.  The result is partitioned on order_id, so the join
-    # to orders moves only the orders side.
-    per_order = (
-        items.select("order_id", "product_id", "reordered")
-        .join(products.select("product_id", "department_id"), "product_id", "left")
-        .groupBy("order_id")
-        .agg(
+    bits = _department_bits(products) if exact_departments else None
+    words = [f"_d{w}" for w in range(-(-bits[1] // WORD_BITS))] if bits else []
+
+    def per_order(part: DataFrame) -> DataFrame:
+        # Both splits together.  Partial aggregation: the fact shuffles as one row per order and
+        # task (on the bucketed layout not at all), and moves only the orders side of the join.
+        rows = part.select("order_id", "product_id", "reordered")
+        if restricted:
+            rows = rows.join(o.select("order_id"), "order_id", "left_semi")
+        own = []
+        if bits:
+            rows = rows.join(bits[0], "product_id", "left")
+            for w, name in enumerate(words):
+                place = F.col("dept_no") - w * WORD_BITS
+                bit = F.when(place.between(0, WORD_BITS - 1), F.expr(f"shiftleft(1L, dept_no - {w * WORD_BITS})"))
+                own.append(F.bit_or(bit).alias(name))
+        counted = rows.groupBy("order_id").agg(
             F.count(F.lit(1)).alias("num_items"),
-            F.avg(F.col("reordered").cast("double")).alias("reorder_rate_order"),
-            F.collect_set("department_id").alias("departments"),
+            ratio(F.sum("reordered"), F.count("reordered")).alias("reorder_rate_order"),
+            *own,
         )
-        .join(o.select("order_id", "user_id"), "order_id")
-    )
-    # One per-user aggregate for the basket and department features, so the
-    # per-order table (and the fact below it) is computed once: each order's
-    # department set is exploded, and only its first row (or its only row, when
-    # the set is empty) carries the order's count and rate into the averages.
-    exploded = per_order.select(
-        "user_id", "num_items", "reorder_rate_order", F.posexplode_outer("departments").alias("pos", "department_id")
-    )
-    order_row = F.col("pos").isNull() | (F.col("pos") == 0)
-    distinct_depts = F.count_distinct("department_id") if exact_departments else F.approx_count_distinct("department_id")
-    user_items = exploded.groupBy("user_id").agg(
-        F.avg(F.when(order_row, F.col("num_items"))).alias("avg_items_per_order"),
-        F.avg(F.when(order_row, F.col("reorder_rate_order"))).alias("reorder_rate_user"),
-        distinct_depts.alias("dept_diversity"),
+        return counted.join(o.select("order_id", "user_id"), "order_id")
+
+    user_items = over_parts(items, per_order).groupBy("user_id").agg(
+        F.avg("num_items").alias("avg_items_per_order"),
+        F.avg("reorder_rate_order").alias("reorder_rate_user"),
+        *[F.bit_or(w).alias(w) for w in words],
     )
+    if bits:
+        found = [F.coalesce(F.bit_count(w), F.lit(0)) for w in words]
+        user_items = user_items.withColumn("dept_diversity", reduce(Column.__add__, found, F.lit(0))).drop(*words)
+    else:
+        # More departments than bits, or an approximate count: pairs of user and department.
+        pairs = over_parts(
+            items,
+            lambda part: part.select("order_id", "product_id")
+            .join(o.select("order_id", "user_id"), "order_id")
+            .join(products.select("product_id", "department_id"), "product_id"),
+        )
+        count = F.count_distinct if exact_departments else F.approx_count_distinct
+        user_items = user_items.join(pairs.groupBy("user_id").agg(count("department_id").alias("dept_diversity")), "user_id", "left")
 
     feats = user_orders.join(user_items, "user_id", "left")
     return feats.select(
@@ -121,7 +156,7 @@ def user_features(
 def training_rows(features: DataFrame, min_orders: int = 5, sample_fraction: float = 1.0, seed: int = 42) -> DataFrame:
     """Active users (num_orders >= min_orders), hash-sampled for the fit."""
     active = features.filter(F.col("num_orders") >= F.lit(float(min_orders)))
-    return hash_sample(active, "user_id", sample_fraction, seed)
+    return hash_sample(active, "user_id", sample_fraction, seed, FIT_STEP)
 
 
 @dataclass(frozen=True)
@@ -131,16 +166,15 @@ class Segments:
     train: DataFrame  # the fitted rows, checkpointed
 
 
-# Rows per partition of the k-means input, and the partition cap.
-FIT_ROWS_PER_PARTITION = 2_000
-FIT_MAX_PARTITIONS = 10_000
+# Fixed value: rows per partition of the k-means input.
+FIT_ROWS_PER_PARTITION = 200_000
 
 
 def fit_partitions(rows: int) -> int:
     """Partition count of the fit input, from the data alone: k-means|| seeding
     depends on the layout, so tying it to a session setting would make clusters
     change with the configuration."""
-    return max(1, min(FIT_MAX_PARTITIONS, -(-int(rows) // FIT_ROWS_PER_PARTITION)))
+    return max(1, -(-int(rows) // FIT_ROWS_PER_PARTITION))
 
 
 def _pinned(df: DataFrame, n: int) -> DataFrame:
@@ -163,11 +197,7 @@ def fit_segments(train: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 1
     finally:
         cached.unpersist()
     points = rows.select(*FEATURES)
-    # Usually the first few rows already hold k distinct points; only when they
-    # do not is the exact (full) distinct count taken.
-    distinct_points = points.limit(50 * int(k)).distinct().count()
-    if distinct_points < k:
-        distinct_points = points.distinct().limit(int(k)).count()
+    distinct_points = points.distinct().limit(int(k)).count()
     if distinct_points < k:
         raise ValueError(f"k-means needs at least k={k} distinct feature rows, got {distinct_points}")
 
@@ -209,6 +239,41 @@ def assign_segments(segments: Segments, features: DataFrame) -> DataFrame:
     return label_segments(segments, features).select("user_id", "cluster")
 
 
+def save_segments(segments: Segments, path: str) -> None:
+    """Write the fitted model, the cluster numbering and the fitted rows below ``path``."""
+    segments.model.write().overwrite().save(os.path.join(path, "model"))
+    segments.cluster_ids.write.mode("overwrite").parquet(os.path.join(path, "cluster_ids"))
+    segments.train.write.mode("overwrite").parquet(os.path.join(path, "train"))
+
+
+def load_segments(spark: SparkSession, path: str) -> Segments:
+    return Segments(
+        model=PipelineModel.load(os.path.join(path, "model")),
+        cluster_ids=spark.read.parquet(os.path.join(path, "cluster_ids")),
+        train=spark.read.parquet(os.path.join(path, "train")),
+    )
+
+
+def feature_scales(segments: Segments) -> dict[str, float]:
+    """The standard deviation that the model divides each feature by."""
+    return dict(zip(FEATURES, (float(x) for x in segments.model.stages[1].std), strict=True))
+
+
+def nearest_centre(features: DataFrame, centres: list[list[float]], scales: dict[str, float]) -> DataFrame:
+    """``features`` with ``nearest`` (the first of the closest centres) and ``distance`` (squared), as expressions.
+
+    Centres are in scaled units; a feature with scale 0 counts as 0, as in the model.
+    """
+    scaled = [F.col(c) / F.lit(scales[c]) if scales[c] else F.lit(0.0) for c in FEATURES]
+    each = [
+        F.struct(reduce(Column.__add__, [(x - F.lit(float(v))) ** 2 for x, v in zip(scaled, centre, strict=True)]).alias("d"), F.lit(i).alias("i"))
+        for i, centre in enumerate(centres)
+    ]
+    return features.withColumn("_n", F.array_min(F.array(*each))).select(
+        "*", F.col("_n.i").alias("nearest"), F.col("_n.d").alias("distance")
+    ).drop("_n")
+
+
 def profile_segments(labelled: DataFrame) -> DataFrame:
     """Per cluster of a labelled feature table: users and the six feature means."""
     return (
@@ -236,9 +301,18 @@ def _target(feats: DataFrame, segments: Segments, assign: str, min_orders: int,
     raise ValueError(f"assign must be 'train', 'active' or 'all', got {assign!r}")
 
 
-def kmeans_user_clusters(
+# Fits of the session, newest last; equal requests over the same tables share one.
+_FITS: dict[tuple, tuple[DataFrame, Segments, tuple]] = {}
+FITS_KEPT = 4
+
+
+def forget_fits() -> None:
+    _FITS.clear()
+
+
+def fitted(
     orders: DataFrame,
-    items: DataFrame,
+    items: Items,
     products: DataFrame,
     k: int = 5,
     seed: int = 42,
@@ -246,8 +320,32 @@ def kmeans_user_clusters(
     sample_fraction: float = 1.0,
     user_fraction: float = 1.0,
     max_users: int | None = None,
+) -> tuple[DataFrame, Segments]:
+    """The feature table and the fit for one set of parameters; computed once."""
+    tables = (orders, *([items] if isinstance(items, DataFrame) else items), products)
+    key = (tuple(map(id, tables)), k, seed, min_orders, sample_fraction, user_fraction, max_users)
+    if key not in _FITS:
+        pred = None
+        if user_fraction < 1.0 or max_users is not None:
+            # The user sample as a predicate on user_id (same users as sample_users).
+            pred = sample_predicate(orders, "user_id", user_fraction, seed, max_users, USER_STEP)
+        feats = user_features(orders, items, products, user_filter=pred)
+        segments = fit_segments(training_rows(feats, min_orders, sample_fraction, seed), k, seed)
+        while len(_FITS) >= FITS_KEPT:
+            _FITS.pop(next(iter(_FITS)))
+        _FITS[key] = (feats, segments, tables)  # the tables stay alive, so their ids stay theirs
+    return _FITS[key][:2]
+
+
+def kmeans_user_clusters(
+    orders: DataFrame,
+    items: Items,
+    products: DataFrame,
     cluster: int | None = None,
     assign: str = "train",
+    min_orders: int = 5,
+    seed: int = 42,
+    **fit,
 ) -> DataFrame:
     """(user_id, cluster).  Fits on a hash sample of the active users.
 
@@ -255,7 +353,7 @@ def kmeans_user_clusters(
     least ``min_orders`` orders, ``"all"`` every user.  ``cluster`` keeps one
     cluster only.
     """
-    feats, segments = _fit(orders, items, products, k, seed, min_orders, sample_fraction, user_fraction, max_users)
+    feats, segments = fitted(orders, items, products, seed=seed, min_orders=min_orders, **fit)
     out = assign_segments(segments, _target(feats, segments, assign, min_orders, seed))
     if cluster is not None:
         out = out.filter(F.col("cluster") == F.lit(int(cluster)))
@@ -264,25 +362,12 @@ def kmeans_user_clusters(
 
 def kmeans_cluster_profile(
     orders: DataFrame,
-    items: DataFrame,
+    items: Items,
     products: DataFrame,
-    k: int = 5,
-    seed: int = 42,
-    min_orders: int = 5,
-    sample_fraction: float = 1.0,
-    user_fraction: float = 1.0,
-    max_users: int | None = None,
     assign: str = "train",
+    min_orders: int = 5,
+    seed: int = 42,
+    **fit,
 ) -> DataFrame:
-    feats, segments = _fit(orders, items, products, k, seed, min_orders, sample_fraction, user_fraction, max_users)
+    feats, segments = fitted(orders, items, products, seed=seed, min_orders=min_orders, **fit)
     return profile_segments(label_segments(segments, _target(feats, segments, assign, min_orders, seed)))
-
-
-def _fit(orders, items, products, k, seed, min_orders, sample_fraction, user_fraction, max_users):
-    pred = None
-    if user_fraction < 1.0 or max_users is not None:
-        # The user sample as a predicate on user_id (same users as sample_users).
-        pred = sample_predicate(orders, "user_id", user_fraction, seed, max_users)
-    feats = user_features(orders, items, products, user_filter=pred)
-    train = training_rows(feats, min_orders, sample_fraction, seed)
-    return feats, fit_segments(train, k, seed)

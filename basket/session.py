@@ -6,7 +6,9 @@ caller built.  ``local_session`` is what the tests and ``bench.py`` use.
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,8 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = checkpoint_dir(spark)
     if d:
         return d
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError(
             "no checkpoint folder: set spark.checkpoint.dir to a folder shared by the cluster"
         )
@@ -72,3 +73,19 @@ def run_concurrently(*tasks):
     with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
         futures = [pool.submit(t) for t in tasks]
         return [f.result() for f in futures]
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the file system and the folder that Spark's writers would resolve it against."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder, deleted when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return path

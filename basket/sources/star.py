@@ -12,9 +12,8 @@ Mapping (FIXTURES.md section 2):
 * an item is a ``lineitem`` row of a prior or train order; ``reordered`` is 1 when
   the user bought the product in an earlier order.
 
-Scale notes.  The per-customer history uses :func:`sequence_within`, which splits
-a customer holding a large share of all orders over many tasks instead of one
-window partition.  ``reordered`` compares each item with the minimum order number
+Scale notes.  The per-customer history is one shuffle on the customer; a customer
+with very many orders is split over many tasks instead (:func:`sequence_by_group`).  ``reordered`` compares each item with the minimum order number
 of its (user, product): a partial-then-final aggregate (map-side combine, so a hot
 pair never moves as raw rows) joined back on the pair; pairs above a row threshold
 get it by a bounded broadcast instead (see :func:`mark_reorders`).  The line-item
@@ -28,12 +27,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basket.operators.sequence import dense_ids_by, sequence_within
-from basket.session import ensure_checkpoint_dir, run_concurrently
+from basket.operators.sequence import dense_ids_by, sequence_by_group
+from basket.session import ensure_checkpoint_dir, run_concurrently, scratch_folder
 from basket.sources import schema as S
 from basket.sources.tables import Tables, load_tables, save_tables
 
@@ -48,7 +46,7 @@ def star_orders(orders_raw: DataFrame) -> DataFrame:
         F.col("o_custkey").cast("long").alias("user_id"),
         F.col("o_orderdate").alias("order_date"),
     )
-    s = sequence_within(o, ["user_id"], ["order_date", "order_id"], lag_cols=["order_date"])
+    s = sequence_by_group(o, ["user_id"], ["order_date", "order_id"], lag_cols=["order_date"])
     return s.select(
         "order_id",
         "user_id",
@@ -118,7 +116,16 @@ def star_lines(lineitem: DataFrame, part: DataFrame, orders: DataFrame, products
 HOT_PAIR_ROWS = 1_000_000
 
 
-def mark_reorders(lines: DataFrame, hot_pair_rows: int = HOT_PAIR_ROWS) -> DataFrame:
+def pair_facts(lines: DataFrame) -> DataFrame:
+    """Per (user, product): the first order number and the number of lines."""
+    return lines.groupBy("user_id", "product_id").agg(
+        F.min("order_number").alias("first_number"), F.count(F.lit(1)).alias("_n")
+    )
+
+
+def mark_reorders(
+    lines: DataFrame, hot_pair_rows: int = HOT_PAIR_ROWS, stats: DataFrame | None = None
+) -> DataFrame:
     """Items with ``reordered``: the order number is above the user's first order
     number for that product.
 
@@ -128,10 +135,9 @@ def mark_reorders(lines: DataFrame, hot_pair_rows: int = HOT_PAIR_ROWS) -> DataF
     skew split does not apply: one join side is an aggregate, not a plain
     shuffle), so those pairs get their first number by broadcast instead; there
     are at most ``rows / hot_pair_rows`` of them, so the broadcast is bounded.
+    ``stats`` is :func:`pair_facts` of the lines, where that is stored already.
     """
-    stats = lines.groupBy("user_id", "product_id").agg(
-        F.min("order_number").alias("first_number"), F.count(F.lit(1)).alias("_n")
-    )
+    stats = pair_facts(lines) if stats is None else stats
     hot = stats.filter(F.col("_n") > hot_pair_rows).select(
         "user_id", "product_id", F.col("first_number").alias("_hot_first")
     )
@@ -182,41 +188,37 @@ def _bundle(orders: DataFrame, items: DataFrame, products_full: DataFrame) -> Ta
     )
 
 
-# Items per order_id bucket of the stored fact, and the bucket cap.
-ITEMS_PER_BUCKET = 4_000_000
-MAX_BUCKETS = 20_000
+# Items per order_id bucket of the stored fact; a small fact is cut further, down to
+# the least, while there are idle cores.
+ITEMS_PER_BUCKET, LEAST_ITEMS_PER_BUCKET = 4_000_000, 50_000
 
 
-def auto_buckets(spark: SparkSession, items: int) -> int:
-    """Bucket count from the fact size, but at least one bucket per core so
-    per-order work stays parallel.  Only speed depends on it, never results."""
-    by_size = -(-int(items) // ITEMS_PER_BUCKET)
-    return max(1, min(MAX_BUCKETS, max(by_size, spark.sparkContext.defaultParallelism)))
+def auto_buckets(items: int, cores: int) -> int:
+    """Bucket count from the fact size.  Only speed depends on it, never results."""
+    return max(1, -(-int(items) // ITEMS_PER_BUCKET), min(int(cores), int(items) // LEAST_ITEMS_PER_BUCKET))
 
 
-def build_star_tables(
-    spark: SparkSession,
-    sf_dir: str,
-    out_path: str,
-    level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
-    buckets: int | str | None = "auto",
-) -> Tables:
+def build_star_tables(spark: SparkSession, sf_dir: str, out_path: str, buckets: int | str | None = "auto") -> Tables:
     """Derive the bundle and store it (the one-off ETL); returns the stored tables.
 
-    The joined lines feed both the per-(user, product) minimum and the join back;
-    the two branches prune different columns, so Spark would not reuse their
-    shuffles and would join the line items twice.  Persisting the lines for the
-    duration of the write computes that join once.  ``buckets``: the fact and
-    orders are stored bucketed by order_id ("auto" sizes the count from the
-    number of items, counted on the persisted lines; None stores them plain).
+    The joined lines feed the per-(user, product) minimum and the join back: they are
+    written once to a scratch folder in the shared checkpoint folder, as is the minimum,
+    and both are read back, so a lost executor recomputes neither.  ``buckets``:
+    the fact and orders are stored bucketed by order_id ("auto" sizes the count
+    from the number of items; None stores them plain).
     """
     part = read_star(spark, sf_dir, "part")
     orders, products_full = _orders_and_products(spark, sf_dir, part)
-    lines = star_lines(read_star(spark, sf_dir, "lineitem"), part, orders, products_full).persist(level)
-    try:
-        if buckets == "auto":
-            buckets = auto_buckets(spark, lines.count())  # also fills the cache the write reads
-        save_tables(_bundle(orders, mark_reorders(lines), products_full), out_path, buckets=buckets)
-    finally:
-        lines.unpersist()
+    staging = scratch_folder(spark, "basket-staging")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{staging}/{name}")
+        return spark.read.parquet(f"{staging}/{name}")
+
+    orders = stored(orders, "orders")
+    lines = stored(star_lines(read_star(spark, sf_dir, "lineitem"), part, orders, products_full), "lines")
+    if buckets == "auto":
+        buckets = auto_buckets(lines.count(), spark.sparkContext.defaultParallelism)
+    items = mark_reorders(lines, stats=stored(pair_facts(lines), "pairs"))
+    save_tables(_bundle(orders, items, products_full), out_path, buckets=buckets)
     return load_tables(spark, out_path, "parquet")

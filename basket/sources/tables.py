@@ -6,28 +6,32 @@ Two on-disk layouts are read:
   ``order_products__prior.csv``, ``order_products__train.csv``,
   ``products.csv``, ``aisles.csv``, ``departments.csv``), header line, read
   with explicit schemas (no inference pass).  Malformed values become NULL in
-  ``PERMISSIVE`` mode or fail the read in ``FAILFAST`` mode.
+  ``PERMISSIVE`` mode or fail the read in ``FAILFAST`` mode; :func:`bad_records`
+  shows the malformed lines.  A doubled quote inside a quoted field is one quote.
 * ``parquet``: the layout :func:`save_tables` writes: the two split files are
   one ``order_items`` fact partitioned by ``eval_set`` (a filter on the split
   prunes whole directories), ``orders`` sorted by ``order_id`` inside files so
   row-group statistics skip on it, dimensions as plain parquet.  Optionally the
-  fact and orders are bucketed by ``order_id`` (see :func:`save_tables`); the
-  bucket count is recorded next to the tables and re-attached on load.
+  fact and orders are bucketed by ``order_id`` (see :func:`save_tables`), the
+  items of very large orders in an unbucketed table of their own; every save records
+  its layout next to the tables.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from basket.session import run_concurrently
+from basket.session import ensure_checkpoint_dir, qualified, run_concurrently
 from basket.sources import schema as S
 
 
@@ -38,6 +42,13 @@ class Tables:
     products: DataFrame
     aisles: DataFrame
     departments: DataFrame
+    # order_items in parts with disjoint orders, when it is stored so
+    parts: tuple[DataFrame, ...] = ()
+
+    @property
+    def item_parts(self) -> tuple[DataFrame, ...]:
+        """What per-order aggregates read: each part keeps its own partitioning."""
+        return self.parts or (self.order_items,)
 
     @property
     def op_prior(self) -> DataFrame:
@@ -65,18 +76,54 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _csv(spark: SparkSession, path: str, schema: StructType, mode: str) -> DataFrame:
+CORRUPT = "_corrupt_record"
+
+
+def _csv(spark: SparkSession, path: str, schema: StructType, mode: str, corrupt: bool = False) -> DataFrame:
     # enforceSchema=false: the header names are checked against the schema
     # instead of columns being taken by position.
+    wanted = StructType([*schema.fields, StructField(CORRUPT, StringType())]) if corrupt else schema
     return (
-        spark.read.schema(schema)
+        spark.read.schema(wanted)
         .option("header", True)
-        .option("enforceSchema", False)
+        .option("enforceSchema", corrupt)
+        .option("escape", '"')
         .option("mode", mode)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
 
 
+# The files of the csv layout and their schemas.
+CSV_FILES = {
+    "orders.csv": S.ORDERS,
+    "order_products__prior.csv": S.ORDER_PRODUCTS,
+    "order_products__train.csv": S.ORDER_PRODUCTS,
+    "products.csv": S.PRODUCTS,
+    "aisles.csv": S.AISLES,
+    "departments.csv": S.DEPARTMENTS,
+}
+
+
+def bad_records(spark: SparkSession, path: str) -> DataFrame:
+    """``file, record``: every line of the csv layout that its schema cannot read, as it stands."""
+    found = [
+        _csv(spark, os.path.join(path, name), schema, "PERMISSIVE", corrupt=True)
+        # The reader marks a line only when its columns are parsed: the condition reads them all.
+        .filter(F.col(CORRUPT).isNotNull() & (F.length(F.to_json(F.struct(*schema.names))) > 0))
+        .select(F.lit(name).alias("file"), F.col(CORRUPT).alias("record"))
+        for name, schema in CSV_FILES.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def save_csv(tables: Tables, path: str, mode: str = "overwrite") -> None:
+    """Write the bundle as the csv layout (each file a folder of part files)."""
+    frames = (tables.orders, tables.op_prior, tables.op_train, tables.products, tables.aisles, tables.departments)
+    for (name, schema), df in zip(CSV_FILES.items(), frames, strict=True):
+        df.select(*schema.names).write.mode(mode).option("header", True).option("escape", '"').csv(os.path.join(path, name))
+
+
 def load_tables(
     spark: SparkSession, path: str, fmt: str = "parquet", mode: str = "PERMISSIVE", views: bool = False
 ) -> Tables:
@@ -100,37 +147,69 @@ def _read_tables(spark: SparkSession, path: str, fmt: str, mode: str) -> Tables:
             departments=_csv(spark, j("departments.csv"), S.DEPARTMENTS, mode),
         )
     if fmt == "parquet":
+        path = qualified(spark, path)
         p = lambda name: spark.read.parquet(os.path.join(path, name))
-        buckets = _bucket_count(spark, path)
-        if buckets:
-            items = _attach_bucketed(spark, os.path.join(path, "order_items"), S.ORDER_ITEMS, buckets, "eval_set")
-            orders = _attach_bucketed(spark, os.path.join(path, "orders"), S.ORDERS, buckets)
+        layout = _layout(spark, path)
+        if layout and layout["buckets"]:
+            tag, n = layout["tag"], layout["buckets"]
+            items = _attach_bucketed(spark, os.path.join(path, "order_items"), S.ORDER_ITEMS, n, tag, "eval_set")
+            orders = _attach_bucketed(spark, os.path.join(path, "orders"), S.ORDERS, n, tag)
+            parts = [items, p(HOT)] if layout["hot"] else [items]
         else:
-            items, orders = p("order_items"), p("orders")
+            parts, orders = [p("order_items")], p("orders")
+        parts = [conform(part, S.ORDER_ITEMS) for part in parts]
         return Tables(
             orders=conform(orders, S.ORDERS),
-            order_items=conform(items, S.ORDER_ITEMS),
+            order_items=reduce(DataFrame.unionByName, parts),
             products=conform(p("products"), S.PRODUCTS),
             aisles=conform(p("aisles"), S.AISLES),
             departments=conform(p("departments"), S.DEPARTMENTS),
+            parts=tuple(parts),
         )
     raise ValueError(f"unknown format {fmt!r}; use 'csv' or 'parquet'")
 
 
-def save_tables(tables: Tables, path: str, mode: str = "overwrite", buckets: int | None = None) -> None:
+# Fixed value: an order with more items than this stays out of the buckets.
+HOT_ORDER_ROWS = 1_000_000
+
+
+def save_tables(
+    tables: Tables,
+    path: str,
+    mode: str = "overwrite",
+    buckets: int | None = None,
+    hot_order_rows: int = HOT_ORDER_ROWS,
+) -> None:
     """Write the bundle in the parquet layout :func:`load_tables` reads.
 
     With ``buckets``, ``order_items`` and ``orders`` are also bucketed (and
     sorted) by ``order_id`` into that many buckets: per-order aggregates of the
     fact and the fact-to-orders joins then need no shuffle at all.  The write
     pays one shuffle on order_id for it (one file per bucket and split, not one
-    per task and bucket).  The five writes are submitted side by side.
+    per task and bucket).  A bucket is read by one task, so the items of orders
+    with more than ``hot_order_rows`` items go to a plain table beside the bucketed one.
+    The writes are submitted side by side; the layout record comes last.
     """
+    spark = tables.orders.sparkSession
+    path = qualified(spark, path)
     j = lambda name: os.path.join(path, name)
+    tag, hot = uuid.uuid4().hex[:12], 0
     if buckets:
-        tag = uuid.uuid4().hex[:12]
-        writes = [
-            lambda: _write_bucketed(tables.order_items, j("order_items"), f"basket_items_{tag}", buckets, mode, "eval_set"),
+        items = tables.order_items
+        # There are at most rows / hot_order_rows such orders, so their ids are few.
+        large = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > int(hot_order_rows))
+        ensure_checkpoint_dir(spark)
+        ids = large.select(F.col("order_id").alias("_hot")).checkpoint()
+        hot = ids.count()
+        cold = items
+        writes = []
+        if hot:
+            on = items["order_id"].eqNullSafe(ids["_hot"])
+            cold = items.join(F.broadcast(ids), on, "left_anti")
+            apart = items.join(F.broadcast(ids), on, "left_semi")
+            writes.append(lambda: apart.write.mode(mode).partitionBy("eval_set").parquet(j(HOT)))
+        writes += [
+            lambda: _write_bucketed(cold, j("order_items"), f"basket_items_{tag}", buckets, mode, "eval_set"),
             lambda: _write_bucketed(tables.orders, j("orders"), f"basket_orders_{tag}", buckets, mode),
         ]
     else:
@@ -145,13 +224,14 @@ def save_tables(tables: Tables, path: str, mode: str = "overwrite", buckets: int
     for name in ("products", "aisles", "departments"):
         writes.append(lambda name=name: getattr(tables, name).write.mode(mode).parquet(j(name)))
     run_concurrently(*writes)
-    if buckets:
-        spark = tables.orders.sparkSession
-        spark.createDataFrame([(int(buckets),)], "buckets int").write.mode(mode).json(j(LAYOUT))
+    record = [(int(buckets or 0), int(hot), tag)]
+    spark.createDataFrame(record, "buckets int, hot long, tag string").write.mode("overwrite").json(j(LAYOUT))
 
 
-# Layout record next to the tables: the bucket count, when the fact is bucketed.
+# Layout record next to the tables: the bucket count (0: none), the number of hot orders, a tag of the save.
 LAYOUT = "_layout"
+# Items of the orders that are too large for a bucket.
+HOT = "order_items_hot"
 
 
 def _write_bucketed(df: DataFrame, path: str, name: str, buckets: int, mode: str, partition: str | None = None) -> None:
@@ -160,30 +240,41 @@ def _write_bucketed(df: DataFrame, path: str, name: str, buckets: int, mode: str
     if partition:
         w = w.partitionBy(partition)
     w.bucketBy(int(buckets), "order_id").sortBy("order_id").saveAsTable(name)
+    # The files stay (an external table); readers attach them under a name of their own.
+    df.sparkSession.sql(f"DROP TABLE {name}")
 
 
-def _bucket_count(spark: SparkSession, path: str) -> int | None:
+def _layout(spark: SparkSession, path: str) -> dict | None:
     try:
-        row = spark.read.json(os.path.join(path, LAYOUT)).first()
+        row = spark.read.schema("buckets int, hot long, tag string").json(os.path.join(path, LAYOUT)).first()
     except AnalysisException:
         return None
-    return int(row["buckets"]) if row is not None else None
+    return row.asDict() if row is not None else None
 
 
 def _attach_bucketed(
-    spark: SparkSession, path: str, schema: StructType, buckets: int, partition: str | None = None
+    spark: SparkSession, path: str, schema: StructType, buckets: int, tag: str, partition: str | None = None
 ) -> DataFrame:
     """Register stored bucketed data as a catalog table (the bucketing lives in
-    the catalog, not in the files) and read it through the table."""
-    name = f"basket_{uuid.uuid4().hex[:12]}"
-    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-    parts = f"PARTITIONED BY ({partition}) " if partition else ""
-    spark.sql(
-        f"CREATE TABLE {name} ({cols}) USING parquet {parts}"
-        f"CLUSTERED BY (order_id) SORTED BY (order_id) INTO {int(buckets)} BUCKETS LOCATION '{path}'"
-    )
-    if partition:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    the catalog, not in the files) and read it through the table.
+
+    One name for each path and save, used again by later loads; names of earlier saves to the path are dropped.
+    """
+    place = f"basket_{hashlib.md5(path.encode()).hexdigest()[:12]}_"
+    name = place + tag
+    for t in spark.sql(f"SHOW TABLES LIKE '{place}*'").collect():
+        if t["tableName"] != name:
+            spark.sql(f"DROP TABLE IF EXISTS {t['tableName']}")
+    if not spark.catalog.tableExists(name):
+        cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+        parts = f"PARTITIONED BY ({partition}) " if partition else ""
+        location = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE {name} ({cols}) USING parquet {parts}"
+            f"CLUSTERED BY (order_id) SORTED BY (order_id) INTO {int(buckets)} BUCKETS LOCATION '{location}'"
+        )
+        if partition:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return spark.table(name)
 
 
@@ -212,6 +303,7 @@ def persist_tables(
         products=tables.products.cache(),
         aisles=tables.aisles.cache(),
         departments=tables.departments.cache(),
+        parts=(),
     )
     if materialize:
         run_concurrently(

@@ -31,6 +31,9 @@ def test_eighteen_queries_in_six_groups():
         ("kmeans_user_clusters", {"k": 1}),
         ("kmeans_user_clusters", {"k": 21}),
         ("kpi", {"n": 5}),
+        ("kmeans_user_clusters", {"assign": "some"}),
+        ("kmeans_user_clusters", {"user_fraction": 1.5}),
+        ("kmeans_user_cluster_profile", {"min_orders": 0}),
         ("nope", {}),
     ],
 )
@@ -39,13 +42,30 @@ def test_bounds(t, key, params):
         catalog.run(t, key, **params)
 
 
-def test_records_are_bounded(t):
-    recs = to_records(catalog.run(t, "orders_by_hour"), limit=5)
-    assert len(recs) == 5 and set(recs[0]) == {"order_hour_of_day", "num_orders"}
+def test_records_are_bounded_ordered_and_flagged(t):
+    found = to_records(catalog.run(t, "orders_by_hour"), limit=5)
+    assert len(found.rows) == 5 and set(found.rows[0]) == {"order_hour_of_day", "num_orders"}
+    assert found.truncated and found.total == 24
+    assert not to_records(catalog.run(t, "orders_by_hour"), limit=24).truncated
     with pytest.raises(ValueError):
         to_records(catalog.run(t, "orders_by_hour"), limit=50_001)
 
 
+def test_records_do_not_depend_on_the_layout(spark):
+    df = spark.range(5000).withColumnRenamed("id", "user_id").selectExpr("user_id", "CAST(user_id % 7 AS INT) AS cluster")
+    a, b = (to_records(x, limit=300) for x in (df.repartition(3), df.repartition(11, "cluster")))
+    assert a == b and a.truncated and a.total == 5000
+
+
+def test_report_shows_every_row(t, capfd):
+    run_report(t, show=True, n=30)
+    shown = capfd.readouterr().out
+    hours = shown.split("== Orders by hour ==")[1].split("==")[0]
+    assert sum(line.startswith("|") for line in hours.splitlines()) == 24 + 1
+    top = shown.split("== Top users by orders ==")[1].split("==")[0]
+    assert sum(line.startswith("|") for line in top.splitlines()) == 30 + 1
+
+
 def test_report_writes_every_query(t, tmp_path, spark):
     out = tmp_path / "report"
     run_report(t, str(out), n=5)
@@ -57,9 +77,12 @@ def test_report_writes_every_query(t, tmp_path, spark):
 def test_query_records_caps(t):
     from basket.plans.report import query_records
 
-    assert len(query_records(t, "orders_by_hour", limit=3)) == 3
-    assert len(query_records(t, "top_products", n=7)) == 7
-    assert len(query_records(t, "sales_by_department")) == 8
+    assert [r["order_hour_of_day"] for r in query_records(t, "orders_by_hour", limit=3).rows] == [0, 1, 2]
+    assert len(query_records(t, "top_products", n=7).rows) == 7
+    departments = query_records(t, "sales_by_department")
+    assert len(departments.rows) == departments.total == 8
+    sold = [r["items_sold"] for r in departments.rows]
+    assert sold == sorted(sold, reverse=True)
 
 
 def test_string_parameters_are_converted(t):
@@ -69,3 +92,10 @@ def test_string_parameters_are_converted(t):
     with pytest.raises(ValueError):
         catalog.CLUSTER.check("25")
     assert len(catalog.run(t, "top_products", n="4").collect()) == 4
+
+
+def test_segmentation_parameters_are_on_the_surface(t):
+    from basket.plans import segments as G
+
+    rows = catalog.run(t, "kmeans_user_clusters", k="3", user_fraction="0.6", max_users=60, assign="all", min_orders=2).collect()
+    assert {r.user_id for r in rows} == {r.user_id for r in G.sample_users(t.orders, 0.6, 42, 60).collect()}

@@ -83,6 +83,13 @@ def test_hash_aggregates_only(stored, key):
     assert "SortAggregate" not in p and "ObjectHashAggregate" not in p
 
 
+def test_features_use_hash_aggregates_only(stored):
+    from basket.plans import segments as G
+
+    p = _final_plan(G.user_features(stored.orders, stored.item_parts, stored.products))
+    assert "SortAggregate" not in p and "ObjectHashAggregate" not in p
+
+
 @pytest.fixture(scope="module")
 def bucketed(spark, tmp_path_factory):
     from basket.sources.star import build_star_tables
@@ -97,7 +104,7 @@ def test_per_order_work_is_shuffle_free_on_buckets(bucketed, key):
     from basket.plans import segments as G
 
     if key == "features":
-        df = G.user_features(bucketed.orders, bucketed.order_items, bucketed.products)
+        df = G.user_features(bucketed.orders, bucketed.item_parts, bucketed.products)
     else:
         df = catalog.run(bucketed, key)
     p = _final_plan(df)

@@ -65,14 +65,67 @@ def test_catalogue_entry_filters_one_cluster(t):
     assert one.count() == all_.filter(F.col("cluster") == 1).count() > 0
 
 
-def test_large_cap_uses_distributed_numbering(spark, monkeypatch):
+def test_cap_is_the_smallest_hashes(spark):
+    import hashlib
+
     from basket.operators import sampling
 
     keys = spark.range(1, 2001).withColumnRenamed("id", "user_id")
-    small = {r.user_id for r in sampling.hash_cap(keys, "user_id", 150, 42).collect()}
-    monkeypatch.setattr(sampling, "TOP_K_MAX", 10)
-    large = {r.user_id for r in sampling.hash_cap(keys, "user_id", 150, 42).collect()}
-    assert len(small) == 150 and small == large
+    got = {r.user_id for r in sampling.hash_cap(keys.repartition(7), "user_id", 150, 42).collect()}
+    assert got == set(sorted(range(1, 2001), key=lambda u: (hashlib.md5(f"42/cap/{u}".encode()).hexdigest(), u))[:150])
+
+
+def test_samples_compose(spark):
+    """Two steps sample independently: 0.3 then 0.05 keeps about 1.5 %, in either order."""
+    users = spark.range(200_000).withColumnRenamed("id", "user_id").withColumn("num_orders", F.lit(9.0))
+    for first, second in ((0.3, 0.05), (0.05, 0.3)):
+        kept = G.training_rows(G.sample_users(users, first, 42).join(users, "user_id"), 5, second, 42).count()
+        assert 2700 < kept < 3300
+    capped = G.sample_users(users, 1.0, 42, max_users=3000).join(users, "user_id")
+    assert 90 < G.training_rows(capped, 5, 0.05, 42).count() < 220
+
+
+def test_fractions_keep_their_precision(spark):
+    from basket.operators.sampling import hash_sample, threshold
+
+    assert threshold(0.5) == "8" + "0" * 31 and threshold(4e-7) > "0" * 32
+    keys = spark.range(4_000_000).withColumnRenamed("id", "k")
+    assert 2 <= hash_sample(keys, "k", 4e-6, 1).count() <= 40
+
+
+def test_model_survives_saving(spark, feats, tmp_path):
+    seg = G.fit_segments(G.training_rows(feats, min_orders=5), k=3)
+    G.save_segments(seg, str(tmp_path / "seg"))
+    back = G.load_segments(spark, str(tmp_path / "seg"))
+    a, b = ({tuple(r) for r in G.assign_segments(x, feats).collect()} for x in (seg, back))
+    assert a == b
+
+
+def test_equal_requests_share_one_fit(t):
+    G.forget_fits()
+    a = G.fitted(t.orders, t.order_items, t.products, k=3)
+    assert G.fitted(t.orders, t.order_items, t.products, k=3) is not None and len(G._FITS) == 1
+    assert G.fitted(t.orders, t.order_items, t.products, k=3)[1] is a[1]
+    for k in range(2, 9):
+        G._FITS[k] = (None, None, ())
+    G.fitted(t.orders, t.order_items, t.products, k=4)
+    assert len(G._FITS) == G.FITS_KEPT
+    G.forget_fits()
+
+
+def test_many_departments_take_the_other_way(t, feats, monkeypatch):
+    monkeypatch.setattr(G, "WORD_BITS", 3)  # several words
+    rows = lambda df: {(r.user_id, *(round(r[c], 9) for c in G.FEATURES)) for r in df.collect()}
+    words = rows(G.user_features(t.orders, t.order_items, t.products))
+    monkeypatch.setattr(G, "MAX_WORDS", 1)  # too many for bits
+    pairs = rows(G.user_features(t.orders, t.order_items, t.products))
+    assert words == pairs == rows(feats)
+
+
+def test_restricted_items_meet_the_kept_orders_first(t):
+    kept = G.sample_users(t.orders, 0.1, 42)
+    plan = G.user_features(t.orders, t.order_items, t.products, kept)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") >= 2
 
 
 def test_clusters_do_not_depend_on_shuffle_partitions(spark, feats):
@@ -85,8 +138,8 @@ def test_clusters_do_not_depend_on_shuffle_partitions(spark, feats):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
-    assert G.fit_partitions(1) == 1 and G.fit_partitions(5_000) == 3
-    assert G.fit_partitions(10**12) == G.FIT_MAX_PARTITIONS
+    assert G.fit_partitions(1) == 1 and G.fit_partitions(500_000) == 3
+    assert G.fit_partitions(10**12) == 5_000_000
 
 
 def test_sample_predicate_equals_sampled_users(t):
@@ -96,11 +149,11 @@ def test_sample_predicate_equals_sampled_users(t):
 
     for fraction, cap in [(0.3, None), (0.3, 25), (1.0, 40)]:
         users = {r.user_id for r in G.sample_users(t.orders, fraction, 42, cap).collect()}
-        pred = sample_predicate(t.orders, "user_id", fraction, 42, cap)
+        pred = sample_predicate(t.orders, "user_id", fraction, 42, cap, G.USER_STEP)
         got = {r.user_id for r in t.orders.filter(pred).select("user_id").distinct().collect()}
         assert got == users
     f1 = G.user_features(t.orders, t.order_items, t.products, G.sample_users(t.orders, 0.3, 42, 25))
-    f2 = G.user_features(t.orders, t.order_items, t.products, user_filter=sample_predicate(t.orders, "user_id", 0.3, 42, 25))
+    f2 = G.user_features(t.orders, t.order_items, t.products, user_filter=sample_predicate(t.orders, "user_id", 0.3, 42, 25, G.USER_STEP))
     assert f1.exceptAll(f2).count() == 0 and f2.exceptAll(f1).count() == 0
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from basket.operators.sequence import dense_ids, dense_ids_by, sequence_within
+from basket.operators.sequence import dense_ids_by, sequence_by_group, sequence_within
 
 
 @pytest.fixture(scope="module")
@@ -50,8 +50,6 @@ def test_no_group_is_a_global_row_number(spark, skewed):
 
 
 def test_dense_ids(spark):
-    df = spark.createDataFrame([(w,) for w in "b a c a b d".split()], "w string")
-    assert sorted(tuple(r) for r in dense_ids(df, "w", "id").collect()) == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
     kinds = spark.createDataFrame([("x", "b"), ("x", "a"), ("y", "z"), ("y", "a"), ("x", "a")], "kind string, v string")
     got = sorted(tuple(r) for r in dense_ids_by(kinds, "kind", "v", "id").collect())
     assert got == [("x", "a", 1), ("x", "b", 2), ("y", "a", 1), ("y", "z", 2)]
@@ -61,3 +59,15 @@ def test_empty_input(spark):
     empty = spark.createDataFrame([], "g long, d long, k long, v double")
     assert sequence_within(empty, ["g"], ["d", "k"], lag_cols=["v"]).count() == 0
     assert sequence_within(empty, [], ["k"]).count() == 0
+
+
+@pytest.mark.parametrize("hot_rows", [10, 1000, 10**9])
+def test_by_group_equals_the_sliced_way(spark, skewed, hot_rows):
+    a = sequence_by_group(skewed, ["g"], ["d", "k"], lag_cols=["v"], hot_rows=hot_rows)
+    b = sequence_within(skewed, ["g"], ["d", "k"], lag_cols=["v"])
+    assert a.count() == skewed.count() and a.exceptAll(b.select(a.columns)).count() == 0
+
+
+def test_ordinary_groups_take_one_shuffle(spark, skewed):
+    plan = sequence_by_group(skewed, ["g"], ["d", "k"], lag_cols=["v"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in plan

@@ -52,3 +52,81 @@ def test_load_with_views(spark, tmp_path):
     save_tables(_t(spark), str(tmp_path / "t"))
     load_tables(spark, str(tmp_path / "t"), views=True)
     assert spark.sql("SELECT count(*) FROM order_items").collect()[0][0] == 3
+
+
+def _tables_in_catalog(spark):
+    return {r.tableName for r in spark.sql("SHOW TABLES").collect() if r.tableName.startswith("basket_")}
+
+
+def test_plain_save_over_a_bucketed_one(spark, tmp_path):
+    from basket.sources.tables import load_tables, save_tables
+
+    path = str(tmp_path / "t")
+    save_tables(_t(spark), path, buckets=2)
+    assert load_tables(spark, path).order_items.groupBy("order_id").count().count() == 2
+    save_tables(_t(spark), path)
+    assert load_tables(spark, path).order_items.groupBy("order_id").count().count() == 2
+    save_tables(_t(spark), path, buckets=3)
+    assert load_tables(spark, path).order_items.groupBy("order_id").count().count() == 2
+
+
+def test_relative_and_quoted_paths(spark, tmp_path, monkeypatch):
+    import os
+    import shutil
+
+    from basket.sources.tables import load_tables, save_tables
+
+    name = f"rel-{os.getpid()} it's"
+    try:
+        save_tables(_t(spark), name, buckets=2)
+        # relative paths are resolved where Spark resolves them, for every table alike
+        assert sorted(x for x in os.listdir(name) if not x.startswith(".")) == ["_layout", "aisles", "departments", "order_items", "orders", "products"]
+        assert load_tables(spark, name).order_items.count() == load_tables(spark, os.path.abspath(name)).order_items.count() == 3
+    finally:
+        shutil.rmtree(name, ignore_errors=True)
+
+
+def test_loads_do_not_pile_up_in_the_catalog(spark, tmp_path):
+    from basket.sources.tables import load_tables, save_tables
+
+    before, path = _tables_in_catalog(spark), str(tmp_path / "t")
+    for _ in range(2):
+        save_tables(_t(spark), path, buckets=2)
+        for _ in range(3):
+            load_tables(spark, path)
+    assert len(_tables_in_catalog(spark) - before) == 2
+
+
+def test_scratch_folders_are_marked_for_deletion(spark):
+    import os
+
+    from basket.session import scratch_folder
+
+    path = scratch_folder(spark, "x")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert os.path.isdir(path.removeprefix("file:")) and fs.cancelDeleteOnExit(p)
+    fs.delete(p, True)
+
+
+CSV = {
+    "orders.csv": "order_id,user_id,eval_set,order_number,order_dow,order_hour_of_day,days_since_prior_order\n1,1,prior,1,2,9,\nx,1,train,2,3,10,7.0\n",
+    "order_products__prior.csv": "order_id,product_id,add_to_cart_order,reordered\n1,10,1,0\n",
+    "order_products__train.csv": "order_id,product_id,add_to_cart_order,reordered\n2,10,1,1\n",
+    "products.csv": 'product_id,product_name,aisle_id,department_id\n10,"0% Greek, ""Blended"" Yogurt",1,1\n',
+    "aisles.csv": "aisle_id,aisle\n1,a\n",
+    "departments.csv": "department_id,department\n1,d\n",
+}
+
+
+def test_csv_bad_records_and_quotes(spark, tmp_path):
+    from basket.sources.tables import bad_records, load_tables, save_csv
+
+    for name, text in CSV.items():
+        (tmp_path / name).write_text(text)
+    assert [tuple(r) for r in bad_records(spark, str(tmp_path)).collect()] == [("orders.csv", "x,1,train,2,3,10,7.0")]
+    t = load_tables(spark, str(tmp_path), "csv")
+    assert t.products.first().product_name == '0% Greek, "Blended" Yogurt'
+    save_csv(t, str(tmp_path / "again"))
+    back = load_tables(spark, str(tmp_path / "again"), "csv")
+    assert back.products.collect() == t.products.collect() and back.order_items.count() == 2

@@ -87,3 +87,27 @@ def test_hot_pairs_take_the_broadcast_path(spark, skew_dir):
     assert lines.groupBy("user_id", "product_id").count().filter("count > 2").count() > 0
     assert normal.count() == split.count() == lines.count()
     assert normal.exceptAll(split).count() == 0 and split.exceptAll(normal).count() == 0
+
+
+def test_hot_orders_stay_out_of_the_buckets(spark, tmp_path):
+    """One order holds half of the items: no bucket file is far above the others, and answers stay."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from basket.plans import catalog
+    from basket.plans import segments as G
+    from basket.sources.tables import load_tables, save_tables
+    from tests.mini import item, make, orders_row
+
+    prior = [item(1, 10 + 10 * (i % 3), i % 2, i) for i in range(4000)] + [item(o, 10 + 10 * (o % 3), o % 2, p) for o in range(2, 802) for p in range(5)]
+    t = make(spark, [orders_row(o, o % 50, "prior", 1, o % 7) for o in range(1, 802)], prior, [item(1, 20, 1), item(9, 20, 1)])
+    save_tables(t, str(tmp_path / "b"), buckets=4, hot_order_rows=100)
+    files = [pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{tmp_path}/b/order_items/eval_set=prior/*.parquet")]
+    assert len(files) == 4 and max(files) <= 2 * sorted(files)[len(files) // 2]
+    back = load_tables(spark, str(tmp_path / "b"))
+    assert len(back.item_parts) == 2 and back.order_items.count() == t.order_items.count()
+    for key in ("kpi", "avg_items_by_dow", "basket_size_buckets", "avg_items_per_order_by_eval_set", "top_products"):
+        assert catalog.run(back, key).collect() == catalog.run(t, key).collect()
+    a, b = (G.user_features(x.orders, x.item_parts, x.products) for x in (t, back))
+    assert a.exceptAll(b).count() == 0 and a.count() == b.count()
