@@ -202,8 +202,8 @@ def _merged(stretches: Column) -> Column:
     return F.aggregate(stretches, F.array().cast("array<struct<start:bigint,end:bigint>>"), step)
 
 
-def conversations(trees: PrefixTrees) -> DataFrame:
-    """The conversations read back: ``conv_id, formatted, loss_spans`` (start and end in code points)."""
+def _read_back(trees: PrefixTrees) -> DataFrame:
+    """Each distinct conversation from its nodes: ``leaf, formatted, loss_spans``."""
     distinct = trees.members.select("leaf", "path").dropDuplicates(["leaf"])
     parts = distinct.select("leaf", F.posexplode("path").alias("depth", "node")).join(
         trees.nodes.select("node", "formatted", "position", "loss_start", "loss_end"), "node"
@@ -214,33 +214,41 @@ def conversations(trees: PrefixTrees) -> DataFrame:
     )
     item = F.struct("depth", "formatted", span.alias("span"))
     whole = parts.groupBy("leaf").agg(F.sort_array(F.collect_list(item)).alias("p"))
-    built = whole.select(
+    return whole.select(
         "leaf",
         F.array_join(F.transform("p", lambda x: x["formatted"]), "").alias("formatted"),
         F.filter(F.transform("p", lambda x: x["span"]), lambda s: s.isNotNull()).alias("loss_spans"),
     )
-    return trees.members.select("conv_id", "leaf").join(built, "leaf").drop("leaf")
 
 
-DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+def conversations(trees: PrefixTrees) -> DataFrame:
+    """The conversations read back: ``conv_id, formatted, loss_spans`` (start and end in code points)."""
+    return trees.members.select("conv_id", "leaf").join(_read_back(trees), "leaf").drop("leaf")
+
+
+DIGEST = "leaf string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        columns = (batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss_spans"))
-        for conv_id, formatted, spans in zip(*columns, strict=True):
+        columns = (batch.column(c).to_pylist() for c in ("leaf", "formatted", "loss_spans"))
+        for leaf, formatted, spans in zip(*columns, strict=True):
             turns = parse(formatted)
             told = "".join(f"{role}\n{text}\n" for role, text in turns)
             loss = "".join(unescape(formatted[s["start"] : s["end"]]) for s in spans)
             sha = [hashlib.sha256(x.encode()).hexdigest() for x in (told, loss)]
-            rows.append((conv_id, len(turns), sha[0], len(loss), sha[1], len(formatted)))
-        types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+            rows.append((leaf, len(turns), sha[0], len(loss), sha[1], len(formatted)))
+        types = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+        names = ["leaf", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
 
 def digests(trees: PrefixTrees) -> DataFrame:
-    """Per conversation, from the formatted output alone: turns and loss text parsed back and hashed."""
-    return arrow_map(conversations(trees), _digest, DIGEST)
+    """Per conversation, from the formatted output alone: turns and loss text parsed back and hashed.
+
+    Equal conversations are read back once; only the digests are joined to their ids.
+    """
+    found = cut(arrow_map(_read_back(trees), _digest, DIGEST))
+    return trees.members.select("conv_id", "leaf").join(found, "leaf").drop("leaf")

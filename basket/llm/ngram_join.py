@@ -158,12 +158,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # The aggregates are stored: the joins are then between plain shuffles, which adaptive execution
+        # splits where one node has very many edges.
+        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         # large star: neighbours above a node go to the node's least neighbour
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
         # small star: a node and its lower neighbours go to the least of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = cut(large)
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         pairs = cut(small.filter("u <> v").distinct())
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
@@ -309,7 +312,7 @@ def similar(
     # 2. buckets and their stars
     exploded = reps.select("rid", F.explode("bands").alias("band"))
     buckets = exploded.groupBy("band").agg(F.min("rid").alias("least"), F.count("*").alias("n")).filter("n > 1")
-    stars = exploded.join(buckets.select("band", "least"), "band").filter("rid <> least").select("rid", "least").distinct()
+    stars = exploded.join(cut(buckets.select("band", "least")), "band").filter("rid <> least").select("rid", "least").distinct()
     gathered = components(stars, "rid", "least")
 
     # 3. verification in blocks
@@ -317,7 +320,7 @@ def similar(
     members = cut(members)
     sizes = members.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n_grams").alias("g"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(2 * F.col("g") / BLOCK_GRAMS), F.lit(1)).cast("int")
-    wanted = members.join(sizes.select("comp", blocks.alias("nb")), "comp").select("rid", "doc_id", "k1", "k2", "comp", "nb", "bands")
+    wanted = members.join(cut(sizes.select("comp", blocks.alias("nb"))), "comp").select("rid", "doc_id", "k1", "k2", "comp", "nb", "bands")
     wanted = cut(wanted)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
     few = wanted.count() <= BROADCAST_ROWS
@@ -339,7 +342,7 @@ def similar(
     roots = found.filter("whole").select("rid", "root").unionByName(merged)
     rep_class = classes.select("rep", "copy_id").join(roots, F.col("rep") == F.col("rid"), "left").select("rep", "copy_id", F.coalesce("root", "rep").alias("root"))
     rep_class = cut(rep_class)
-    named = rep_class.groupBy("root").agg(F.min("copy_id").alias("class_id"))
+    named = cut(rep_class.groupBy("root").agg(F.min("copy_id").alias("class_id")))
     facts = rep_class.join(named, "root").join(links.withColumnRenamed("rid", "rep"), "rep", "left")
     facts = facts.select("rep", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     by_key = cut(classes.join(facts, "rep").select("k1", "k2", "copy_id", "n_copies", "class_id", "n_links"))

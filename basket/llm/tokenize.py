@@ -18,46 +18,80 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from itertools import chain
+
+import numpy as np
 
 _LEADING = re.compile(r"\s*\S+|\s+")
 _ODD = re.compile("[\x1c-\x1f]")
+#: Pieces that are one word to the tokenizers: Latin-1 letters, after one space where white space leads.
+_WORD = {"dropped": re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+"), "leading": re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+")}
+#: Such a word and a run of ASCII punctuation (not the apostrophe of contractions, not a special token): two pieces.
+_TAILED = {
+    "dropped": re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]+)"),
+    "leading": re.compile(r"( [A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]+)"),
+}
 
 
 class Encoder:
     """Ids of texts as little-endian bytes of ``dtype``.
 
-    ``limit`` bounds the remembered pieces (to those met first, which hold the frequent ones);
-    others are encoded anew in each call.
+    At ``limit`` remembered pieces the memory starts anew.  New one-word pieces are encoded many at a time as one
+    text and told apart by the tokens that end (``</w>``) or begin (a leading space) a word.
     """
 
-    def __init__(self, path: str, pieces: str, dtype: str = "<u4", limit: int = 400_000):
+    def __init__(self, path: str, pieces: str, dtype: str = "<u4", limit: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.pieces, self.limit = pieces, limit
         self.code = {"<u2": "H", "<u4": "I"}[dtype]
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.edge[i] = token.endswith("</w>") if pieces == "dropped" else token.startswith("Ġ")
         self.known: dict[str, bytes] = {}
-        self.stop = {c: self._encode([c])[0] for c in ".,"}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in out]
 
-    def _learn(self, pieces: set[str]) -> list[str]:
-        """Make every piece known; returns those to forget again, once the limit is reached."""
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """``_encode`` for one-word pieces."""
+        out: list[bytes] = []
+        for lo in range(0, len(words), 2000):
+            part = words[lo : lo + 2000]
+            text = " ".join(part) if self.pieces == "dropped" else "".join(part)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            at = np.flatnonzero(self.edge[ids])
+            if len(at) != len(part):  # some word has no such token, or several
+                out += self._encode(part)
+                continue
+            cuts = np.append(at, len(ids)) if self.pieces == "leading" else np.insert(at + 1, 0, 0)
+            if cuts[0] or cuts[-1] != len(ids):
+                out += self._encode(part)
+                continue
+            width = array(self.code).itemsize
+            data, cuts = ids.astype(f"<u{width}").tobytes(), (cuts * width).tolist()
+            out += [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return out
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Make every piece known."""
+        if len(self.known) > self.limit:
+            self.known.clear()
         pieces.difference_update(self.known)
-        full = len(self.known) >= self.limit
-        # A full stop or comma after a Latin-1 letter is a piece of its own: encode the rest only.
-        tails = [p for p in pieces if p[-1] in ".," and len(p) > 1 and p[-2].isalpha() and p[-2] <= "ÿ"]
-        new = pieces.difference(tails)
-        new.update(p[:-1] for p in tails)
+        tailed = [m.groups() for m in map(_TAILED[self.pieces].fullmatch, pieces) if m]
+        new = pieces.difference(a + b for a, b in tailed)
+        new.update(chain.from_iterable(tailed))
         new.difference_update(self.known)
-        texts = list(new)
-        self.known.update(zip(texts, self._encode(texts), strict=True))
-        for p in tails:
-            self.known[p] = self.known[p[:-1]] + self.stop[p[-1]]
-        return texts + tails if full else []
+        words = list(filter(_WORD[self.pieces].fullmatch, new))
+        rest = list(new.difference(words))
+        self.known.update(zip(words, self._encode_words(words), strict=True))
+        self.known.update(zip(rest, self._encode(rest), strict=True))
+        known = self.known
+        known.update([(a + b, known[a] + known[b]) for a, b in tailed])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
@@ -66,12 +100,9 @@ class Encoder:
         odd = {i for i, t in enumerate(texts) if _ODD.search(t)}
         split = str.split if self.pieces == "dropped" else _LEADING.findall
         cut = [() if i in odd else split(t) for i, t in enumerate(texts)]
-        passing = self._learn(set().union(*cut))
+        self._learn(set().union(*cut))
         get = self.known.__getitem__
-        out = [self._encode([texts[i]])[0] if i in odd else b"".join(map(get, c)) for i, c in enumerate(cut)]
-        for p in passing:
-            del self.known[p]
-        return out
+        return [self._encode([texts[i]])[0] if i in odd else b"".join(map(get, c)) for i, c in enumerate(cut)]
 
 
 _encoders: dict[tuple, Encoder] = {}
