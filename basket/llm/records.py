@@ -34,6 +34,7 @@ from basket.llm.tokenize import encoder
 
 _HEAD, _CRC, _ID = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<Bq")
 _FRAME = _HEAD.size + 2 * _CRC.size
+REMEMBERED = 1_200_000  # pieces of text with their ids in a Python worker
 INDEX_SCHEMA = "doc_id long, shard int, offset long, n_tokens long"
 READ_SCHEMA = "doc_id long, shard int, local_start long, n_tokens long, ids binary"
 
@@ -79,7 +80,7 @@ def _name(shard: int) -> str:
 
 def _write(out, path, pieces, end_id, dtype):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(path, pieces, dtype), np.array([end_id], dtype).tobytes()
+        enc, end = encoder(path, pieces, dtype, REMEMBERED), np.array([end_id], dtype).tobytes()
         task = TaskContext.get()
         shard, width = task.partitionId(), len(end)
         fs, folder = _folder(out)

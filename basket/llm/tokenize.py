@@ -108,9 +108,9 @@ class Encoder:
 _encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, pieces: str, dtype: str = "<u4") -> Encoder:
-    """One encoder per Python worker and tokenizer file."""
-    key = (path, pieces, dtype)
+def encoder(path: str, pieces: str, dtype: str = "<u4", limit: int = 600_000) -> Encoder:
+    """One encoder per Python worker and tokenizer file; about 200 bytes for each remembered piece."""
+    key = (path, pieces, dtype, limit)
     if key not in _encoders:
-        _encoders[key] = Encoder(path, pieces, dtype)
+        _encoders[key] = Encoder(path, pieces, dtype, limit)
     return _encoders[key]
