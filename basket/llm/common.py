@@ -6,7 +6,7 @@ import ctypes
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -163,10 +163,30 @@ def release_memory() -> None:
         trim(0)
 
 
-def arrow_map(df: DataFrame, function, schema) -> DataFrame:
-    """``mapInArrow`` with this package on the workers' path; tasks leave no freed memory behind."""
+#: What operators keep in a Python worker from task to task: name -> how to drop it.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keep_between_tasks(name: str, drop: Callable[[], None]) -> None:
+    _kept[name] = drop
+
+
+def begin_task(keeps: str) -> None:
+    """Drop what another operator's tasks left in this worker."""
+    for name, drop in _kept.items():
+        if name != keeps:
+            drop()
+    release_memory()
+
+
+def arrow_map(df: DataFrame, function, schema, keeps: str = "") -> DataFrame:
+    """``mapInArrow`` with this package on the workers' path; tasks leave no freed memory behind.
+
+    ``keeps`` names what the function remembers between tasks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task(keeps)
         try:
             yield from function(batches)
         finally:

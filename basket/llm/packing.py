@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basket.llm.common import arrow_map, slices
-from basket.llm.tokenize import encoder
+from basket.llm.tokenize import KEEPS, encoder
 
 SCHEMA = "doc_id long, piece int, start long, length long, sequence_id long, offset long, ids binary"
 _ARROW = pa.schema(
@@ -84,9 +84,9 @@ def pieces_of(total: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((s, capacity) for s in range(first, total, capacity))]
 
 
-def _pack(path, pieces, end_id, capacity, max_open):
+def _pack(path, pieces, end_id, capacity, max_open, remembered):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, pieces)
+        enc = encoder(path, pieces, limit=remembered)
         end = np.array([end_id], "<u4").tobytes()
         base = TaskContext.get().partitionId() << 40
         bins = BestFit(capacity, max_open)
@@ -122,16 +122,19 @@ def pack(
     end_id: int = 0,
     capacity: int = 2048,
     max_open: int = 4096,
+    remembered: int = 600_000,
 ) -> DataFrame:
     """One row per piece with its ids (little-endian uint32), sequence and place in it.
 
+    ``remembered`` bounds the pieces of text whose ids a Python worker keeps (memory against speed).
+
     Null text counts as empty (the document is its end id alone).  Null ``doc_id``
     stays null.  Repeated rows are packed once each.  An empty table gives no rows.  Other
     columns of ``docs`` are ignored.  Give it a stored table: the rows of a task
     must come in the same order when the task is run again.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return arrow_map(narrow, _pack(tokenizer, pieces, end_id, capacity, max_open), SCHEMA)
+    return arrow_map(narrow, _pack(tokenizer, pieces, end_id, capacity, max_open, remembered), SCHEMA, keeps=KEEPS)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basket.llm.common import arrow_map, slices
-from basket.llm.tokenize import encoder
+from basket.llm.tokenize import KEEPS, encoder
 
 _HEAD, _CRC, _ID = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<Bq")
 _FRAME = _HEAD.size + 2 * _CRC.size
@@ -128,7 +128,7 @@ def write_records(
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    index = arrow_map(ordered, _write(f"{out}/records", tokenizer, pieces, end_id, dtype), INDEX_SCHEMA)
+    index = arrow_map(ordered, _write(f"{out}/records", tokenizer, pieces, end_id, dtype), INDEX_SCHEMA, keeps=KEEPS)
     index.withColumn("bytes_per_id", F.lit(int(dtype[-1]))).write.parquet(f"{out}/index")
 
 

@@ -22,6 +22,8 @@ from itertools import chain
 
 import numpy as np
 
+from basket.llm.common import keep_between_tasks
+
 _LEADING = re.compile(r"\s*\S+|\s+")
 _ODD = re.compile("[\x1c-\x1f]")
 #: Pieces that are one word to the tokenizers: Latin-1 letters, after one space where white space leads.
@@ -106,6 +108,8 @@ class Encoder:
 
 
 _encoders: dict[tuple, Encoder] = {}
+KEEPS = "encoders"
+keep_between_tasks(KEEPS, _encoders.clear)
 
 
 def encoder(path: str, pieces: str, dtype: str = "<u4", limit: int = 600_000) -> Encoder:

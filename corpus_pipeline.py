@@ -37,7 +37,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens packed into sequences of 2,048: one row per piece."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    packed = packing.pack(docs, path, pieces="leading", end_id=0, capacity=2048)
+    packed = packing.pack(docs, path, pieces="leading", end_id=0, capacity=2048, remembered=200_000)
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
