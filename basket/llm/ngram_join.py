@@ -8,8 +8,8 @@
    components of the stars gather everything that could be similar.
 3. Components are verified on the full shingle sets.  A component of more than ``BLOCK`` members (or
    ``BLOCK_GRAMS`` shingles) is dealt into blocks and each pair of blocks is a task of its own, so no group is ever
-   gathered in one place; within a task, pairs that share a band are counted by matrix products.  Pairs are never
-   written out: a task returns, per document, its number of links and a root it is connected with.
+   gathered in one place; within a task, all pairs are counted by matrix products, whether or not they share a band
+   themselves.  Pairs are never written out: a task returns, per document, its number of links and a root it is connected with.
 4. Components of the verified links are the similarity classes.
 
 The work in a component of m different texts grows with m squared (each pair is checked, as the exact number of
@@ -158,15 +158,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # The aggregates are stored: the joins are then between plain shuffles, which adaptive execution
-        # splits where one node has very many edges.
+        # Stored, so that the join is between plain shuffles: adaptive execution splits those where one
+        # node has very many neighbours above it.  (Lower neighbours are few after this step.)
         least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         # large star: neighbours above a node go to the node's least neighbour
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
         # small star: a node and its lower neighbours go to the least of them
-        large = cut(large)
-        low = cut(large.groupBy("u").agg(F.min("v").alias("m")))
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         pairs = cut(small.filter("u <> v").distinct())
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
@@ -191,22 +190,19 @@ def _sets(n):
             sets = [np.unique(grams[bounds[i] : bounds[i + 1]]).view(np.int64) for i in kept.tolist()]
             at = pa.array(kept)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(at) for c in ("rid", "comp", "nb", "bands")] + [pa.array(sets, pa.list_(pa.int64()))],
-                ["rid", "comp", "nb", "bands", "grams"],
+                [batch.column(c).take(at) for c in ("rid", "comp", "nb")] + [pa.array(sets, pa.list_(pa.int64()))],
+                ["rid", "comp", "nb", "grams"],
             )
 
     return run
 
 
-def _links(values: np.ndarray, bounds: np.ndarray, bands: np.ndarray, left: int, cross: bool, threshold: float) -> np.ndarray:
+def _links(values: np.ndarray, bounds: np.ndarray, left: int, cross: bool, threshold: float) -> np.ndarray:
     """Boolean matrix of the members' verified links; with ``cross`` only between the first ``left`` and the rest."""
     m = len(bounds) - 1
     size = np.diff(bounds)
-    todo = np.zeros((m, m), bool)
-    for b in range(bands.shape[1]):
-        todo |= bands[:, b][:, None] == bands[:, b][None, :]
     # similarity cannot exceed the ratio of the sizes
-    todo &= np.minimum(size[:, None], size[None, :]) >= threshold * np.maximum(size[:, None], size[None, :])
+    todo = np.minimum(size[:, None], size[None, :]) >= threshold * np.maximum(size[:, None], size[None, :])
     todo &= np.triu(np.ones((m, m), bool), 1)
     if cross:
         todo[:left, :left] = todo[left:, left:] = False
@@ -247,12 +243,11 @@ def _verify(threshold):
         rid, side = rid[keep], group.column("side").to_numpy()[keep]
         at = pa.array(keep)
         grams = group.column("grams").combine_chunks().take(at)
-        bands = np.array(group.column("bands").combine_chunks().take(at).flatten().to_numpy()).reshape(len(rid), -1)
         size = pa.compute.list_value_length(grams).to_numpy(zero_copy_only=False)
         bounds = np.concatenate(([0], np.cumsum(size)))
         values = grams.flatten().to_numpy()
         cross = key[1].as_py() != key[2].as_py()
-        linked = _links(values, bounds, bands, int((side == 0).sum()), cross, threshold)
+        linked = _links(values, bounds, int((side == 0).sum()), cross, threshold)
         number = linked.sum(axis=1)
         root = np.arange(len(rid))
         by_rid = np.argsort(rid, kind="stable")
@@ -316,21 +311,21 @@ def similar(
     gathered = components(stars, "rid", "least")
 
     # 3. verification in blocks
-    members = gathered.join(reps, gathered["node"] == reps["rid"]).drop("node").withColumnRenamed("root", "comp")
+    members = gathered.join(reps.drop("bands"), gathered["node"] == reps["rid"]).drop("node").withColumnRenamed("root", "comp")
     members = cut(members)
     sizes = members.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n_grams").alias("g"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(2 * F.col("g") / BLOCK_GRAMS), F.lit(1)).cast("int")
-    wanted = members.join(cut(sizes.select("comp", blocks.alias("nb"))), "comp").select("rid", "doc_id", "k1", "k2", "comp", "nb", "bands")
+    wanted = members.join(cut(sizes.select("comp", blocks.alias("nb"))), "comp").select("rid", "doc_id", "k1", "k2", "comp", "nb")
     wanted = cut(wanted)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
     few = wanted.count() <= BROADCAST_ROWS
     ids = wanted.select(F.col("doc_id").alias("_id")).distinct()
     mine = texts.join(F.broadcast(ids) if few else ids, texts["_id"].eqNullSafe(ids["_id"]), "left_semi")
     candidates = mine.join(wanted, mine["_id"].eqNullSafe(wanted["doc_id"])).drop("_id", "doc_id")
-    sets = arrow_map(candidates, _sets(n), "rid long, comp long, nb int, bands array<long>, grams array<long>")
+    sets = arrow_map(candidates, _sets(n), "rid long, comp long, nb int, grams array<long>")
     own = F.pmod(F.xxhash64("rid"), F.col("nb")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda j: F.struct(F.least(j, own).alias("lo"), F.greatest(j, own).alias("hi"), (own > j).cast("int").alias("side")))
-    dealt = sets.select("*", F.explode(pairs).alias("p")).select("rid", "comp", "nb", "bands", "grams", "p.lo", "p.hi", "p.side")
+    dealt = sets.select("*", F.explode(pairs).alias("p")).select("rid", "comp", "nb", "grams", "p.lo", "p.hi", "p.side")
     found = cut(
         dealt.groupBy("comp", "lo", "hi").applyInArrow(_verify(threshold), "rid long, links long, root long, whole boolean")
     )
