@@ -51,6 +51,9 @@ def measure(docs: DataFrame) -> DataFrame:
     Texts of 2**24 words and more skip the hash step and compare all windows.
     """
     cols = [c for c in docs.columns if c.lower() not in {*MEASURES, "failures"}]
+    # The steps' own names begin with an underscore: such columns of the documents stand aside.
+    own = {c: f"own{c}" if c.startswith("_") else c for c in cols}
+    docs, cols = docs.select(*cols).withColumnsRenamed(own), list(own.values())
     steps = [
         ("_t", "coalesce(text, '')"),
         ("_w", f"filter(split(_t, '{_SPACE}+'), w -> w <> '')"),
@@ -88,7 +91,9 @@ def measure(docs: DataFrame) -> DataFrame:
     )
     # One measured row per document through a generator: a filter on a measurement is then not pushed
     # below the steps, where it would evaluate them again inside one another.
-    return out.select(*cols, F.explode(F.array(measured)).alias("_m")).select(*cols, "_m.*")
+    return out.select(*cols, F.explode(F.array(measured)).alias("_m")).select(
+        *[F.col(aside).alias(c) for c, aside in own.items()], "_m.*"
+    )
 
 
 def ledger(docs: DataFrame) -> DataFrame:
