@@ -101,7 +101,8 @@ class Model:
             root = np.where(rows[0] >= 0, (rows[0] + base) * self.size, base * self.size)
             tables.append(np.where(rows >= 0, going, ~root[None, :]).astype(np.int32))
             self.roots.append(base * self.size)
-            self.bits.append(math.log2(max(2, len(sequence))))
+            # A phrase of a tiny sample is no cheaper to name than a bare symbol.
+            self.bits.append(math.log2(max(len(sequence), self.size)))
             base += len(rows)
         self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.int32)
 
@@ -168,25 +169,31 @@ class Model:
 
 
 def training_sample(labelled: DataFrame, rows: int, chars: int) -> DataFrame:
-    """At most ``rows`` (lang, text) rows of each language, texts of up to ``chars`` characters, by hash order of the text.
+    """At most ``rows`` (lang, text) rows of each language, by hash order; a text over ``chars`` characters gives a piece of that length.
 
-    Copies of a text count once.  A first count sets a hash threshold per language that
-    keeps somewhat more than enough, so no language's rows are all gathered or sorted.
+    The piece lies where the text's hash says (from the first letter on, if there is none in it).  Equal texts or pieces
+    count once; texts without a letter are left out.  A first count of the different ones sets a hash threshold per
+    language that keeps somewhat more than enough, or all when they are few, so no language's rows are all gathered or sorted.
     """
     from pyspark.sql import Window
 
-    fit = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= chars))
-    keyed = fit.select("lang", "text", F.xxhash64("text").alias("h"))
-    counts = keyed.groupBy("lang").agg(F.count("*").alias("n"))
+    text, letter = F.col("text"), r"\p{L}"
+    start = F.pmod(F.xxhash64(text), F.greatest(F.length(text) - chars, F.lit(0)) + 1) + 1
+    drawn = text.substr(start.cast("int"), F.lit(chars))
+    piece = F.when(drawn.rlike(letter), drawn).otherwise(text.substr(F.regexp_instr(text, F.lit(letter)), F.lit(chars)))
+    fit = labelled.filter(F.col("lang").isNotNull() & text.isNotNull() & text.rlike(letter)).select("lang", piece.alias("text"))
+    keyed = fit.withColumn("h", F.xxhash64("text"))
+    # Within some per cent, which the factor of 8 below covers many times over.
+    counts = keyed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
     share = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
     # One row per language: small by nature.
     near = keyed.join(F.broadcast(counts), "lang").filter(share < F.lit(8.0 * rows) / F.col("n"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(share, "h", "text"))
     return near.dropDuplicates(["lang", "h", "text"]).withColumn("place", place).filter(F.col("place") <= rows).select("lang", "text")
 
 
 def train(labelled: DataFrame, rows: int = 150, chars: int = 4000, symbols: int = 40_000) -> Model:
-    """Fit on a bounded sample: ``rows`` texts of up to ``chars`` characters, ``symbols`` in all, per language.
+    """Fit on a bounded sample: ``rows`` texts or pieces of up to ``chars`` characters, ``symbols`` in all, per language.
 
     The sample (at most rows * chars characters a language) comes to the driver; the
     model has at most two states per symbol.

@@ -80,3 +80,25 @@ def test_sample_is_bounded_and_counts_copies_once(spark, documents):
     for r in sample:
         per.setdefault(r.lang, []).append(r.text)
     assert all(len(v) == len(set(v)) <= 5 and max(map(len, v)) <= 3000 for v in per.values())
+
+
+def test_languages_of_long_texts_only_are_learned(spark):
+    en, fr = "the cat sat on the mat and then it went away ", "le chat est sur la table et puis il est parti "
+    rows = [(lang, f"{i} {t * 200}") for lang, t in (("en", en), ("fr", fr)) for i in range(5)]
+    rows.append(("fr", "1 " * 6000 + fr))
+    labelled = spark.createDataFrame(rows, "lang string, text string")
+    sample = langid.training_sample(labelled, rows=150, chars=4000).collect()
+    assert sorted(r.lang for r in sample) == ["en"] * 5 + ["fr"] * 6
+    assert all(len(r.text) <= 4000 and any(c.isalpha() for c in r.text) for r in sample)
+    assert langid.train(labelled).predict([en, fr])[0] == ["en", "fr"]
+
+
+def test_a_language_of_copies_keeps_all_its_texts(spark):
+    copies = spark.range(5000).selectExpr("'en' AS lang", "concat('text number ', substr('abc', id % 3 + 1, 1)) AS text")
+    sample = langid.training_sample(copies, rows=5, chars=100).collect()
+    assert sorted(r.text for r in sample) == [f"text number {c}" for c in "abc"]
+
+
+def test_a_language_with_a_tiny_or_no_sample_does_not_win():
+    en = "the cat sat on the mat and then it went away while another one came here to stay for the night"
+    assert langid.Model({"en": en * 20, "aa": "ok", "zz": ""}).predict([en[10:60]])[0] == ["en"]
