@@ -26,23 +26,27 @@ from basket.llm.common import extend, filtered, text_crc
 
 BLOCK = 2048
 UNKNOWN = "und"
-#: Symbol 0 is the space, 1 any letter outside the learned alphabet.
+#: Symbol 0 is the space, 1 any letter that no sample has.
 _SPACE, _OTHER = 0, 1
 
 
 class SuffixAutomaton:
-    """All substrings of a symbol sequence; ``next`` has a row of transitions per state, -1 where there is none."""
+    """All substrings of a symbol sequence.
+
+    ``next`` has a row of transitions per state by the symbols below ``size``, -1 where there is none; ``far`` lists
+    those by any other symbol: (states, symbols, next states).
+    """
 
     def __init__(self, symbols: np.ndarray, size: int):
-        rows: list[list[int]] = [[-1] * size]
+        rows: list[dict[int, int]] = [{}]
         link, length, last = [-1], [0], 0
         for s in symbols.tolist():
             new = len(rows)
-            rows.append([-1] * size)
+            rows.append({})
             length.append(length[last] + 1)
             link.append(0)
             p = last
-            while p >= 0 and rows[p][s] < 0:
+            while p >= 0 and s not in rows[p]:
                 rows[p][s] = new
                 p = link[p]
             if p >= 0:
@@ -51,15 +55,21 @@ class SuffixAutomaton:
                     link[new] = q
                 else:
                     clone = len(rows)
-                    rows.append(rows[q][:])
+                    rows.append(rows[q].copy())
                     length.append(length[p] + 1)
                     link.append(link[q])
-                    while p >= 0 and rows[p][s] == q:
+                    while p >= 0 and rows[p].get(s) == q:
                         rows[p][s] = clone
                         p = link[p]
                     link[q] = link[new] = clone
             last = new
-        self.next = np.array(rows, np.int32)
+        state = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        symbol = np.array([s for r in rows for s in r], np.int64)
+        to = np.array([t for r in rows for t in r.values()], np.int64)
+        near = symbol < size
+        self.next = np.full((len(rows), size), -1, np.int32)
+        self.next[state[near], symbol[near]] = to[near]
+        self.far = state[~near], symbol[~near], to[~near]
 
 
 _letters: list[np.ndarray] = []
@@ -81,30 +91,48 @@ class Model:
 
     Row ``state``, column ``symbol``: where the phrase goes on, the next row's offset; where it
     ends there, the complement of the row after starting a new phrase with that symbol.
+    The table has ``columns`` columns at most, for the most frequent letters.  The transitions by all
+    other letters of the samples are a sorted list of (state, symbol) ``keys`` with the next row's offset in ``targets``.
     """
 
-    def __init__(self, samples: dict[str, str], max_symbols: int = 46):
+    def __init__(self, samples: dict[str, str], columns: int = 46):
         self.languages = sorted(samples)
         counts: Counter[int] = Counter()
         for text in samples.values():
             points = _code_points(text)
             counts.update(points[_letter_table()[points]].tolist())
-        top = sorted(counts, key=lambda c: (-counts[c], c))[: max_symbols - 2]
-        self.alphabet = sorted(top)
-        self.size = len(self.alphabet) + 2
+        order = sorted(counts, key=lambda c: (-counts[c], c))
+        near, far = sorted(order[: columns - 2]), sorted(order[columns - 2 :])
+        self.alphabet = near + far
+        self.size, self.far = len(near) + 2, len(far)
         self._symbols = None
         tables, self.roots, self.bits, base = [], [], [], 0
+        keys, targets = [], []
+        #: Per language and far symbol, the row after starting a phrase with it.
+        self.starts = np.zeros((len(self.languages), self.far), np.int32)
         for lang in self.languages:
             sequence = self.symbols(samples[lang])
-            rows = SuffixAutomaton(sequence, self.size).next
+            automaton = SuffixAutomaton(sequence, self.size)
+            rows = automaton.next
             going = np.where(rows >= 0, (rows + base) * self.size, 0)
             root = np.where(rows[0] >= 0, (rows[0] + base) * self.size, base * self.size)
             tables.append(np.where(rows >= 0, going, ~root[None, :]).astype(np.int32))
+            state, symbol, to = automaton.far
+            offset = (to + base) * self.size
+            self.starts[len(self.roots)] = base * self.size
+            self.starts[len(self.roots), symbol[state == 0] - self.size] = offset[state == 0]
+            keys.append((state + base) * self.far + symbol - self.size)
+            targets.append(offset.astype(np.int32))
             self.roots.append(base * self.size)
             # A phrase of a tiny sample is no cheaper to name than a bare symbol.
-            self.bits.append(math.log2(max(len(sequence), self.size)))
+            self.bits.append(math.log2(max(len(sequence), len(self.alphabet) + 2)))
             base += len(rows)
         self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.int32)
+        key, target = np.concatenate([*keys, np.empty(0, np.int64)]), np.concatenate([*targets, np.empty(0, np.int32)])
+        order = np.argsort(key)
+        # The last key is beyond any other, so that every search ends on one.
+        self.keys = np.append(key[order], np.iinfo(np.int64).max)
+        self.targets = np.append(target[order], np.int32(0))
 
     def __getstate__(self):
         return self.__dict__ | {"_symbols": None}
@@ -112,7 +140,7 @@ class Model:
     def symbols(self, text: str) -> np.ndarray:
         """The text's symbols; empty if it has no letter."""
         if self._symbols is None:
-            table = np.where(_letter_table(), _OTHER, _SPACE).astype(np.uint8)
+            table = np.where(_letter_table(), _OTHER, _SPACE).astype(np.min_scalar_type(len(self.alphabet) + 2))
             for i, c in enumerate(self.alphabet):
                 table[c] = i + 2
             self._symbols = table
@@ -123,6 +151,13 @@ class Model:
         out = out[~(gap & np.concatenate(([True], gap[:-1])))]
         return out[:-1] if out[-1] == _SPACE else out
 
+    def _far_steps(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """What ``table`` holds for other symbols, for the symbols without a column."""
+        column = symbols.astype(np.int64) - self.size
+        key = (state // self.size).astype(np.int64) * self.far + column
+        place = np.searchsorted(self.keys, key)
+        return np.where(self.keys[place] == key, self.targets[place], ~self.starts[:, column])
+
     def phrases(self, sequences: list[np.ndarray]) -> np.ndarray:
         """Number of phrases of each sequence (rows) against each language (columns)."""
         langs = len(self.languages)
@@ -137,15 +172,21 @@ class Model:
         lengths = np.array([len(b) for b in blocks])
         order = np.argsort(-lengths, kind="stable")
         lengths = lengths[order]
-        steps = np.zeros((int(lengths[0]), len(blocks)), np.uint8)
+        steps = np.zeros((int(lengths[0]), len(blocks)), blocks[0].dtype)
         for lane, b in enumerate(order.tolist()):
             steps[: len(blocks[b]), lane] = blocks[b]
+        beyond = steps >= self.size
+        some = beyond.any(axis=1).tolist()
+        near = np.where(beyond, _OTHER, steps).astype(np.uint8) if any(some) else steps
         active = np.searchsorted(-lengths, -np.arange(len(steps)), side="left")
         roots = np.array(self.roots, np.int32)[:, None]
         state = np.repeat(roots, len(blocks), axis=1)
         ended = np.zeros((langs, len(blocks)), np.int32)
         for t, k in enumerate(active.tolist()):
-            at = self.table.take(state[:, :k] + steps[t, :k])
+            at = self.table.take(state[:, :k] + near[t, :k])
+            if some[t]:
+                lanes = np.flatnonzero(beyond[t, :k])
+                at[:, lanes] = self._far_steps(state[:, lanes], steps[t, lanes])
             over = at >> 31
             ended[:, :k] -= over
             state[:, :k] = at ^ over

@@ -102,3 +102,34 @@ def test_a_language_of_copies_keeps_all_its_texts(spark):
 def test_a_language_with_a_tiny_or_no_sample_does_not_win():
     en = "the cat sat on the mat and then it went away while another one came here to stay for the night"
     assert langid.Model({"en": en * 20, "aa": "ok", "zz": ""}).predict([en[10:60]])[0] == ["en"]
+
+
+#: Latin, Cyrillic (two languages), Greek, Hebrew, Hangul and Han (two languages): far more than 44 letters.
+SCRIPTS = {
+    "en": "all human beings are born free and equal in dignity and rights and should act in brotherhood",
+    "ru": "все люди рождаются свободными и равными в своём достоинстве и правах и должны поступать в духе братства",
+    "uk": "всі люди народжуються вільними і рівними у своїй гідності та правах і повинні діяти в дусі братерства",
+    "el": "όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα",
+    "he": "כל בני האדם נולדו בני חורין ושווים בערכם ובזכויותיהם ולפיכך חובה עליהם לנהוג ברוח של אחווה",
+    "ko": "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다 서로 형제애의 정신으로 행동하여야 한다",
+    "ja": "すべての人間は生まれながらにして自由でありかつ尊厳と権利とについて平等である互いに同胞の精神をもって行動しなければならない",
+    "zh": "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待",
+}
+
+
+def test_languages_of_several_scripts():
+    # Latin makes up most of the letters, so those of the other scripts are not among the most frequent.
+    model = langid.Model({k: f"{t} " * (30 if k == "en" else 1) for k, t in SCRIPTS.items()})
+    assert set(model.alphabet) == {ord(c) for t in SCRIPTS.values() for c in t if c.isalpha()} and len(model.alphabet) > 150
+    langs, score = model.predict([t[len(t) // 4 : -len(t) // 4] for t in SCRIPTS.values()])
+    assert langs == list(SCRIPTS) and (score > 0.9).all()
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text("abéж漢字 .z", max_size=60), min_size=1, max_size=5), st.integers(2, 9))
+def test_letters_without_a_column_are_parsed_alike(texts, columns):
+    samples = {"x": "ab ба жaж 漢字 aab漢", "y": "字漢字 éaé bж字"}
+    model = langid.Model(samples, columns=columns)
+    sequences = [model.symbols(t) for t in texts]
+    for s, row in zip(sequences, model.phrases(sequences), strict=True):
+        assert row.tolist() == [naive_phrases(s, model.symbols(samples[k])) for k in model.languages]
