@@ -31,6 +31,8 @@ from basket.llm.common import (
     arrow_map,
     constants,
     cut,
+    extend,
+    filtered,
     mix,
     ship,
     signed,
@@ -293,6 +295,21 @@ def similar(
     document itself, with one copy and no links.  Repeated rows are copies.  Null doc_ids take part and
     report a null copy_id only if all copies have none.  An empty table gives no rows.
     """
+    return _similar(docs, n, threshold, recall, max_hashes)
+
+
+def _similar(
+    docs: DataFrame,
+    n: int = N,
+    threshold: float = THRESHOLD,
+    recall: float = RECALL,
+    max_hashes: int = MAX_HASHES,
+    by_row: bool = False,
+) -> DataFrame:
+    """``similar``; ``by_row`` adds ``k1, k2`` (the word sequence, null without words) and ``kept``: whether the row is the least of its class.
+
+    The order is by doc_id, null last, then by word sequence; rows equal in both are kept or not together.
+    """
     ship(docs.sparkSession)
     bands, rows = choose_bands(threshold, recall, max_hashes)
     signed_docs = cut(signatures(docs, n, bands, rows).withColumn("rid", F.monotonically_increasing_id()))
@@ -335,36 +352,63 @@ def similar(
     joined = found.filter("NOT whole").filter("rid <> root")
     merged = components(joined, "rid", "root").select(F.col("node").alias("rid"), "root")
     roots = found.filter("whole").select("rid", "root").unionByName(merged)
-    rep_class = classes.select("rep", "copy_id").join(roots, F.col("rep") == F.col("rid"), "left").select("rep", "copy_id", F.coalesce("root", "rep").alias("root"))
+    place = F.struct(F.col("copy_id").isNull(), "copy_id", "k1", "k2")
+    own, least, lead = ([place.alias("place")], [F.min("place").alias("first")], [(F.col("place") == F.col("first")).alias("lead")]) if by_row else ([], [], [])
+    of_rep = classes.select("rep", "copy_id", *own)
+    rep_class = of_rep.join(roots, F.col("rep") == F.col("rid"), "left").select(*of_rep.columns, F.coalesce("root", "rep").alias("root"))
     rep_class = cut(rep_class)
-    named = cut(rep_class.groupBy("root").agg(F.min("copy_id").alias("class_id")))
+    named = cut(rep_class.groupBy("root").agg(F.min("copy_id").alias("class_id"), *least))
     facts = rep_class.join(named, "root").join(links.withColumnRenamed("rid", "rep"), "rep", "left")
-    facts = facts.select("rep", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    by_key = cut(classes.join(facts, "rep").select("k1", "k2", "copy_id", "n_copies", "class_id", "n_links"))
-    with_words = worded.join(by_key, ["k1", "k2"]).select("doc_id", "class_id", "copy_id", "n_copies", "n_links")
+    facts = facts.select("rep", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), *lead)
+    by_key = cut(classes.join(facts, "rep").select("k1", "k2", "copy_id", "n_copies", "class_id", "n_links", *(["lead"] if by_row else [])))
+    kept = [F.col("k1"), F.col("k2"), (F.col("lead") & F.col("doc_id").eqNullSafe(F.col("copy_id"))).alias("kept")] if by_row else []
+    with_words = worded.join(by_key, ["k1", "k2"]).select("doc_id", "class_id", "copy_id", "n_copies", "n_links", *kept)
     alone = signed_docs.filter("n_words = 0").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links")
+        "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"),
+        *([F.lit(None).cast("long").alias("k1"), F.lit(None).cast("long").alias("k2"), F.lit(True).alias("kept")] if by_row else []),
     )
     return with_words.unionByName(alone)
 
 
+def _row_keys(batch: pa.RecordBatch) -> list[pa.Array]:
+    """``k1`` and ``k2`` of each text, null without words."""
+    _, _, count, keys = shingles(batch.column("text"))
+    return [pa.array(k.astype(np.uint64).view(np.int64), mask=count == 0) for k in keys]
+
+
 def deduplicate(docs: DataFrame, **parameters) -> DataFrame:
-    """``docs`` with one document of each similarity class: the least doc_id.
+    """``docs`` with one row of each similarity class: the least by doc_id (null last), then by word sequence.
 
-    Rows that repeat a kept doc_id count once.  Documents without words and rows without a
-    doc_id stay.  Only narrow rows are joined by shuffle unless the ids to remove outgrow ``BROADCAST_ROWS``.
+    Rows that share doc_id and words count once, as the least of them by text (then by the other columns), and so do
+    rows without words that share a doc_id and text.  All other rows without words stay, and all of those without a doc_id.
+    Only rows whose doc_id (null included) several rows have, some of them kept, are judged one by one.
+    Only narrow rows are joined by shuffle unless the ids to remove outgrow ``BROADCAST_ROWS``.
     """
-    kept = F.col("doc_id").eqNullSafe(F.col("class_id"))
-    found = similar(docs, **parameters).filter("doc_id IS NOT NULL")
-    per = cut(found.groupBy(F.col("doc_id").alias("_id")).agg(F.max(kept).alias("kept"), F.count("*").alias("n")))
-    removed, repeated = per.filter("NOT kept").select("_id"), per.filter("kept AND n > 1").select("_id")
+    found = _similar(docs, by_row=True, **parameters)
+    per = cut(found.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("some"), F.count("*").alias("n")))
+    shared = per.filter("some AND n > 1").select("_id")
 
     def bounded(ids: DataFrame) -> DataFrame:
         return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
-    out = docs.join(bounded(removed), docs["doc_id"] == removed["_id"], "left_anti")
-    if repeated.isEmpty():
-        return out
-    repeated = bounded(repeated)
-    once = out.join(repeated, out["doc_id"] == repeated["_id"], "left_semi").dropDuplicates(["doc_id"])
-    return out.join(repeated, out["doc_id"] == repeated["_id"], "left_anti").unionByName(once)
+    def joined(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+        return rows.join(bounded(ids), rows["doc_id"].cast("long").eqNullSafe(ids["_id"]), how)
+
+    if shared.isEmpty():
+        return joined(docs, per.filter("NOT some").select("_id"), "left_anti")
+    first = found.filter("kept AND k1 IS NOT NULL").select("doc_id", F.col("k1").alias("_w1"), F.col("k2").alias("_w2"))
+    first = cut(joined(first, shared, "left_semi").withColumnRenamed("doc_id", "_d").distinct())
+
+    def one_by_one(rows: DataFrame) -> DataFrame:
+        keyed = extend(joined(rows, shared, "left_semi"), _row_keys, "_k1 long, _k2 long").withColumn("_id", F.col("doc_id").cast("long"))
+        same = F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_k1") == F.col("_w1")) & (F.col("_k2") == F.col("_w2"))
+        wordless = keyed.filter("_k1 IS NULL")
+        repeats = keyed.join(first, same, "left_semi").unionByName(wordless.filter("_id IS NOT NULL"))
+        # Maps have no order.
+        order = F.struct("text", *[f.name for f in rows.schema if "map<" not in f.dataType.simpleString()])
+        by = [F.col("_id"), F.col("_k1"), F.col("_k2"), F.when(F.col("_k1").isNull(), F.col("text")).alias("_t")]
+        once = repeats.groupBy(*by).agg(F.min_by(F.struct(*rows.columns), order).alias("_row")).select("_row.*")
+        return once.unionByName(wordless.filter("_id IS NULL").select(*rows.columns))
+
+    whole = joined(docs, per.filter("NOT some OR n > 1").select("_id"), "left_anti")
+    return whole.unionByName(filtered(docs, {"_id", "_k1", "_k2", "_d", "_w1", "_w2", "_t", "_row"}, one_by_one))

@@ -98,6 +98,41 @@ def test_odd_rows(spark, odd, none):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 7, 8]
 
 
+@pytest.mark.parametrize("bound", [ngram_join.BROADCAST_ROWS, 0])
+def test_rows_with_null_or_clashing_ids(spark, monkeypatch, bound):
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", bound)
+    near = " ".join(f"w{i}" for i in range(80))
+    rows = [
+        (None, "a text without an id that stands here twice"),
+        (None, "a text without an id that stands here twice"),
+        (None, near),  # goes: near copy of 1
+        (None, "a copy of a row that has an id"),  # goes: 2 has it
+        (None, "a text of its own without any id"),
+        (None, ""),
+        (None, ""),
+        (1, near + " more"),
+        (2, "a copy of a row that has an id"),
+        (2, "another text under the same id"),
+        (2, "another  text under the same id"),  # a repeat in words
+        (2, ""),
+        (2, ""),
+        (2, None),
+        (3, "another text under the same id"),  # goes: 2 has it
+        (3, "the third text"),
+        (4, near),  # goes: near copy of 1
+        (5, "alone"),
+        (5, "alone"),
+    ]
+    gone = {2, 3, 14, 16}
+    # min over equal ids and words; rows without an id and words all stay
+    want = [r for i, r in enumerate(rows) if i not in gone | {1, 9, 12, 18}]
+    df = spark.createDataFrame([(*r, "mine") for r in rows], "doc_id long, text string, _k1 string")
+    for parts in (1, 5):
+        got = ngram_join.deduplicate(df.repartition(parts))
+        assert got.columns == df.columns
+        assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, want))
+
+
 def test_bands_reach_the_recall():
     for threshold, recall in ((0.8, 0.999), (0.8, 0.9), (0.5, 0.99), (0.95, 0.999)):
         bands, rows = ngram_join.choose_bands(threshold, recall)
