@@ -203,6 +203,16 @@ class Classifier:
         return scored.withColumn("score", 0.99 * calibrated + 0.01 * own).drop("_score", "_margin")
 
 
+def training_sample(labelled: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` different (text, toxic) rows by hash of the text, with that hash ``_h``; all when they are fewer."""
+    usable = labelled.filter("toxic IN (0, 1)").select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
+    keyed = usable.withColumn("_h", F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30))
+    n = keyed.agg(F.approx_count_distinct(F.xxhash64("text", "toxic"), 0.01)).head()[0]
+    # The count is within some per cent, so a table of about ``rows`` is taken whole.
+    share = 1.0 if n <= 1.1 * rows else rows / n
+    return keyed.filter(F.col("_h") < share).dropDuplicates(["_h", "text", "toxic"])
+
+
 def train(labelled: DataFrame, rows: int = 20_000, trees: int = 20, depth: int = 3) -> Classifier:
     """Fit on at most about ``rows`` labelled rows (text, toxic), chosen by hash of the text.
 
@@ -210,10 +220,7 @@ def train(labelled: DataFrame, rows: int = 20_000, trees: int = 20, depth: int =
     Equal rows count once, and copies of a text fall on one side of the fit and calibration split.
     """
     spark = labelled.sparkSession
-    usable = labelled.filter("toxic IN (0, 1)").select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    keyed = usable.withColumn("_h", F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30))
-    n = keyed.count()
-    sample = cut(keyed.filter(F.col("_h") < (rows / n if n else 1.0)).dropDuplicates(["_h", "text", "toxic"]))
+    sample = cut(training_sample(labelled, rows))
     classes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(classes) < 2:
         return Classifier(Lexicon({}), None, None, float(next(iter(classes), 0)))

@@ -52,3 +52,10 @@ def test_features_of_plain_cases():
     assert f["capitals"][1] == 5 / 7 and f["capital_words"].tolist() == [0, 1, 0, 0, 0, 0, 0, 0]
     assert f["exclamations"][1] == 2 and f["obfuscation"][6] == 0 and f["obfuscation"][7] > 0
     assert f["log_words"][3] == f["log_words"][4] == 0
+
+
+def test_copies_do_not_thin_out_the_sample(spark):
+    different = spark.range(400).selectExpr("concat('text ', id) AS text", "int(id % 2) AS toxic")
+    copies = spark.range(40_000).selectExpr("'the same text' AS text", "0 AS toxic")
+    sample = toxicity.training_sample(different.unionByName(copies), rows=1000)
+    assert sample.count() == 401 and sample.filter("toxic = 1").count() == 200
