@@ -17,14 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basket.llm.common import arrow_map, slices
-from basket.llm.tokenize import KEEPS, encoder
+from basket.llm.tokenize import KEEPS, encoder, with_end
 
 SCHEMA = "doc_id long, piece int, start long, length long, sequence_id long, offset long, ids binary"
 _ARROW = pa.schema(
@@ -87,16 +86,15 @@ def pieces_of(total: int, capacity: int) -> list[tuple[int, int]]:
 def _pack(path, pieces, end_id, capacity, max_open, remembered):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pieces, limit=remembered)
-        end = np.array([end_id], "<u4").tobytes()
         base = TaskContext.get().partitionId() << 40
         bins = BestFit(capacity, max_open)
         for batch in slices(batches, "text", 2 << 20):
-            encoded = enc.encode(batch.column("text").to_pylist())
+            ids, ends = with_end(*enc.encode(batch.column("text")), end_id)
+            data, ends = ids.tobytes(), ends.tolist()
             rows = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
-                ids += end
-                for piece, (start, length) in enumerate(pieces_of(len(ids) // 4, capacity)):
-                    rows.append((doc_id, piece, start, length, ids[4 * start : 4 * (start + length)]))
+            for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), ends, ends[1:], strict=False):
+                for piece, (start, length) in enumerate(pieces_of(b - a, capacity)):
+                    rows.append((doc_id, piece, start, length, data[4 * (a + start) : 4 * (a + start + length)]))
             rows.sort(key=lambda r: -r[3])
             placed = [bins.place(r[3]) for r in rows]
             yield pa.RecordBatch.from_arrays(

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basket.llm.common import arrow_map, slices
-from basket.llm.tokenize import KEEPS, encoder
+from basket.llm.tokenize import KEEPS, encoder, with_end
 
 _HEAD, _CRC, _ID = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<Bq")
 _FRAME = _HEAD.size + 2 * _CRC.size
@@ -77,40 +77,35 @@ def _name(shard: int) -> str:
     return f"part-{shard:06d}.rec"
 
 
+_INDEX = pa.schema([("doc_id", pa.int64()), ("shard", pa.int32()), ("offset", pa.int64()), ("n_tokens", pa.int64())])
+
+
 def _write(out, path, pieces, end_id, dtype):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(path, pieces, dtype), np.array([end_id], dtype).tobytes()
+        enc, width = encoder(path, pieces, dtype), np.dtype(dtype).itemsize
         task = TaskContext.get()
-        shard, width = task.partitionId(), len(end)
+        shard = task.partitionId()
         fs, folder = _folder(out)
-        part, index, at, sink = f"{folder}/{_name(shard)}", [], 0, None
+        part, at, sink = f"{folder}/{_name(shard)}", 0, None
         for batch in slices(batches, "text", 2 << 20):
             if sink is None:
                 fs.create_dir(folder, recursive=True)
                 tmp = f"{part}.{task.taskAttemptId()}.tmp"
                 sink = fs.open_output_stream(tmp)
-            ids = enc.encode(batch.column("text").to_pylist())
-            for doc_id, b in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
-                framed = frame(_payload(doc_id, b + end))
+            ids, ends = with_end(*enc.encode(batch.column("text")), end_id)
+            data, cuts, places = ids.tobytes(), (ends * width).tolist(), []
+            for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), cuts, cuts[1:], strict=False):
+                framed = frame(_payload(doc_id, data[a:b]))
                 sink.write(framed)
-                index.append((doc_id, shard, at, len(b) // width + 1))
+                places.append(at)
                 at += len(framed)
-        if sink is None:
-            return
-        sink.close()
-        fs.move(tmp, part)
-        for lo in range(0, len(index), 10_000):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(c, t)
-                    for c, t in zip(
-                        zip(*index[lo : lo + 10_000], strict=True),
-                        (pa.int64(), pa.int32(), pa.int64(), pa.int64()),
-                        strict=True,
-                    )
-                ],
-                ["doc_id", "shard", "offset", "n_tokens"],
-            )
+            shards = np.full(len(places), shard, np.int32)
+            # The index goes out slice by slice; a task that fails before the renaming has no output.
+            columns = (batch.column("doc_id"), pa.array(shards), pa.array(places, pa.int64()), pa.array(np.diff(ends)))
+            yield pa.RecordBatch.from_arrays(list(columns), schema=_INDEX)
+        if sink is not None:
+            sink.close()
+            fs.move(tmp, part)
 
     return run
 
@@ -122,11 +117,13 @@ def write_records(
 
     Shards are in ascending doc_id order, within and among themselves (null first); rows
     that repeat an id stand together, ordered by text.  Null text counts as empty.  An empty
-    table writes an empty index and no shard.  Other columns are ignored.
+    table writes an empty index and no shard.  Other columns are ignored.  An id (or none) that many
+    rows share is cut over shards by the beginnings of its texts.
     """
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The first characters of a text order as the text does, so a hot id is split without sampling whole texts.
+    ordered = narrow.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     index = arrow_map(ordered, _write(f"{out}/records", tokenizer, pieces, end_id, dtype), INDEX_SCHEMA, keeps=KEEPS)
     index.withColumn("bytes_per_id", F.lit(int(dtype[-1]))).write.parquet(f"{out}/index")
 

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basket.llm import chat, decontam, hilbert, langid, ngram_join, packing, records, rules, toxicity, urls
+from basket.llm import (
+    chat, decontam, filter_audit, harmonic, hilbert, langid, ngram_join, packing, records, resampling, rules, toxicity, urls,
+)
 from basket.llm.common import shared_folder, table
 
 #: The host rules of op5: (host, path, verdict).
@@ -107,6 +109,22 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_harmonic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    packed = harmonic.pack(table(spark, sf_dir, "documents"), path, pieces="dropped", end_id=1, capacity=2048)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    drawn = resampling.resample(docs.select("doc_id", "text"), target, buckets=10_000, seed=2024, least=20, percent=10)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_records": op1_records,
@@ -119,6 +137,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_hilbert": op8_hilbert,
         "op9_rule_ledger": op9_rule_ledger,
         "op10_decontaminate": op10_decontaminate,
+        "op11_harmonic": op11_harmonic,
+        "op12_resampling": op12_resampling,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 

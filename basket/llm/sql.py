@@ -111,9 +111,76 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM norm LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+# crc32 of a word's UTF-8 bytes: its table from the polynomial, then one look-up for each byte.
+OP12 = r"""
+WITH RECURSIVE bit8(i, c, k) AS (
+  SELECT i, i, 0 FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bit8 WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bit8 WHERE k = 8),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+f AS (SELECT r, unnest(w) AS w FROM d),
+tf AS (SELECT unnest(w) AS w FROM b),
+words AS (SELECT w, xor(list_reduce(list_prepend(4294967295, [CAST('0x' || substr(hex(encode(w)), 2 * k - 1, 2) AS BIGINT) for k in range(1, strlen(w) + 1)]),
+    lambda a, x: xor(a >> 8, t[CAST(xor(a, x) & 255 AS INT) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT w FROM f UNION SELECT w FROM tf), crc),
+s AS (SELECT bucket, count(*) AS n FROM f JOIN words USING (w) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS n FROM tf JOIN words USING (w) GROUP BY 1),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM f) + 10000)
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM tf) + 10000)))) AS BIGINT) AS g FROM s FULL JOIN t USING (bucket)),
+sums AS (SELECT r, count(*) AS n, sum(g) AS g FROM f JOIN words USING (w) JOIN gain USING (bucket) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, coalesce(n, 0) AS n_features, coalesce(g, 0) AS weight, coalesce(g, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN sums USING (r)),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (r)
+"""
+
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY 1),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, CASE WHEN len(w) < 50 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > first THEN 16 ELSE 0 END AS bits
+  FROM d LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, bits, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY 1, 2),
+x(f, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+p AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS o
+  FROM x a, x b, x c, x d, x e WHERE a.b + b.b + c.b + d.b + e.b = 31 AND a.b | b.b | c.b | d.b | e.b = 31),
+s AS (
+  SELECT filter_order, step, o[step] AS own, CAST(list_sum(o[:step]) AS INT) - o[step] AS before
+  FROM p, (SELECT unnest(range(1, 6)) AS step) t),
+r AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN bits & (before | own) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN bits & before = 0 AND bits & own <> 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN bits & before <> 0 AND bits & own <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN bits = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN bits & before = 0 AND bits & own <> 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN bits & before = 0 AND bits & own <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM r
+"""
+
 ORACLES: dict[str, str] = {
     "op3_prefix_tree": OP3,
     "op5_link_trust": _op5(),
     "op9_rule_ledger": OP9,
     "op10_decontaminate": OP10,
+    "op12_resampling": OP12,
+    "op13_filter_audit": OP13,
 }

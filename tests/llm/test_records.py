@@ -3,7 +3,10 @@ import zlib
 from array import array
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from basket.llm import records
@@ -28,7 +31,25 @@ TEXTS = [
 def test_pieces_give_the_library_s_ids(path, pieces, limit):
     enc = Encoder(path, pieces, limit=limit)
     for _ in range(2):
-        assert [array("I", b).tolist() for b in enc.encode(TEXTS)] == [ids(path, t) for t in TEXTS]
+        found, ends = enc.encode(pa.array(TEXTS))
+        assert [found[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [ids(path, t) for t in TEXTS]
+
+
+TOKENIZERS = {p: Tokenizer.from_file(p) for p in (WORDS, BYTES)}
+ENCODERS = {WORDS: Encoder(WORDS, "dropped", limit=300), BYTES: Encoder(BYTES, "leading", limit=300)}
+#: Letters, signs, all kinds of white space, contractions, special tokens, combining marks, digits.
+ALPHABET = st.sampled_from(
+    ["a", "B", "é", "É", "ß", "×", "÷", "İ", "Σ", "ς", "'", "'s", "’", ".", ",", "-", "—", "<|endoftext|>", "<", "|", "1", "½", "\u0301", "\u0338",
+     " ", "  ", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u2028", "\u200b", "\x00", "日", "😀"]
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(ALPHABET, max_size=14).map("".join), min_size=1, max_size=4), st.sampled_from([WORDS, BYTES]))
+def test_any_text_has_the_library_s_ids(texts, path):
+    found, ends = ENCODERS[path].encode(pa.array(texts))
+    want = [TOKENIZERS[path].encode(t, add_special_tokens=False).ids for t in texts]
+    assert [found[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == want
 
 
 def expected(rows):
@@ -78,3 +99,17 @@ def test_broken_frames_are_found():
         broken = whole[:at] + bytes([whole[at] ^ 1]) + whole[at + 1 :]
         with pytest.raises(ValueError):
             records.read_frame(io.BytesIO(broken))
+
+
+def test_one_id_on_many_rows(spark, path):
+    """A third of all rows without an id: several shards hold them, in the order of their texts."""
+    rows = [(None, f"text {i:05d} of nobody") for i in range(1500)] + [(i, f"text {i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        records.write_records(docs, path, WORDS, vocabulary=49_408)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    index = records.read_index(spark, path)
+    assert index.filter("doc_id IS NULL").select("shard").distinct().count() > 1
+    assert got(spark, path) == expected(rows)
