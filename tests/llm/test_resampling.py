@@ -96,7 +96,7 @@ def test_rounds_discard_guaranteed_fractions(spark, tmp_path, at_once):
     out = str(tmp_path / "keys")
     spark.createDataFrame(keys, "k0 long, k1 long, k2 long").repartition(7).write.parquet(out)
     stored, ordered = spark.read.parquet(out), sorted(keys, reverse=True)
-    for k in (1, 2, 777, 1999, 2000):
+    for k in (1, 777, 2000):
         found, rounds = cutoff(stored, k, block=100, at_once=at_once)
         assert found == ordered[k - 1]
         # Blocks of an even number of keys have their upper median, hence the few keys beyond three quarters.
