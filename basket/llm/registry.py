@@ -67,8 +67,7 @@ def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held = toxicity.held_out(F.col("doc_id"))
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").dropDuplicates()
-    classifier = toxicity.train(docs.filter(~held).join(labels, "doc_id"))
+    classifier = toxicity.train_joined(docs.filter(~held), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     scored = classifier.score(docs)
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return scored.select("doc_id", held.alias("held_out"), "score", predicted)

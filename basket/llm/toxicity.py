@@ -191,26 +191,57 @@ class Classifier:
         return found.drop("_x", "_raw", "_probability", "_class", "features", *[f"_f{i}" for i in range(len(FEATURES))])
 
     def score(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with ``score``; a text without words is scored from zero features like any other."""
+        """``docs`` with ``score``; a text without words (null, too) is scored from zero features like any other.
+
+        Repeated rows and null ids are scored row by row; an empty table gives none.
+        """
         docs = docs.drop("score", "features")
         if self.constant is not None:
             return docs.withColumn("score", F.lit(self.constant))
+        # The steps' own names begin with an underscore: such columns of the documents stand aside.
+        aside = {c: f"own{c}" for c in docs.columns if c.startswith("_")}
+        docs = docs.withColumnsRenamed(aside)
         margins = self.margins(with_features(docs, self.lexicon))
         scored = self.calibration.transform(margins)
         own = 1 / (1 + F.exp(-2 * F.col("_margin")))
         # Documents on one isotonic step still rank by their margin, through a hundredth of the score.
         calibrated = F.least(F.greatest("_score", F.lit(0.0)), F.lit(1.0))
-        return scored.withColumn("score", 0.99 * calibrated + 0.01 * own).drop("_score", "_margin")
+        scored = scored.withColumn("score", 0.99 * calibrated + 0.01 * own).drop("_score", "_margin")
+        return scored.withColumnsRenamed({new: old for old, new in aside.items()})
+
+
+def _hash(text: Column) -> Column:
+    """A number from 0 to 1 that depends on the text alone (null: empty)."""
+    return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(1 << 30)) / float(1 << 30)
+
+
+def _share(keyed: DataFrame, rows: int, *same: str) -> float:
+    n = keyed.agg(F.approx_count_distinct(F.xxhash64(*same), 0.01)).head()[0]
+    # The count is within some per cent, so a table of about ``rows`` is taken whole.
+    return 1.0 if n <= 1.1 * rows else rows / n
 
 
 def training_sample(labelled: DataFrame, rows: int) -> DataFrame:
     """About ``rows`` different (text, toxic) rows by hash of the text, with that hash ``_h``; all when they are fewer."""
     usable = labelled.filter("toxic IN (0, 1)").select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    keyed = usable.withColumn("_h", F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30))
-    n = keyed.agg(F.approx_count_distinct(F.xxhash64("text", "toxic"), 0.01)).head()[0]
-    # The count is within some per cent, so a table of about ``rows`` is taken whole.
-    share = 1.0 if n <= 1.1 * rows else rows / n
-    return keyed.filter(F.col("_h") < share).dropDuplicates(["_h", "text", "toxic"])
+    keyed = usable.withColumn("_h", _hash(F.col("text")))
+    return keyed.filter(F.col("_h") < _share(keyed, rows, "text", "toxic")).dropDuplicates(["_h", "text", "toxic"])
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+    """:func:`training_sample` of ``docs`` (doc_id, text) joined to ``labels`` (doc_id, toxic), chosen before any text moves.
+
+    Documents and labels meet as narrow rows (id, hash of the text); the ids that were chosen, about ``rows``, are
+    broadcast back to the texts.  A null id has no label.
+    """
+    text = F.coalesce("text", F.lit(""))
+    keys = docs.select("doc_id", F.xxhash64(text).alias("_k"), _hash(F.col("text")).alias("_h"))
+    usable = labels.filter("toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates()
+    keyed = cut(keys.join(usable, "doc_id"))
+    # Copies of a text need one of their ids; the others give the same rows.
+    chosen = keyed.filter(F.col("_h") < _share(keyed, rows, "_k", "toxic")).groupBy("_k", "toxic").agg(F.min("doc_id").alias("doc_id"))
+    texts = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("_k"), _hash(F.col("text")).alias("_h"))
+    return texts.join(F.broadcast(cut(chosen)), ["doc_id", "_k"]).select("text", "toxic", "_h").dropDuplicates(["_h", "text", "toxic"])
 
 
 def train(labelled: DataFrame, rows: int = 20_000, trees: int = 20, depth: int = 3) -> Classifier:
@@ -219,8 +250,17 @@ def train(labelled: DataFrame, rows: int = 20_000, trees: int = 20, depth: int =
     Rows whose label is null are left out.  With one class only, or no row, the score is constant.
     Equal rows count once, and copies of a text fall on one side of the fit and calibration split.
     """
-    spark = labelled.sparkSession
-    sample = cut(training_sample(labelled, rows))
+    return fit(training_sample(labelled, rows), trees, depth)
+
+
+def train_joined(docs: DataFrame, labels: DataFrame, rows: int = 20_000, trees: int = 20, depth: int = 3) -> Classifier:
+    """:func:`train` on ``docs`` and the ``labels`` of their ids."""
+    return fit(labelled_sample(docs, labels, rows), trees, depth)
+
+
+def fit(sample: DataFrame, trees: int = 20, depth: int = 3) -> Classifier:
+    """Fit on all rows of a bounded sample (text, toxic)."""
+    sample = cut(sample)
     classes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(classes) < 2:
         return Classifier(Lexicon({}), None, None, float(next(iter(classes), 0)))

@@ -73,7 +73,7 @@ def test_written_shards_prune(spark, documents, path):
     back = spark.read.parquet(path)
     assert back.count() == documents.count()
     assert {r.doc_id: r.text for r in back.collect()} == {r.doc_id: r.text for r in documents.collect()}
-    stats = hilbert.manifest(back).cache()
+    stats = hilbert.manifest(back)
     files = hilbert.files_for(stats, lang=("de", "de"), size=(1, 2000))
     kept = back.withColumn("file", F.input_file_name()).join(files, "file", "left_semi")
     want = back.filter("lang = 'de' AND size BETWEEN 1 AND 2000").count()

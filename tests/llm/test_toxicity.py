@@ -1,3 +1,6 @@
+import math
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -59,3 +62,95 @@ def test_copies_do_not_thin_out_the_sample(spark):
     copies = spark.range(40_000).selectExpr("'the same text' AS text", "0 AS toxic")
     sample = toxicity.training_sample(different.unionByName(copies), rows=1000)
     assert sample.count() == 401 and sample.filter("toxic = 1").count() == 200
+
+
+FOLD = str.maketrans("013457@$ABCDEFGHIJKLMNOPQRSTUVWXYZ", "oieastasabcdefghijklmnopqrstuvwxyz")
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+DISGUISE = set(SIGNS) - set("'-./:,_&") | set("0123456789")
+
+
+def plain_features(text, learned):
+    text = text or ""
+    weights = {w.lower().translate(FOLD): x for w, x in learned.items()}
+    fixed = {w.lower().translate(FOLD) for w in toxicity.LEXICON}
+    person = {w.translate(FOLD) for w in toxicity.SECOND_PERSON}
+    spans = [(m.start(), m.end(), m.group()) for m in re.finditer("[a-z\x80-\U0010ffff]+", text.translate(FOLD))]
+    words = [w for *_, w in spans]
+    n, size = max(1, len(words)), max(1, len(text.encode()))
+    insult = [w in weights or w in fixed for w in words]
+    near = [any(words[j] in person for j in range(max(0, i - 3), min(len(words), i + 4)) if j != i) for i in range(len(words))]
+
+    def letter(c):
+        return c.isascii() and c.isalpha() or c >= "\x80"
+
+    return [
+        sum(weights.get(w, 0.0) for w in words) / n,
+        sum(w in fixed for w in words) / n,
+        sum(insult) / n,
+        sum(w in person for w in words) / n,
+        sum(a and b for a, b in zip(insult, near, strict=True)) / n,
+        sum("A" <= c <= "Z" for c in text) / size,
+        sum(len(text[a:b].encode()) > 1 and all("A" <= c <= "Z" for c in text[a:b]) for a, b, _ in spans) / n,
+        sum(c in SIGNS for c in text) / size,
+        text.count("!") / n,
+        sum(text[i] in DISGUISE and letter(text[i - 1]) and letter(text[i + 1]) for i in range(1, len(text) - 1)) / n,
+        math.log1p(len(words)),
+    ]
+
+
+def walk(lines, x):
+    """The prediction of a printed tree: nested If and Else lines over features."""
+    at = 0
+    while True:
+        line = lines[at].strip()
+        if line.startswith("Predict"):
+            return float(line.split(":")[1])
+        feature, sign, value = re.fullmatch(r"(?:If|Else) \(feature (\d+) (<=|>) (\S+)\)", line).groups()
+        taken = x[int(feature)] <= float(value) if sign == "<=" else x[int(feature)] > float(value)
+        if not taken:  # on to the Else of the same depth
+            depth = len(lines[at]) - len(lines[at].lstrip())
+            at = next(i for i in range(at + 1, len(lines)) if len(lines[i]) - len(lines[i].lstrip()) == depth)
+        else:
+            at += 1
+
+
+def plain_score(classifier, text, learned):
+    x = plain_features(text, learned)
+    margin = sum(
+        w * walk(t.toDebugString.splitlines()[1:], x) for t, w in zip(classifier.trees.trees, classifier.trees.treeWeights, strict=True)
+    )
+    model = classifier.calibration
+    steps = np.interp(margin, model.boundaries.toArray(), model.predictions.toArray())
+    return 0.99 * min(max(steps, 0.0), 1.0) + 0.01 / (1 + math.exp(-2 * margin))
+
+
+def test_scores_equal_plain_ones(fitted, odd, monkeypatch):
+    """Features, trees and calibration walked in plain Python."""
+    classifier, held, docs = fitted
+    learned = toxicity.learn_lexicon(held.select("text", "toxic"))
+    monkeypatch.setattr(classifier, "lexicon", toxicity.Lexicon(learned))
+    rows = docs.limit(250).collect() + odd.filter("length(text) < 1000 OR text IS NULL").select("doc_id", "text").collect()
+    spark = docs.sparkSession
+    scored = classifier.score(spark.createDataFrame([(i, r.text) for i, r in enumerate(rows)], "i int, text string")).collect()
+    for r in scored:
+        assert r.score == pytest.approx(plain_score(classifier, rows[r.i].text, learned), abs=1e-9)
+
+
+def test_clashing_columns(fitted, odd):
+    names = ["_f0", "_x", "_raw", "_probability", "_class", "_margin", "_score", "features"]
+    wide = odd.selectExpr("*", *[f"'own {c}' AS {c}" for c in names])
+    scored = fitted[0].score(wide)
+    assert scored.columns == [*[c for c in wide.columns if c not in ("score", "features")], "score"]
+    assert {tuple(r[c] for c in names[:-1]) for r in scored.collect()} == {tuple(f"own {c}" for c in names[:-1])}
+
+
+def test_sample_of_joined_labels_is_that_of_labelled_rows(spark):
+    """Chosen on narrow rows: copies, repeated rows, ids with several texts or labels, nulls."""
+    rows = [(i, f"text {i % 700}") for i in range(1500)] + [(7, "another text of 7"), (7, "text 7"), (None, "nobody's"), (2000, None), (2001, "")]
+    labels = [(i, i % 2) for i in range(0, 1500, 2)] + [(7, 0), (7, 1), (2000, 1), (2001, 1), (None, 1), (5, None), (9, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    for n in (100, 10_000):
+        got = toxicity.labelled_sample(docs, marks, n).select("text", "toxic").collect()
+        want = toxicity.training_sample(docs.join(marks, "doc_id"), n).select("text", "toxic").collect()
+        assert sorted(got) == sorted(want)
