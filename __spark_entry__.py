@@ -14,17 +14,22 @@ correct run (scaling, nearest centres, profile totals) is queried and has one.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from importlib.util import find_spec
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basket.operators.facts import basket_sizes
 from basket.operators.sampling import sample_predicate, threshold
+from basket.operators.sketches import distinct_sketches, error_bound, estimate, merge_sketches
 from basket.plans import catalog
 from basket.plans import segments as G
 from basket.session import scratch_folder
 from basket.sources.star import build_star_tables
-from basket.sources.tables import Tables, load_tables, persist_tables, register_views, save_csv
+from basket.sources.tables import (
+    Tables, cached_tables, load_quarantined, load_tables, quarantine, quarantined, register_views, save_csv,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -140,8 +145,105 @@ def _views_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _cached_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.run(persist_tables(tables(spark, sf_dir)), "kpi")
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: it outlives what it was computed from."""
+    out = f"{scratch_folder(df.sparkSession, name)}/rows"
+    df.write.parquet(out)
+    return df.sparkSession.read.parquet(out)
+
+
+def _cached(key: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A catalogue query over the cached bundle, which is released before the result is returned."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with cached_tables(tables(spark, sf_dir)) as t:
+            return _stored(catalog.run(t, key), "basket-cached")
+
+    return query
+
+
+def _csv_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 on the csv layout, where orders are counted with bitmaps."""
+    out = scratch_folder(spark, "basket-csv")
+    save_csv(tables(spark, sf_dir), out)
+    return catalog.run(load_tables(spark, out, "csv"), "kpi")
+
+
+def _csv_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per file: good rows, corrupt lines and the sum of the order ids in these, of a csv layout with planted errors."""
+    t, out = tables(spark, sf_dir), scratch_folder(spark, "basket-csv-bad")
+    save_csv(t, f"{out}/csv")
+
+    def plant(name: str, rows: DataFrame, column: str) -> None:
+        broken = rows.withColumn(column, F.concat(F.lit("x"), F.col(column).cast("string")))
+        broken.write.mode("append").option("header", True).csv(f"{out}/csv/{name}")
+
+    plant("orders.csv", t.orders.filter("order_id % 50 = 0"), "user_id")
+    plant("order_products__prior.csv", t.op_prior.filter("order_id % 40 = 0"), "add_to_cart_order")
+    counts = quarantine(spark, f"{out}/csv", f"{out}/split")
+    own = F.split("record", ",")[0].cast("long")
+    found = quarantined(spark, f"{out}/split").groupBy("file").agg(F.sum(own).alias("bad_orders"))
+    kept = load_quarantined(spark, f"{out}/split")
+    good = [kept.orders.agg(F.lit("orders.csv").alias("file"), F.sum("order_id").alias("good_orders"))]
+    for name, split in (("order_products__prior.csv", kept.op_prior), ("order_products__train.csv", kept.op_train)):
+        good.append(split.agg(F.lit(name).alias("file"), F.sum("order_id").alias("good_orders")))
+    return counts.join(found, "file", "left").join(good[0].union(good[1]).union(good[2]), "file", "left")
+
+
+def _order_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per department: exact, whether the splits' stored sketches, united, are near it, and whether a sketch of all adds nothing to them."""
+    t = tables(spark, sf_dir)
+    facts = t.order_items.join(t.products, "product_id").select("eval_set", "department_id", "order_id")
+    per_split = _stored(distinct_sketches(facts, ["eval_set", "department_id"], "order_id"), "basket-sketches")
+    united = merge_sketches(per_split, ["department_id"]).select("department_id", estimate().alias("united"))
+    whole = per_split.select("department_id", "sketch").unionByName(distinct_sketches(facts, ["department_id"], "order_id"))
+    whole = merge_sketches(whole, ["department_id"]).select("department_id", estimate().alias("at_once"))
+    exact = facts.groupBy("department_id").agg(F.count_distinct("order_id").alias("orders"))
+    return exact.join(united, "department_id").join(whole, "department_id").select(
+        "department_id",
+        "orders",
+        (F.abs(F.col("united") - F.col("orders")) <= error_bound("orders")).alias("within_bound"),
+        (F.col("united") == F.col("at_once")).alias("merges"),
+    )
+
+
+def _active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tables(spark, sf_dir)
+    return G.training_rows(G.user_features(t.orders, t.item_parts, t.products))
+
+
+def _stationary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per cluster of a fit that runs until no centre moves: the centre's distance from its members' mean, and the cost test."""
+    found = G.certificate(G.fit_segments(_active(spark, sf_dir), max_iter=500, tol=0.0))
+    return found.select("cluster", F.round("gap", 6).alias("gap"), "improves")
+
+
+ROUNDS = 8
+
+
+def _from_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active users with their cluster after ``ROUNDS`` of Lloyd's iterations from ``CENTRES``."""
+    active = _active(spark, sf_dir)
+    return G.label_nearest(active, *G.lloyd_from(active, CENTRES, ROUNDS))
+
+
+def _from_centres_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prof = G.profile_segments(_from_centres(spark, sf_dir))
+    return prof.select("cluster", "users", *[F.round(c, 6).alias(c) for c in prof.columns if c.startswith("avg_")])
+
+
+def _saved_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fit saved, loaded and profiled: clusters, and those whose profile differs from that of the fit itself."""
+    seg = _fit(spark, sf_dir)[1]
+    out = scratch_folder(spark, "basket-model")
+    G.save_segments(seg, out)
+    back = G.load_segments(spark, out)
+    one, two = (G.profile_segments(G.label_segments(x, x.train)) for x in (seg, back))
+    same = [F.round(one[c], 9).eqNullSafe(F.round(two[c], 9)) for c in one.columns if c != "cluster"]
+    equal = reduce(Column.__and__, same)
+    return one.join(two, "cluster", "full").agg(
+        F.count(F.lit(1)).alias("clusters"), F.coalesce(F.sum((~equal).cast("long")), F.lit(0)).alias("differing")
+    )
 
 
 def _fixed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,12 +265,15 @@ def _sampled_users(max_users: int | None = None) -> Callable[[SparkSession, str]
 
 
 def _llm():
-    """The training-data queries: (queries, SQL), empty when that subpackage is not there."""
+    """The training-data queries: (queries, SQL), empty when that subpackage or a package it needs is not there."""
+    spec = find_spec("basket.llm")
+    if spec is None or spec.origin is None:  # no folder, or one without sources
+        return {}, {}
     try:
         import corpus_pipeline
         from basket.llm import registry
     except ModuleNotFoundError as e:
-        if e.name not in ("corpus_pipeline", "basket.llm", "basket.llm.registry"):
+        if (e.name or "").split(".")[0] not in ("corpus_pipeline", "public_tokenizers", "numpy", "pyarrow"):
             raise
         return {}, {}
     found, sql = registry.queries(), registry.oracle_sql()
@@ -195,7 +300,11 @@ def _catalogue_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "basket_sizes": lambda spark, d: basket_sizes(tables(spark, d).item_parts),
         "csv_items": _csv_items,
         "views_sales_by_department": _views_sales,
-        "cached_kpi": _cached_kpi,
+        "csv_kpi": _csv_kpi,
+        "csv_bad_records": _csv_bad_records,
+        "cached_kpi": _cached("kpi"),
+        "cached_departments": _cached("sales_by_department"),
+        "department_order_sketches": _order_sketches,
         # the catalogue, default parameters
         "kpi": _q("kpi"),
         "top_products": _q("top_products"),
@@ -228,6 +337,11 @@ def _catalogue_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "segment_assign_fixed": _assign_fixed,
         "kmeans_assignment_check": _assignment_check,
         "kmeans_profile_totals": _profile_totals,
+        "kmeans_stationary": _stationary,
+        "kmeans_from_centres": lambda spark, d: _from_centres(spark, d).select("user_id", "cluster"),
+        "kmeans_from_centres_cluster0": lambda spark, d: _from_centres(spark, d).filter("cluster = 0").select("user_id", "cluster"),
+        "kmeans_from_centres_profile": _from_centres_profile,
+        "kmeans_saved_profile": _saved_profile,
         "kmeans_user_clusters": _q("kmeans_user_clusters"),
         "kmeans_user_clusters_cluster0": _q("kmeans_user_clusters", cluster=0),
         "kmeans_user_cluster_profile": _q("kmeans_user_cluster_profile"),
@@ -387,6 +501,22 @@ SELECT count(*) AS users, round(avg(num_orders), 6) AS avg_num_orders, round(avg
   round(avg(reorder_rate_user), 6) AS avg_reorder_rate, round(avg(dept_diversity), 6) AS avg_dept_diversity,
   round(avg(avg_days_between_orders), 6) AS avg_days_between, round(avg(avg_hour), 6) AS avg_hour
 FROM b_feats WHERE num_orders >= 5""",
+    "kmeans_stationary": """
+SELECT CAST(cluster AS INT) AS cluster, 0.0::DOUBLE AS gap, true AS improves
+FROM range(5) t(cluster) WHERE (SELECT count(*) FROM b_feats WHERE num_orders >= 5) > 0""",
+    "kmeans_saved_profile": "SELECT 5 AS clusters, 0 AS differing FROM b_feats LIMIT 1",
+    "department_order_sketches": """
+SELECT p.department_id, count(DISTINCT i.order_id) AS orders, true AS within_bound, true AS merges
+FROM b_items i JOIN b_prod p USING (product_id) GROUP BY p.department_id""",
+    "csv_bad_records": """
+SELECT 'orders.csv' AS file, count(*) AS good, count(*) FILTER (order_id % 50 = 0) AS bad,
+  CAST(sum(order_id) FILTER (order_id % 50 = 0) AS BIGINT) AS bad_orders, CAST(sum(order_id) AS BIGINT) AS good_orders FROM b_orders
+UNION ALL SELECT 'order_products__prior.csv', count(*), count(*) FILTER (order_id % 40 = 0),
+  CAST(sum(order_id) FILTER (order_id % 40 = 0) AS BIGINT), CAST(sum(order_id) AS BIGINT) FROM b_items WHERE eval_set = 'prior'
+UNION ALL SELECT 'order_products__train.csv', count(*), 0, NULL, CAST(sum(order_id) AS BIGINT) FROM b_items WHERE eval_set = 'train'
+UNION ALL SELECT 'products.csv', count(*), 0, NULL, NULL FROM b_prod
+UNION ALL SELECT 'aisles.csv', count(DISTINCT aisle_id), 0, NULL, NULL FROM b_products
+UNION ALL SELECT 'departments.csv', count(*), 0, NULL, NULL FROM b_depts""",
     "segment_profile_fixed": f"""
 SELECT CAST(user_id % 5 AS INT) AS cluster, count(*) AS users,
   round(avg(num_orders), {DIGITS}) AS avg_num_orders,
@@ -399,6 +529,36 @@ FROM b_feats GROUP BY 1""",
 }
 
 
+def _lloyd_sql(body: str) -> str:
+    """``body`` over ``labelled`` (the features and ``cluster``): the rounds of Lloyd's iteration as CTEs, one after the other."""
+    at = [f"x{i}" for i in range(len(G.FEATURES))]
+    scaled = ", ".join(f"coalesce({c} / nullif(s{i}, 0), 0) AS x{i}" for i, c in enumerate(G.FEATURES))
+    devs = ", ".join(f"stddev_samp({c}) AS s{i}" for i, c in enumerate(G.FEATURES))
+    start = " UNION ALL ".join(
+        f"SELECT {n} AS id, " + ", ".join(f"coalesce({v} / nullif(s{i}, 0), 0) AS x{i}" for i, v in enumerate(own)) + " FROM dev"
+        for n, own in enumerate(CENTRES)
+    )
+    distance = " + ".join(f"(z.{x} - c.{x}) * (z.{x} - c.{x})" for x in at)
+    ctes = [
+        f"dev AS MATERIALIZED (SELECT {devs} FROM b_feats WHERE num_orders >= 5)",
+        f"z AS MATERIALIZED (SELECT f.*, {scaled} FROM b_feats f, dev WHERE num_orders >= 5)",
+        f"c0 AS MATERIALIZED ({start})",
+    ]
+    for k in range(ROUNDS + 1):
+        ctes.append(
+            f"a{k} AS MATERIALIZED (SELECT z.*, c.id FROM z, c{k} c "
+            f"QUALIFY row_number() OVER (PARTITION BY z.user_id ORDER BY {distance}, c.id) = 1)"
+        )
+        means = ", ".join(f"coalesce(avg(a.{x}), any_value(c.{x})) AS {x}" for x in at)
+        ctes.append(f"c{k + 1} AS MATERIALIZED (SELECT c.id, {means} FROM c{k} c LEFT JOIN a{k} a USING (id) GROUP BY c.id)")
+    ctes.append(
+        "numbered AS (SELECT id, CAST(row_number() OVER (ORDER BY count(*) DESC, min(user_id)) - 1 AS INT) AS cluster "
+        f"FROM a{ROUNDS} GROUP BY id)"
+    )
+    ctes.append(f"labelled AS (SELECT a.*, n.cluster FROM a{ROUNDS} a JOIN numbered n USING (id))")
+    return _BASE.rstrip() + ",\n" + ",\n".join(ctes) + "\n" + body
+
+
 def _sql(body: str, **params) -> str:
     return _BASE + body.format(**params)
 
@@ -407,7 +567,16 @@ def oracle_sql() -> dict[str, str]:
     out = {k: _sql(v, n=10, min_count=200) for k, v in _BODIES.items()}
     out["csv_items"] = out["order_items_table"]
     out["views_sales_by_department"] = out["sales_by_department"]
-    out["cached_kpi"] = out["kpi"]
+    out["cached_kpi"] = out["csv_kpi"] = out["kpi"]
+    out["cached_departments"] = out["sales_by_department"]
+    out["kmeans_from_centres"] = _lloyd_sql("SELECT user_id, cluster FROM labelled")
+    out["kmeans_from_centres_cluster0"] = _lloyd_sql("SELECT user_id, cluster FROM labelled WHERE cluster = 0")
+    out["kmeans_from_centres_profile"] = _lloyd_sql(
+        """SELECT cluster, count(*) AS users, round(avg(num_orders), 6) AS avg_num_orders,
+  round(avg(avg_items_per_order), 6) AS avg_basket_size, round(avg(reorder_rate_user), 6) AS avg_reorder_rate,
+  round(avg(dept_diversity), 6) AS avg_dept_diversity, round(avg(avg_days_between_orders), 6) AS avg_days_between,
+  round(avg(avg_hour), 6) AS avg_hour FROM labelled GROUP BY cluster"""
+    )
     out["top_products_n25"] = _sql(_BODIES["top_products"], n=25)
     out["top_reordered_products_n20_min100"] = _sql(_BODIES["top_reordered_products"], n=20, min_count=100)
     out["top_users_by_orders_n25"] = _sql(_BODIES["top_users_by_orders"], n=25)

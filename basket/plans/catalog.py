@@ -100,7 +100,12 @@ def _e(key, label, group, fn, *params):
 CATALOG: dict[str, Entry] = {
     e.key: e
     for e in [
-        _e("kpi", "KPI overview", "KPI", lambda t: O.kpi_overview(t.orders, t.item_parts)),
+        _e(
+            "kpi",
+            "KPI overview",
+            "KPI",
+            lambda t: O.kpi_overview_bitmaps(t.orders, t.order_items) if t.raw else O.kpi_overview(t.orders, t.item_parts),
+        ),
         _e("top_products", "Top products", "Products", lambda t, n: P.top_products(t.order_items, t.products, n), N),
         _e("reorder_rate_global", "Global reorder rate", "Products", lambda t: O.reorder_rate_global(t.order_items)),
         _e(

@@ -6,7 +6,8 @@ import os
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from basket.plans.catalog import CATALOG, LIMIT, result_limit, run
 from basket.sources.tables import Tables
@@ -28,11 +29,14 @@ def to_records(df: DataFrame, limit: int = 1000, order: tuple[str, ...] = ()) ->
     """At most ``limit`` rows as dicts, with the number of rows there are.
 
     ``order`` names the columns to sort by (all columns if none is given), so the rows do not
-    depend on the layout; the bounded sort is a top-k.  For whole results use :func:`write_result`.
+    depend on the layout; the bounded sort is a top-k.  The rows are counted on their way into it, so
+    the query runs once.  For whole results use :func:`write_result`.
     """
     limit = LIMIT.check(limit)
-    top = df.orderBy(*(order or df.columns)).limit(limit).collect()
-    total = len(top) if len(top) < limit else df.count()
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("total"))
+    top = counted.orderBy(*(order or df.columns)).limit(limit).collect()
+    total = len(top) if len(top) < limit else seen.get["total"]
     return Records([row.asDict(recursive=True) for row in top], total)
 
 

@@ -186,8 +186,11 @@ def _size_order() -> Window:
     return Window.orderBy(F.col("size").desc(), F.col("first_user").asc())
 
 
-def fit_segments(train: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 15) -> Segments:
-    """Fit assemble -> scale (std only) -> k-means on ``train`` (a feature table)."""
+def fit_segments(train: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 15, tol: float = 1e-4) -> Segments:
+    """Fit assemble -> scale (std only) -> k-means on ``train`` (a feature table).
+
+    Lloyd's iterations end when no centre moves by more than ``tol``, or after ``max_iter`` of them.
+    """
     ensure_checkpoint_dir(train.sparkSession)
     # Features are computed once: kept while counting them and writing the
     # layout-pinned checkpoint the iterations read.
@@ -208,6 +211,7 @@ def fit_segments(train: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 1
             k=int(k),
             seed=int(seed),
             maxIter=int(max_iter),
+            tol=float(tol),
             initMode="k-means||",
             featuresCol="features",
             predictionCol="raw_cluster",
@@ -274,6 +278,81 @@ def nearest_centre(features: DataFrame, centres: list[list[float]], scales: dict
     ).drop("_n")
 
 
+def _distance(xs, ys) -> Column:
+    return F.sqrt(reduce(Column.__add__, [(x - y) ** 2 for x, y in zip(xs, ys, strict=True)]))
+
+
+def certificate(segments: Segments) -> DataFrame:
+    """What shows that a fit is a fixed point of Lloyd's iteration: per cluster ``cluster, users, gap, improves``.
+
+    ``gap`` is the distance (in scaled units) of the model's centre from the mean of the rows nearest to it: 0 when neither
+    centres nor labels would change in another round.  ``improves``: the summed squared distances are at most those of the centres
+    that the same seeding starts from.
+    """
+    k_means = segments.model.stages[-1]
+    scales = feature_scales(segments)
+    centres = [list(map(float, c)) for c in k_means.clusterCenters()]
+    seeds = _seed_centres(segments)
+    near = nearest_centre(segments.train, centres, scales)
+    cost = F.sum("distance").alias("cost")
+    seeding = nearest_centre(segments.train, seeds, scales).agg(cost).scalar()
+    fitted = near.agg(cost).scalar()
+    means = near.groupBy("nearest").agg(
+        F.count(F.lit(1)).alias("users"), *[F.avg(F.col(c) / scales[c] if scales[c] else F.lit(0.0)).alias(c) for c in FEATURES]
+    )
+    own = [F.element_at(F.array(*[F.lit(c[i]) for c in centres]), F.col("nearest") + 1) for i in range(len(FEATURES))]
+    gaps = means.select(F.col("nearest").alias("raw_cluster"), "users", _distance([F.col(c) for c in FEATURES], own).alias("gap"))
+    # Costs of equal labels may differ in their last digits.
+    improves = fitted <= seeding * (1 + 1e-9)
+    return gaps.join(F.broadcast(segments.cluster_ids), "raw_cluster").select("cluster", "users", "gap", improves.alias("improves"))
+
+
+def _seed_centres(segments: Segments) -> list[list[float]]:
+    """The centres that the model's seeding starts from: a fit of no iterations over the same rows."""
+    prepared = PipelineModel(segments.model.stages[:-1]).transform(segments.train)
+    start = segments.model.stages[-1]
+    seeding = KMeans(
+        k=start.getK(), seed=start.getSeed(), maxIter=0, initMode=start.getInitMode(), featuresCol="features", predictionCol="_seeded"
+    ).fit(prepared)
+    return [list(map(float, c)) for c in seeding.clusterCenters()]
+
+
+def standard_deviations(train: DataFrame) -> dict[str, float]:
+    """Sample standard deviation of each feature (0 where it is constant)."""
+    row = train.agg(*[F.stddev_samp(c).alias(c) for c in FEATURES]).head()
+    return {c: float(row[c] or 0.0) for c in FEATURES}
+
+
+def lloyd_from(train: DataFrame, centres: list[list[float]], rounds: int) -> tuple[list[list[float]], dict[str, float]]:
+    """(centres in scaled units, scales) after at most ``rounds`` of Lloyd's iterations from given ``centres`` (raw units).
+
+    MLlib's k-means with an initial model; a cluster that loses all its rows keeps its centre.  It ends early only when no
+    centre moves at all.  The rows are read from a checkpoint, as in :func:`fit_segments`.
+    """
+    from pyspark.mllib.clustering import KMeans as Lloyd
+    from pyspark.mllib.clustering import KMeansModel
+
+    ensure_checkpoint_dir(train.sparkSession)
+    rows = _pinned(train, fit_partitions(train.count())).checkpoint(eager=True)
+    scales = standard_deviations(rows)
+    scaled = F.array(*[F.col(c) / scales[c] if scales[c] else F.lit(0.0) for c in FEATURES])
+    start = [[v / scales[c] if scales[c] else 0.0 for v, c in zip(own, FEATURES, strict=True)] for own in centres]
+    points = rows.select(scaled.alias("x")).rdd.map(lambda r: r[0]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = Lloyd.train(points, k=len(start), maxIterations=int(rounds), epsilon=0.0, initialModel=KMeansModel(start))
+    finally:
+        points.unpersist()
+    return [list(map(float, c)) for c in model.clusterCenters], scales
+
+
+def label_nearest(features: DataFrame, centres: list[list[float]], scales: dict[str, float]) -> DataFrame:
+    """``features`` plus ``cluster``: the number of its nearest centre, numbered by size and smallest user as in :func:`fit_segments`."""
+    near = nearest_centre(features, centres, scales).drop("distance")
+    sizes = near.groupBy("nearest").agg(F.count(F.lit(1)).alias("size"), F.min("user_id").alias("first_user"))
+    ids = sizes.select("nearest", (F.row_number().over(_size_order()) - 1).cast("int").alias("cluster"))
+    return near.join(F.broadcast(ids), "nearest").drop("nearest")
+
+
 def profile_segments(labelled: DataFrame) -> DataFrame:
     """Per cluster of a labelled feature table: users and the six feature means."""
     return (

@@ -22,14 +22,16 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from basket.session import ensure_checkpoint_dir, qualified, run_concurrently
 from basket.sources import schema as S
@@ -44,6 +46,8 @@ class Tables:
     departments: DataFrame
     # order_items in parts with disjoint orders, when it is stored so
     parts: tuple[DataFrame, ...] = ()
+    # read from files that say nothing of where an order's items are (the csv layout)
+    raw: bool = False
 
     @property
     def item_parts(self) -> tuple[DataFrame, ...]:
@@ -76,7 +80,7 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-CORRUPT = "_corrupt_record"
+CORRUPT, BAD = "_corrupt_record", "_bad"
 
 
 def _csv(spark: SparkSession, path: str, schema: StructType, mode: str, corrupt: bool = False) -> DataFrame:
@@ -117,6 +121,47 @@ def bad_records(spark: SparkSession, path: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def quarantine(spark: SparkSession, path: str, out: str) -> DataFrame:
+    """Read the csv layout below ``path`` once and store it below ``out``, good rows apart from corrupt ones.
+
+    Each file is parsed by one job, which writes both kinds and counts them on the way.  Returns ``file, good, bad``;
+    :func:`load_quarantined` and :func:`quarantined` read the two sides.
+    """
+
+    def store(name: str, schema: StructType) -> tuple[str, int, int]:
+        seen = Observation()
+        rows = _csv(spark, os.path.join(path, name), schema, "PERMISSIVE", corrupt=True)
+        # Written with all its columns, every line is parsed whole and so marked where it is corrupt.
+        split = rows.withColumn(BAD, F.col(CORRUPT).isNotNull())
+        counted = split.observe(seen, F.count_if(~F.col(BAD)).alias("good"), F.count_if(F.col(BAD)).alias("bad"))
+        counted.write.mode("overwrite").partitionBy(BAD).parquet(os.path.join(out, name))
+        return name, seen.get["good"], seen.get["bad"]
+
+    counts = run_concurrently(*[lambda n=n, s=s: store(n, s) for n, s in CSV_FILES.items()])
+    return spark.createDataFrame(counts, "file string, good long, bad long")
+
+
+def _side(spark: SparkSession, out: str, name: str, bad: bool) -> DataFrame:
+    schema = StructType([*CSV_FILES[name].fields, StructField(CORRUPT, StringType()), StructField(BAD, BooleanType())])
+    return spark.read.schema(schema).parquet(os.path.join(out, name)).filter(F.col(BAD) == F.lit(bad))
+
+
+def load_quarantined(spark: SparkSession, out: str) -> Tables:
+    """The bundle of the good rows that :func:`quarantine` stored; corrupt lines are left out, not read as NULLs."""
+    orders, prior, train, products, aisles, departments = (
+        _side(spark, out, name, False).select(*schema.names) for name, schema in CSV_FILES.items()
+    )
+    return Tables(orders, order_items(prior, train), products, aisles, departments, raw=True)
+
+
+def quarantined(spark: SparkSession, out: str) -> DataFrame:
+    """``file, record``: the corrupt lines that :func:`quarantine` stored."""
+    found = [
+        _side(spark, out, name, True).select(F.lit(name).alias("file"), F.col(CORRUPT).alias("record")) for name in CSV_FILES
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def save_csv(tables: Tables, path: str, mode: str = "overwrite") -> None:
     """Write the bundle as the csv layout (each file a folder of part files)."""
     frames = (tables.orders, tables.op_prior, tables.op_train, tables.products, tables.aisles, tables.departments)
@@ -145,6 +190,7 @@ def _read_tables(spark: SparkSession, path: str, fmt: str, mode: str) -> Tables:
             products=_csv(spark, j("products.csv"), S.PRODUCTS, mode),
             aisles=_csv(spark, j("aisles.csv"), S.AISLES, mode),
             departments=_csv(spark, j("departments.csv"), S.DEPARTMENTS, mode),
+            raw=True,
         )
     if fmt == "parquet":
         path = qualified(spark, path)
@@ -304,6 +350,7 @@ def persist_tables(
         aisles=tables.aisles.cache(),
         departments=tables.departments.cache(),
         parts=(),
+        raw=tables.raw,
     )
     if materialize:
         run_concurrently(
@@ -318,3 +365,24 @@ def persist_tables(
 def unpersist_tables(tables: Tables) -> None:
     for df in (tables.orders, tables.order_items, tables.products, tables.aisles, tables.departments):
         df.unpersist()
+
+
+@contextmanager
+def cached_tables(tables: Tables, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[Tables]:
+    """The bundle in memory for the length of a ``with`` block, dimensions included.
+
+    Filled on entry and released on exit, also after an error, so later queries read the stored layout again.
+    Results that outlive the block must be written inside it.  What the caller had cached before stays cached.
+    """
+    # Copies, as a DataFrame remembers its own caching; what the caller has cached before stays so.
+    own = tables.orders, tables.order_items, tables.products, tables.aisles, tables.departments
+    before = [df.storageLevel.useMemory or df.storageLevel.useDisk for df in own]
+    cached = persist_tables(Tables(*[df.select("*") for df in own], raw=tables.raw), level)
+    frames = cached.orders, cached.order_items, cached.products, cached.aisles, cached.departments
+    try:
+        run_concurrently(*[df.count for df in frames])
+        yield cached
+    finally:
+        for df, was in zip(frames, before, strict=True):
+            if not was:
+                df.unpersist(blocking=True)

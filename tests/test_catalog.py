@@ -1,6 +1,7 @@
 """Catalogue registry, parameter bounds, bounded records and the report."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from basket.plans import catalog
 from basket.plans.report import REPORT_KEYS, run_report, to_records
@@ -99,3 +100,29 @@ def test_segmentation_parameters_are_on_the_surface(t):
 
     rows = catalog.run(t, "kmeans_user_clusters", k="3", user_fraction="0.6", max_users=60, assign="all", min_orders=2).collect()
     assert {r.user_id for r in rows} == {r.user_id for r in G.sample_users(t.orders, 0.6, 42, 60).collect()}
+
+
+def test_records_run_the_query_once(spark):
+    from basket.plans.report import to_records
+
+    sc = spark.sparkContext
+    sc.setJobGroup("records", "one run")
+    try:
+        found = to_records(spark.range(5000, numPartitions=3).withColumn("x", -F.col("id")), limit=4, order=("x",))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert [r["id"] for r in found.rows] == [4999, 4998, 4997, 4996] and found.total == 5000 and found.truncated
+    assert len(sc.statusTracker().getJobIdsForGroup("records")) == 1
+    assert to_records(spark.range(0), limit=4).total == 0
+
+
+def test_kpi_by_bitmaps_equals_counts_per_order(spark):
+    from basket.plans.overview import kpi_overview, kpi_overview_bitmaps
+
+    orders = spark.range(10).withColumnRenamed("id", "order_id")
+    ids = [1, 1, 32767, 32768, 32769, 32769, 10**12, -5, 0, None, None]
+    for rows in (ids, ids[:1], [None], []):
+        items = spark.createDataFrame([(i,) for i in rows], "order_id long").repartition(3)
+        bitmaps = kpi_overview_bitmaps(orders, items)
+        assert bitmaps.collect() == kpi_overview(orders, items).collect()
+        assert "hashpartitioning(order_id" not in bitmaps._jdf.queryExecution().executedPlan().toString()

@@ -30,3 +30,27 @@ def test_a_missing_subpackage_is_left_out_and_a_broken_one_is_not(monkeypatch):
     monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
     assert {k for k in E.queries() if k.startswith("op1_") or k == "pipeline"} == set()
     assert set(E.queries()) <= whole
+
+
+def test_an_empty_folder_and_a_missing_package_leave_the_catalogue(tmp_path):
+    """Neither a subpackage folder without sources nor a missing dependency takes the catalogue's queries along."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    names = "import __spark_entry__ as E; print(len(E.queries()), sum(k.startswith('op1') or k == 'pipeline' for k in E.queries()))"
+    for case in ("empty", "missing"):
+        copy = tmp_path / case
+        shutil.copytree(os.path.join(root, "basket"), copy / "basket", ignore=shutil.ignore_patterns("__pycache__", *(["llm"] if case == "empty" else [])))
+        for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+            if os.path.exists(os.path.join(root, name)):
+                shutil.copy(os.path.join(root, name), copy)
+        if case == "empty":
+            (copy / "basket" / "llm" / "__pycache__").mkdir(parents=True)
+            code = names
+        else:
+            code = "import sys; sys.modules['public_tokenizers'] = None; " + names
+        out = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=100)
+        assert out.stdout.split() == [str(len(E._catalogue_queries())), "0"], out.stderr

@@ -20,6 +20,13 @@ def test_matches_duckdb(spark, con, name):
     assert compare(df, con, ORACLE[name]) is None
 
 
+def test_nothing_stays_cached(spark):
+    """After all entries the stored tables are read again, not an earlier query's cache."""
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
+    df = E.queries()["kpi"](spark, SF_ORACLE)
+    assert "InMemoryTableScan" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(E.queries())
 

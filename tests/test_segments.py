@@ -171,3 +171,53 @@ def test_approximate_department_count_option(t, feats):
     assert a.keys() == e.keys()
     # HLL++ is exact for such small cardinalities (8 departments).
     assert a == e
+
+
+def test_certificate_tells_a_fixed_point_from_a_start(feats):
+    train = G.training_rows(feats, min_orders=5)
+    done = G.certificate(G.fit_segments(train, k=4, max_iter=500, tol=0.0)).collect()
+    assert sorted(r.cluster for r in done) == [0, 1, 2, 3] and sum(r.users for r in done) == train.count()
+    assert all(r.gap < 1e-9 and r.improves for r in done)
+    for rounds in (0, 1):
+        assert max(r.gap for r in G.certificate(G.fit_segments(train, k=4, max_iter=rounds, tol=0.0)).collect()) > 1e-3
+
+
+def test_lloyd_from_given_centres_against_numpy(feats):
+    train = G.training_rows(feats, min_orders=5)
+    rows = train.orderBy("user_id").collect()
+    x = np.array([[r[c] for c in G.FEATURES] for r in rows])
+    std = x.std(axis=0, ddof=1)
+    x, centres = x / std, x[[0, 7, 20]] / std
+    # The last centre is far from every row and keeps its place.
+    start, centres = [*(centres * std).tolist(), [1e6] * 6], np.vstack([centres, np.full(6, 1e6) / std])
+    for rounds in (1, 6):
+        want = centres
+        for _ in range(rounds):
+            near = ((x[:, None] - want) ** 2).sum(axis=2).argmin(axis=1)
+            want = np.array([x[near == i].mean(axis=0) if (near == i).any() else want[i] for i in range(4)])
+        got, scales = G.lloyd_from(train, start, rounds)
+        assert np.allclose(got, want) and np.allclose([scales[c] for c in G.FEATURES], std)
+        labels = {r.user_id: r.cluster for r in G.label_nearest(train, got, scales).collect()}
+        near = ((x[:, None] - want) ** 2).sum(axis=2).argmin(axis=1)
+        first = sorted(set(near.tolist()), key=lambda i: (-(near == i).sum(), min(r.user_id for r, n in zip(rows, near, strict=True) if n == i)))
+        assert labels == {r.user_id: first.index(n) for r, n in zip(rows, near.tolist(), strict=True)}
+
+
+def test_caps_by_prefix_counts(spark, monkeypatch):
+    """Any number of passes gives the same keys; none of them sorts the keys."""
+    import hashlib
+
+    from basket.operators import sampling
+
+    rows = [(u,) for u in range(500)] * 2 + [(None,)] * 300
+    keys = spark.createDataFrame(rows, "user_id long").repartition(5)
+    order = sorted([*range(500), None], key=lambda u: (hashlib.md5(f"42/cap/{'' if u is None else u}".encode()).hexdigest(), u or 0))
+    for few in (0, 1, 10_000):
+        monkeypatch.setattr(sampling, "_FEW", few)
+        for cap in (1, 2, 100, 500, 501, 900):
+            capped = sampling.hash_cap(keys, "user_id", cap, 42)
+            assert {r.user_id for r in capped.collect()} == set(order[:cap]), (few, cap)
+            assert "Sort" not in capped._jdf.queryExecution().executedPlan().toString()
+    assert sampling.hash_cap(keys.limit(0), "user_id", 5, 42).collect() == []
+    kept = sampling.sample_predicate(keys, "user_id", 1.0, 42, max_keys=7, step="x")
+    assert kept is not None and keys.filter(kept).select("user_id").distinct().count() == 7

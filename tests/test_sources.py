@@ -130,3 +130,55 @@ def test_csv_bad_records_and_quotes(spark, tmp_path):
     save_csv(t, str(tmp_path / "again"))
     back = load_tables(spark, str(tmp_path / "again"), "csv")
     assert back.products.collect() == t.products.collect() and back.order_items.count() == 2
+
+
+def test_cached_tables_are_always_released(spark):
+    import pytest
+
+    from basket.sources.tables import cached_tables
+
+    def held():
+        return spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+
+    before, t = held(), _t(spark)
+    with cached_tables(t) as c:
+        # Dimensions included: five tables are filled on entry.
+        assert held() == before + 5 and c.departments.is_cached and c.order_items.count() == 3
+        assert "InMemoryTableScan" in c.products._jdf.queryExecution().executedPlan().toString()
+    assert held() == before
+    with pytest.raises(RuntimeError), cached_tables(t):
+        raise RuntimeError
+    assert held() == before
+    assert "InMemoryTableScan" not in t.orders._jdf.queryExecution().executedPlan().toString()
+
+
+def test_caches_of_the_caller_stay(spark):
+    from basket.sources.tables import cached_tables
+
+    t = _t(spark)
+    t.orders.cache().count()
+    try:
+        with cached_tables(t):
+            pass
+        assert t.orders.is_cached and "InMemoryTableScan" in t.orders.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        t.orders.unpersist()
+
+
+def test_quarantine_is_one_parse(spark, tmp_path):
+    """Good and corrupt rows of every file from one job each; good rows carry no NULLs of corrupt ones."""
+    from basket.sources.tables import bad_records, load_quarantined, quarantine, quarantined, save_csv
+
+    src, out = str(tmp_path / "csv"), str(tmp_path / "out")
+    save_csv(_t(spark), src)
+    (tmp_path / "csv" / "orders.csv" / "part-x.csv").write_text(
+        "order_id,user_id,eval_set,order_number,order_dow,order_hour_of_day,days_since_prior_order\n"
+        'x,1,train,2,3,10,7.0\n9,1,train,2,3,10\n8,1,"a ""quoted"" set",2,3,10,7.0\n'
+    )
+    counts = {r.file: (r.good, r.bad) for r in quarantine(spark, src, out).collect()}
+    assert counts["orders.csv"] == (3, 2) and counts["aisles.csv"][1] == 0 and len(counts) == 6
+    found = sorted(tuple(r) for r in quarantined(spark, out).collect())
+    assert found == sorted(tuple(r) for r in bad_records(spark, src).collect()) and len(found) == 2
+    kept = load_quarantined(spark, out)
+    assert sorted(r.order_id for r in kept.orders.collect()) == [1, 2, 8] and kept.order_items.count() == 3
+    assert [r.eval_set for r in kept.orders.filter("order_id = 8").collect()] == ['a "quoted" set']

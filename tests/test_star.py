@@ -62,7 +62,10 @@ def test_save_and_load_roundtrip(spark, star, tmp_path):
 def test_build_star_tables_equals_lazy_derivation(spark, star, tmp_path):
     from basket.sources.star import build_star_tables
 
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size
+    before = held()
     built = build_star_tables(spark, SF_SMALL, str(tmp_path / "etl"))
+    assert held() == before
     for name in ("orders", "order_items", "products", "departments"):
         a, b = getattr(star, name), getattr(built, name)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
