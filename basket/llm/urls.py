@@ -22,7 +22,7 @@ from basket.llm.common import cut
 #: (host, path, verdict): a rule fits its host and all subdomains where the url's path starts with its path.
 Rule = tuple[str, str, str]
 
-ROUNDS, DAMPING, THRESHOLD = 10, 0.85, 0.5
+TOLERANCE, DAMPING, THRESHOLD = 1e-6, 0.85, 0.5
 BROADCAST_HOSTS = 200_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _HREF = r"""(?i)\bhref\s*=\s*["']?([^"'>\s]*)"""
@@ -70,8 +70,13 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return pairs.groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """``host, trust, distrust`` of every host in ``seeds`` (host, seed_trust, seed_distrust) or ``edges``."""
+def propagate(seeds: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
+    """``host, trust, distrust`` of every host in ``seeds`` (host, seed_trust, seed_distrust) or ``edges``.
+
+    Personalised PageRank as the sum of its series: round n adds what arrives over paths of n links, so scores only grow.
+    It ends when a round reaches no new host and adds at most ``tolerance`` of all there is; on a graph
+    without cycles that is the exact sum, whatever its depth.
+    """
     own = 1 - damping
     edges = cut(edges)
     given = seeds.select("host", "seed_trust", "seed_distrust")
@@ -94,8 +99,10 @@ def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping:
             F.coalesce("seed_distrust", zero).alias("seed_distrust"),
         )
     )
-    rank = base.select("host", F.col("seed_trust").alias("trust"), F.col("seed_distrust").alias("distrust"))
-    for _ in range(rounds):
+    rank = base.select("host", (F.col("seed_trust") * own).alias("trust"), (F.col("seed_distrust") * own).alias("distrust"))
+    summary = [*[F.sum(c).alias(c) for c in ("trust", "distrust")], *[F.count_if(F.col(c) > 0).alias(f"n_{c}") for c in ("trust", "distrust")]]
+    before = rank.agg(*summary).head()
+    while True:
         forward = flows.join(rank.select(F.col("host").alias("src"), "trust"), "src").select(
             F.col("dst").alias("host"), (F.col("trust") * F.col("down")).alias("t"), zero.alias("d")
         )
@@ -110,13 +117,17 @@ def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping:
                 (F.col("seed_distrust") * own + F.coalesce("d", zero) * damping).alias("distrust"),
             )
         )
-    return rank
+        now = rank.agg(*summary).head()
+        reached = any(now[f"n_{c}"] > before[f"n_{c}"] for c in ("trust", "distrust"))
+        if not reached and all(now[c] - before[c] <= tolerance * now[c] for c in ("trust", "distrust")):
+            return rank
+        before = now
 
 
 def filter_urls(
     pages: DataFrame,
     rules: list[Rule],
-    rounds: int = ROUNDS,
+    tolerance: float = TOLERANCE,
     damping: float = DAMPING,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
@@ -130,7 +141,7 @@ def filter_urls(
     judged = judge(pages, rules)
     share = [F.avg(F.when(F.col("ruled") == v, 1.0).otherwise(0.0)).alias(c) for v, c in (("allow", "seed_trust"), ("block", "seed_distrust"))]
     seeds = judged.filter("host <> ''").groupBy("host").agg(*share)
-    scores = cut(propagate(seeds, host_edges(pages), rounds, damping))
+    scores = cut(propagate(seeds, host_edges(pages), tolerance, damping))
     # Up to that many hosts the pages stay where they are; beyond, adaptive execution splits a hot host's pages.
     if scores.count() <= BROADCAST_HOSTS:
         scores = F.broadcast(scores)

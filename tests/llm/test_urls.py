@@ -34,7 +34,7 @@ def parse(url):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in m[1]), m[2]
 
 
-def brute(pages, rules, rounds=urls.ROUNDS, damping=urls.DAMPING):
+def brute(pages, rules, rounds=400, damping=urls.DAMPING):
     judged = []
     for _, url, _ in pages:
         host, path = parse(url)
@@ -91,3 +91,14 @@ def test_empty_and_no_rules(spark):
 def test_runs_no_python(spark):
     plan = urls.filter_urls(spark.createDataFrame(PAGES, SCHEMA), RULES)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_chains_and_cycles(spark):
+    """Distrust goes back over 15 links to the first host of a chain; a cycle's scores converge."""
+    chain = [(i, f"http://c{i}.net/", a(f"http://c{i + 1}.net/")) for i in range(15)] + [(15, "http://c15.net/bad/", None)]
+    found = {r.page_id: r.verdict for r in urls.filter_urls(spark.createDataFrame(chain, SCHEMA), [("c15.net", "/bad/", "block")]).collect()}
+    assert found == dict.fromkeys(range(16), "block")
+    cycle = [(0, "http://x.org/", a("http://y.net/")), (1, "http://y.net/", a("http://z.net/")), (2, "http://z.net/", a("http://y.net/"))]
+    got = urls.filter_urls(spark.createDataFrame(cycle, SCHEMA), [("org", "/", "allow")], tolerance=1e-4).collect()
+    want = {r[0]: r[5] for r in brute(cycle, [("org", "/", "allow")])}
+    assert all(abs(r.trust - want[r.page_id]) < 1e-3 for r in got)
