@@ -188,7 +188,7 @@ def _sets(n):
             same = (keys[0].view(np.int64) == batch.column("k1").to_numpy()) & (
                 keys[1].view(np.int64) == batch.column("k2").to_numpy()
             )
-            kept = np.flatnonzero(same)  # rows that repeat a doc_id with another text fall out
+            kept = np.flatnonzero(same)
             sets = [np.unique(grams[bounds[i] : bounds[i + 1]]).view(np.int64) for i in kept.tolist()]
             at = pa.array(kept)
             yield pa.RecordBatch.from_arrays(
@@ -278,6 +278,41 @@ def _verify(threshold):
     return run
 
 
+def _texts_of(docs: DataFrame, signed_docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``wanted`` (one a word sequence) with their text, each once.
+
+    A row whose id no other row has finds its text by that id.  Null ids, and ids of several rows, say nothing of
+    the text: those rows' word sequences are computed again, and one text of each wanted sequence is kept, so the work
+    is linear however many rows share an id or repeat a row.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
+    few = wanted.count() <= BROADCAST_ROWS
+
+    def bounded(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if few else rows
+
+    def having(rows: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+        return rows.join(bounded(ids), rows[column].eqNullSafe(ids["_id"]), how)
+
+    ids = wanted.select(F.col("doc_id").alias("_id")).distinct()
+    uses = having(signed_docs.select("doc_id"), "doc_id", ids).groupBy("doc_id").agg(F.count("*").alias("uses"))
+    shared = cut(uses.filter("doc_id IS NULL OR uses > 1").select(F.col("doc_id").alias("_id")))
+    found = []
+    clashing = not shared.isEmpty()
+    own = having(wanted, "doc_id", shared, "left_anti") if clashing else wanted
+    own_ids = own.select(F.col("doc_id").alias("_id")) if clashing else ids
+    mine = having(texts, "_id", own_ids)
+    found.append(mine.join(own, mine["_id"].eqNullSafe(own["doc_id"])).drop("_id", "doc_id"))
+    if clashing:
+        keys = having(wanted, "doc_id", shared).drop("doc_id")
+        keyed = extend(having(texts, "_id", shared).select("text"), _row_keys, "k1 long, k2 long")
+        meant = keyed.join(bounded(keys.select("k1", "k2")), ["k1", "k2"], "left_semi")
+        # Copies meet in the map-side aggregate, so a row repeated many times is one row a task.
+        once = meant.groupBy("k1", "k2").agg(F.min("text").alias("text"))
+        found.append(once.join(keys, ["k1", "k2"]).select(found[0].columns))
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
 def similar(
     docs: DataFrame,
     n: int = N,
@@ -334,11 +369,7 @@ def _similar(
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(2 * F.col("g") / BLOCK_GRAMS), F.lit(1)).cast("int")
     wanted = members.join(cut(sizes.select("comp", blocks.alias("nb"))), "comp").select("rid", "doc_id", "k1", "k2", "comp", "nb")
     wanted = cut(wanted)
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
-    few = wanted.count() <= BROADCAST_ROWS
-    ids = wanted.select(F.col("doc_id").alias("_id")).distinct()
-    mine = texts.join(F.broadcast(ids) if few else ids, texts["_id"].eqNullSafe(ids["_id"]), "left_semi")
-    candidates = mine.join(wanted, mine["_id"].eqNullSafe(wanted["doc_id"])).drop("_id", "doc_id")
+    candidates = _texts_of(docs, signed_docs, wanted)
     sets = arrow_map(candidates, _sets(n), "rid long, comp long, nb int, grams array<long>")
     own = F.pmod(F.xxhash64("rid"), F.col("nb")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda j: F.struct(F.least(j, own).alias("lo"), F.greatest(j, own).alias("hi"), (own > j).cast("int").alias("side")))

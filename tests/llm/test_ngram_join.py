@@ -133,6 +133,45 @@ def test_rows_with_null_or_clashing_ids(spark, monkeypatch, bound):
         assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, want))
 
 
+def counts(df):
+    """(copies, links) of all rows, in order."""
+    return sorted((r.n_copies, r.n_links) for r in ngram_join.similar(df).collect())
+
+
+@pytest.mark.parametrize("bound", [ngram_join.BROADCAST_ROWS, 0])
+def test_links_do_not_depend_on_the_ids(spark, monkeypatch, bound):
+    """All rows under one id or under none have the links that they have under ids of their own."""
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", bound)
+    rows = planted(3)
+    want = sorted(v[2:] for v in brute(rows).values())
+    for own in (lambda i: None, lambda i: 7, lambda i: None if i % 3 == 0 else i // 2):
+        df = spark.createDataFrame([(own(i), t) for i, t in rows], "doc_id long, text string").repartition(4)
+        assert counts(df) == want
+
+
+@pytest.mark.parametrize("own", [None, 5])
+def test_one_text_for_each_candidate(spark, monkeypatch, own):
+    """10,000 rows under one id (or none), a third of them repeats of one row: a candidate reads one text."""
+    read = []
+    plain = ngram_join._texts_of
+
+    def counted(docs, signed_docs, wanted):
+        found = plain(docs, signed_docs, wanted)
+        read.append((found.count(), wanted.count()))
+        return found
+
+    monkeypatch.setattr(ngram_join, "_texts_of", counted)
+    base = [f"w{i}" for i in range(40)]
+    rows = [" ".join(base)] * 3334 + [" ".join([*base, f"end{i}"]) for i in range(600)]
+    rows += [f"text {i} of its own and like no other {i} one" for i in range(6066)]
+    df = spark.createDataFrame([(own, t) for t in rows], "doc_id long, text string").repartition(4)
+    got = counts(df)
+    assert len(got) == 10_000 and got[-1] == (3334, 600)
+    assert got.count((1, 600)) == 600
+    ((texts, wanted),) = read
+    assert texts == wanted and 601 <= wanted <= 6667
+
+
 def test_bands_reach_the_recall():
     for threshold, recall in ((0.8, 0.999), (0.8, 0.9), (0.5, 0.99), (0.95, 0.999)):
         bands, rows = ngram_join.choose_bands(threshold, recall)
