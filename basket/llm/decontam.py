@@ -6,9 +6,9 @@ scans every window of its documents with a rolling 64-bit hash, verifies each ha
 word by word, and marks the words inside verified occurrences.  Documents whose marked
 share reaches a threshold are removed, and the marked spans of the others cut out.
 
-The broadcast is bounded: at most ``max_windows`` windows at a time.  A larger
-benchmark is dealt into that many by hash and the documents are scanned once for each
-part, the marks carried along, so the result is the same at any size.
+The broadcast is bounded: about ``max_bytes`` and ``max_windows`` windows at a time, held as a few flat
+arrays (the text of a window, once, and some 30 bytes more).  A larger benchmark is dealt into parts by
+hash and the documents are scanned once for each part, the marks carried along, so the result is the same at any size.
 """
 
 from __future__ import annotations
@@ -74,28 +74,54 @@ def _cut_windows(ngram):
 
 def benchmark_windows(benchmark: DataFrame, ngram: int = NGRAM) -> DataFrame:
     """Distinct (item, n, window) rows; an item of fewer words is one window, one of none has no row."""
-    narrow = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    narrow = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text"))
     return arrow_map(narrow, _cut_windows(ngram), "item string, n int, window string").distinct()
 
 
+#: Bytes of a window in a ``WindowSet`` beside its text and its items' names: hash, number, two offsets, item.
+WINDOW_BYTES = 8 + 4 + 8 + 8 + 4
+
+
+class _Length:
+    """The distinct windows of n words: sorted hashes, the window of each, and by window its text and its items."""
+
+    def __init__(self, n: int, windows: pa.Array, owners: np.ndarray):
+        coded = windows.dictionary_encode()
+        self.data, self.offsets = (x.copy() for x in utf8(coded.dictionary))
+        # Each window has n words, so the first word of a window is n times its number.
+        start, end, _ = word_spans(self.data, self.offsets, WORD_BYTES)
+        hashes = _window_hashes(span_hashes(self.data, start, end), n)[::n]
+        self.number = np.argsort(hashes, kind="stable").astype(np.int32)
+        self.hashes = hashes[self.number]
+        codes = coded.indices.to_numpy()
+        order = np.argsort(codes, kind="stable")
+        self.owners = owners[order]
+        self.first = np.searchsorted(codes[order], np.arange(len(self.offsets)))
+
+    def owners_of(self, at: int, text: bytes) -> np.ndarray | None:
+        """Items of the window ``text``, whose hash stands at ``at`` first; None if it is another of that hash."""
+        known = self.hashes[at]
+        while at < len(self.hashes) and self.hashes[at] == known:
+            i = self.number[at]
+            if self.data[self.offsets[i] : self.offsets[i + 1]].tobytes() == text:
+                return self.owners[self.first[i] : self.first[i + 1]]
+            at += 1
+        return None
+
+
 class WindowSet:
-    """Windows by length: sorted hashes, and for each hash its (window, items)."""
+    """The windows of (item, n, window) rows by length, in flat arrays; ``items`` are the names."""
 
-    def __init__(self, rows):
-        found: dict[int, dict[bytes, set[str]]] = {}
-        for item, n, window in rows:
-            found.setdefault(n, {}).setdefault(window.encode(), set()).add(item)
+    def __init__(self, rows: pa.Table):
+        rows = rows.combine_chunks()
+        named = pa.concat_arrays(rows.column("item").chunks or [pa.array([], pa.string())]).dictionary_encode()
+        self.items, owners = named.dictionary, named.indices.to_numpy().astype(np.int32)
+        sizes = rows.column("n").to_numpy()
         self.by_length = {}
-        for n, windows in found.items():
-            texts = list(windows)
-            data = np.frombuffer(b" ".join(texts), np.uint8)
-            start, end, _ = word_spans(data, np.array([0, len(data)]), WORD_BYTES)
-            # words of one window are consecutive: its first word is n times its number
-            hashes = _window_hashes(span_hashes(data, start, end), n)[::n]
-            table: dict[int, list[tuple[bytes, set[str]]]] = {}
-            for h, t in zip(hashes.tolist(), texts, strict=True):
-                table.setdefault(h, []).append((t, windows[t]))
-            self.by_length[n] = (np.sort(hashes), table)
+        for n in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == n)
+            windows = pa.concat_arrays(rows.column("window").take(pa.array(at)).chunks)
+            self.by_length[n] = _Length(n, windows, owners[at])
 
 
 def _scan(windows, clean: bool):
@@ -115,18 +141,20 @@ def _scan(windows, clean: bool):
                 if known:
                     items[i] = set(known)
         hashes = span_hashes(data, start, end)
-        for n, (known, table) in windows.value.by_length.items():
+        owners: dict[int, set[int]] = {}
+        for n, known in windows.value.by_length.items():
             h = _window_hashes(hashes, n)
             if not len(h):
                 continue
-            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            for w in np.flatnonzero((known[at] == h) & (doc[: len(h)] == doc[n - 1 :])).tolist():
-                text = _text(data, start, end, w, n)
-                for window, owners in table[int(h[w])]:
-                    if window == text:
-                        marks[w] += 1
-                        marks[w + n] -= 1
-                        items.setdefault(int(doc[w]), set()).update(owners)
+            at = np.minimum(np.searchsorted(known.hashes, h), len(known.hashes) - 1)
+            for w in np.flatnonzero((known.hashes[at] == h) & (doc[: len(h)] == doc[n - 1 :])).tolist():
+                found = known.owners_of(int(at[w]), _text(data, start, end, w, n))
+                if found is not None:
+                    marks[w] += 1
+                    marks[w + n] -= 1
+                    owners.setdefault(int(doc[w]), set()).update(found.tolist())
+        for i, codes in owners.items():
+            items.setdefault(i, set()).update(windows.value.items.take(pa.array(sorted(codes))).to_pylist())
         hit = np.cumsum(marks[:-1]) > 0
         edge = np.ones(len(hit) + 1, bool)
         edge[1:-1] = (hit[1:] != hit[:-1]) | (doc[1:] != doc[:-1])
@@ -157,22 +185,32 @@ def _scan(windows, clean: bool):
 
 
 def find_hits(
-    docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, max_windows: int = 2_000_000, clean: bool = False
+    docs: DataFrame,
+    benchmark: DataFrame,
+    ngram: int = NGRAM,
+    max_windows: int = 2_000_000,
+    clean: bool = False,
+    max_bytes: int = 64 << 20,
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``spans`` (first and last word of each marked run) and ``items``.
 
     With ``clean`` also ``clean_text``, the text without the marked runs.
 
     Null and empty texts have no words and no hits; an empty benchmark marks nothing;
-    repeated rows are scanned once each.  Columns of ``docs`` of those names are replaced.
+    repeated rows are scanned once each.  Very long texts are scanned whole, one a slice.  Benchmark items without
+    an id share the empty name.  Columns of ``docs`` of those names are replaced.
+
+    Workers hold the windows of one part: at most about ``max_bytes`` and ``max_windows``.
     """
     spark = docs.sparkSession
     windows = cut(benchmark_windows(benchmark, ngram))
-    parts = max(1, math.ceil(windows.count() / max_windows))
+    held = F.octet_length("window") + F.octet_length("item") + WINDOW_BYTES
+    count, size = windows.agg(F.count("*"), F.coalesce(F.sum(held), F.lit(0))).head()
+    parts = max(1, math.ceil(count / max_windows), math.ceil(size / max_bytes))
     dealt = windows.withColumn("part", F.pmod(F.xxhash64("item", "n", "window"), F.lit(parts)))
     out = docs.drop("n_words", "n_hit", "spans", "items", "clean_text")
     for part in range(parts):
-        rows = dealt.filter(F.col("part") == part).select("item", "n", "window").collect()
+        rows = dealt.filter(F.col("part") == part).select("item", "n", "window").toArrow()
         shared = spark.sparkContext.broadcast(WindowSet(rows))
         last = clean and part == parts - 1
         out = extend(out if part == 0 else cut(out), _scan(shared, last), HITS + CLEAN * last)

@@ -1,6 +1,9 @@
+import pickle
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from basket.llm import decontam
@@ -62,6 +65,41 @@ def test_against_all_windows(spark, max_windows):
     assert run(spark, docs, items, max_windows=max_windows) == brute(docs, items)
 
 
+def test_parts_by_bytes(spark):
+    docs, items = made(2)
+    assert run(spark, docs, items, max_bytes=3000) == brute(docs, items)
+
+
+def test_bytes_a_window():
+    """What workers hold is some 30 bytes and the text a window, whatever number of items share it."""
+    words = [f"word{i}" for i in range(30_012)]
+    windows = [" ".join(words[i : i + 13]) for i in range(30_000)]
+    rows = pa.table({"item": ["a"] * 30_000 + ["b"] * 30_000, "n": pa.array([13] * 60_000, pa.int32()), "window": windows + windows})
+    held = decontam.WindowSet(rows)
+    size = len(pickle.dumps(held))
+    text = sum(map(len, windows))
+    assert text < size <= text + 60_000 * decontam.WINDOW_BYTES + 10_000
+    own = held.by_length[13]
+    at = int(own.number.tolist().index(77))
+    assert sorted(held.items.take(pa.array(own.owners_of(at, windows[77].encode()))).to_pylist()) == ["a", "b"]
+    assert own.owners_of(at, b"another text") is None
+
+
+def test_equal_hashes_are_told_apart(spark, monkeypatch):
+    """Windows of one hash: each hit is settled by its words."""
+    rows = pa.table({"item": ["a", "b"], "n": pa.array([2, 2], pa.int32()), "window": ["x y", "p q"]})
+    monkeypatch.setattr(decontam, "_window_hashes", lambda hashes, n: np.zeros(max(0, len(hashes) - n + 1), np.uint64))
+    held = decontam.WindowSet(rows)
+    found = [held.items[int(held.by_length[2].owners_of(0, t)[0])].as_py() for t in (b"x y", b"p q")]
+    assert found == ["a", "b"] and held.by_length[2].owners_of(0, b"x q") is None
+
+
+def test_items_without_an_id(spark):
+    docs = [(1, "one two three"), (2, "four")]
+    items = [(None, "two three"), (None, "four"), (3, "four")]
+    assert run(spark, docs, items) == [(1, 3, 2, ("",)), (2, 1, 1, ("", "3"))]
+
+
 def test_odd_rows(spark, odd, none):
     bench = spark.createDataFrame([(1, "text of several WORDS"), (2, "テスト"), (2, "テスト")], "item_id long, text string")
     rows = decontam.find_hits(odd, bench).collect()
