@@ -170,14 +170,18 @@ def result_limit(key: str) -> int:
     return DEFAULT_LIMIT
 
 
-def run(tables: Tables, key: str, **params: Any) -> DataFrame:
+def arguments(key: str, **params: Any) -> dict[str, Any]:
+    """All parameters of the query, checked, with its defaults for those not given."""
     try:
         entry = CATALOG[key]
     except KeyError:
         raise ValueError(f"unknown query {key!r}; known: {sorted(CATALOG)}") from None
-    known = {p.name for p in entry.params}
-    extra = set(params) - known
+    extra = set(params) - {p.name for p in entry.params}
     if extra:
         raise ValueError(f"{key} takes no parameter(s) {sorted(extra)}")
-    args = {p.name: p.check(params.get(p.name, p.default)) for p in entry.params}
-    return entry.fn(tables, **args)
+    return {p.name: p.check(params.get(p.name, p.default)) for p in entry.params}
+
+
+def run(tables: Tables, key: str, **params: Any) -> DataFrame:
+    args = arguments(key, **params)
+    return CATALOG[key].fn(tables, **args)

@@ -22,9 +22,10 @@ def _with_departments(per_product: DataFrame, products: DataFrame, departments:
     )
 
 
-def sales_by_department(items: DataFrame, products: DataFrame, departments: DataFrame) -> DataFrame:
+def department_sales(facts: DataFrame, products: DataFrame, departments: DataFrame) -> DataFrame:
+    """Items and their share by department, from per-product ``facts``."""
     per_dept = (
-        _with_departments(product_facts(items).select("product_id", "n"), products, departments)
+        _with_departments(facts.select("product_id", "n"), products, departments)
         .groupBy("department_id", "department")
         .agg(F.sum("n").alias("items_sold"))
     )
@@ -35,11 +36,19 @@ def sales_by_department(items: DataFrame, products: DataFrame, departments: Data
     )
 
 
-def reorder_rate_by_department(items: DataFrame, products: DataFrame, departments: DataFrame) -> DataFrame:
-    """Mean ``reordered`` (NULLs skipped: sum / count of non-NULL) and item count."""
+def department_reorders(facts: DataFrame, products: DataFrame, departments: DataFrame) -> DataFrame:
+    """Mean ``reordered`` (NULLs skipped: sum / count of non-NULL) and item count, from per-product ``facts``."""
     return (
-        _with_departments(product_facts(items), products, departments)
+        _with_departments(facts, products, departments)
         .groupBy("department_id", "department")
         .agg(ratio(F.sum("again"), F.sum("known")).alias("reorder_rate"), F.sum("n").alias("items"))
         .orderBy(F.col("reorder_rate").desc(), F.col("items").desc(), F.col("department_id").asc())
     )
+
+
+def sales_by_department(items: DataFrame, products: DataFrame, departments: DataFrame) -> DataFrame:
+    return department_sales(product_facts(items), products, departments)
+
+
+def reorder_rate_by_department(items: DataFrame, products: DataFrame, departments: DataFrame) -> DataFrame:
+    return department_reorders(product_facts(items), products, departments)
