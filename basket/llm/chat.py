@@ -57,35 +57,45 @@ def unescape(text: str) -> str:
     return _ESCAPE.sub(r"\1", text)
 
 
-def _conversations(rows: DataFrame) -> DataFrame:
-    """Per conversation, by turn: ``path`` (the hash of each prefix of turns), ``texts`` (formatted turns),
-    ``lengths`` and ``heads`` (where the loss span begins; null for turns without loss).
+def _turns(rows: DataFrame) -> DataFrame:
+    """One row per turn: ``conv_id, place`` (from 1), ``node`` (hash of the turns up to this one), ``formatted``,
+    ``length``, ``position`` and ``head`` (where the loss span begins in the turn; null without loss).
 
-    One conversation is one row by nature of the result; its turns are the group.
+    A prefix's hash is the sum of its turns' hashes (each of place, role and text), in four words modulo 2**32, so
+    hashes and positions are running sums: time grows with the turns, and a window's rows spill to disk.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    role = F.coalesce(F.col("role").cast("string"), F.lit(""))
-    turn = F.struct(F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-
-    def prefix(done: Column, t: Column) -> Column:
-        before = F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(""))
-        own = F.sha2(F.to_json(F.struct(before.alias("p"), t["role"].alias("r"), t["text"].alias("t"))), 256)
-        return F.concat(done, F.array(F.substring(own, 1, 32)))
-
-    def shaped(t: Column) -> Column:
-        head = F.concat(F.lit("### "), escaped(t["role"], role=True), F.lit(": "))
-        start = F.when(t["role"] == ASSISTANT, F.char_length(head).cast("long"))
-        return F.struct(F.concat(head, escaped(t["text"]), F.lit(_END)).alias("text"), start.alias("head"))
-
-    path = F.aggregate("turns", F.array().cast("array<string>"), prefix)
-    made = grouped.select("conv_id", path.alias("path"), F.transform("turns", shaped).alias("s"))
-    return made.select(
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    role = F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role")
+    inside = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    head = F.concat(F.lit("### "), escaped(F.col("role"), role=True), F.lit(": "))
+    placed = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), role, text).withColumn("place", F.row_number().over(inside))
+    told = F.concat_ws(":", F.col("place").cast("string"), F.char_length("role").cast("string"), "role", "text")
+    shaped = placed.select(
+        "*",
+        F.sha2(told, 256).alias("own"),
+        F.concat(head, escaped(F.col("text")), F.lit(_END)).alias("formatted"),
+        F.when(F.col("role") == ASSISTANT, F.char_length(head).cast("long")).alias("head"),
+    ).withColumn("length", F.char_length("formatted").cast("long"))
+    words = [F.conv(F.substring("own", 8 * i + 1, 8), 16, 10).cast("long") for i in range(4)]
+    sums = [F.sum(w).over(so_far) for w in words]
+    node = F.concat(*[F.lpad(F.hex(F.pmod(x, F.lit(1 << 32))), 8, "0") for x in sums])
+    return shaped.select(
+        "conv_id", "place", node.alias("node"), "formatted", "length", (F.sum("length").over(so_far) - F.col("length")).alias("position"), "head"
+    )
+
+
+def _paths(turns: DataFrame) -> DataFrame:
+    """Per conversation: ``path`` (its nodes in order), ``lengths``, ``positions``, ``heads``; no texts."""
+    turn = F.struct("place", "node", "length", "position", "head")
+    grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("t"))
+    return grouped.select(
         "conv_id",
-        "path",
-        F.col("s.text").alias("texts"),
-        F.transform("s", lambda x: F.char_length(x["text"]).cast("long")).alias("lengths"),
-        F.col("s.head").alias("heads"),
+        F.try_element_at("t", F.lit(-1))["node"].alias("leaf"),
+        F.col("t.node").alias("path"),
+        F.col("t.length").alias("lengths"),
+        F.col("t.position").alias("positions"),
+        F.col("t.head").alias("heads"),
     )
 
 
@@ -114,15 +124,15 @@ def build(rows: DataFrame) -> PrefixTrees:
 
     Null text and null role count as empty.  Rows of one turn number are ordered by role and text (null turn
     first), and repeated rows are turns of their own.  A null conv_id is a conversation like any other.
-    An empty table gives empty trees.  Other columns are ignored.
+    An empty table gives empty trees.  Other columns are ignored.  Time and memory grow with the turns of a conversation,
+    not their square; what is gathered of one is a hash and three numbers a turn, in one row.
     """
-    convs = cut(_conversations(rows))
-    leaf = F.try_element_at("path", F.lit(-1)).alias("leaf")
+    turns = cut(_turns(rows))
     # from here on texts stay where they are; only hashes and lengths move
-    slim = convs.select("conv_id", leaf, "path", "lengths", "heads")
+    slim = cut(_paths(turns))
 
     # distinct conversations, numbered in depth-first order
-    distinct = slim.groupBy("leaf").agg(F.min(F.struct("path", "lengths", "heads")).alias("c")).select("leaf", "c.*")
+    distinct = slim.select("leaf", "path", "lengths", "positions", "heads").dropDuplicates(["leaf"])
     ordered = distinct.repartitionByRange("path").sortWithinPartitions("path")
     numbered = cut(ordered.withColumn("rank", F.monotonically_increasing_id()))
 
@@ -137,9 +147,9 @@ def build(rows: DataFrame) -> PrefixTrees:
             "path",
             (F.size("path") - F.col("n_new")).alias("n_old"),
             "lengths",
+            "positions",
             "heads",
-            F.expr("transform(sequence(0, size(lengths) - 1), i -> aggregate(slice(lengths, 1, i), 0L, (a, x) -> a + x))").alias("positions"),
-            F.expr("aggregate(slice(lengths, size(path) - n_new + 1, n_new), 0L, (a, x) -> a + x)").alias("emits"),
+            F.expr("positions[size(path) - 1] + lengths[size(path) - 1] - positions[size(path) - n_new]").alias("emits"),
         )
     )
 
@@ -175,16 +185,18 @@ def build(rows: DataFrame) -> PrefixTrees:
     shared = sized.filter("n_old > 0").select("rank", F.explode(F.expr("slice(path, 1, n_old)")).alias("node"))
     stretch = F.struct(F.col("offset").alias("start"), (F.col("offset") + F.col("length")).alias("end"))
     before = shared.join(placed.select("node", stretch.alias("s")), "node")
-    before = before.groupBy("rank").agg(F.sort_array(F.collect_list("s")).alias("before"))
+    before = before.groupBy("rank").agg(_merged(F.sort_array(F.collect_list("s"))).alias("before"))
     # the conversation's own earlier nodes lie next to each other: one more stretch up to this node
     ahead = F.coalesce("before", F.array().cast("array<struct<start:bigint,end:bigint>>"))
-    mine = F.struct(F.col("begin").alias("start"), F.col("offset").alias("end"))
-    raw = F.when(F.col("offset") > F.col("begin"), F.concat(ahead, F.array(mine))).otherwise(ahead)
-    seen = placed.join(before, "rank", "left").withColumn("attends", _merged(raw))
+    last = F.try_element_at(ahead, F.lit(-1))
+    touches = F.coalesce(last["end"] == F.col("begin"), F.lit(False))
+    own = F.array(F.struct(F.when(touches, last["start"]).otherwise(F.col("begin")).alias("start"), F.col("offset").alias("end")))
+    kept = F.when(touches, F.slice(ahead, F.lit(1), F.greatest(F.size(ahead) - 1, F.lit(0)))).otherwise(ahead)
+    raw = F.when(F.col("offset") > F.col("begin"), F.concat(kept, own)).otherwise(ahead)
+    seen = placed.join(before, "rank", "left").withColumn("attends", raw)
 
     # each node's text once, combined before the shuffle
-    pairs = convs.select(F.explode(F.arrays_zip("path", "texts")).alias("t"))
-    texts = pairs.groupBy(F.col("t.path").alias("node")).agg(F.first("t.texts").alias("formatted"))
+    texts = turns.groupBy("node").agg(F.first("formatted").alias("formatted"))
     nodes = seen.join(texts, "node").select(
         "tree", "node", "parent", "depth", "formatted", "length", "position", "offset", "loss_start", "loss_end", "attends"
     )
@@ -194,12 +206,15 @@ def build(rows: DataFrame) -> PrefixTrees:
 def _merged(stretches: Column) -> Column:
     """Sorted stretches with touching neighbours joined."""
 
-    def step(done: Column, s: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        joined = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(last["start"].alias("start"), s["end"].alias("end"))))
-        return F.when((F.size(done) > 0) & (last["end"] == s["start"]), joined).otherwise(F.concat(done, F.array(s)))
+    def first(s: Column, i: Column) -> Column:
+        return (i == 0) | (s["start"] != F.get(stretches, i - 1)["end"])
+
+    def final(s: Column, i: Column) -> Column:
+        return (i == F.size(stretches) - 1) | (s["end"] != F.get(stretches, i + 1)["start"])
 
-    return F.aggregate(stretches, F.array().cast("array<struct<start:bigint,end:bigint>>"), step)
+    starts = F.transform(F.filter(stretches, first), lambda s: s["start"])
+    ends = F.transform(F.filter(stretches, final), lambda s: s["end"])
+    return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
 
 
 def _read_back(trees: PrefixTrees) -> DataFrame:

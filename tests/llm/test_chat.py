@@ -85,6 +85,31 @@ def test_result_does_not_depend_on_partitions(spark, trees):
     assert sorted(map(str, trees.nodes.select(key).collect())) == sorted(map(str, other.nodes.select(key).collect()))
 
 
+def long_conversations():
+    """A third of all rows without an id, half of them the start of another conversation, and many short ones."""
+    hot = [(None, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(6000)]
+    other = [(5, *r[1:]) for r in hot[:3000]] + [(5, 3000 + i, "user", "another way") for i in range(10)]
+    return hot + other + [(10 + i // 2, i % 2, "user", f"short {i // 2 % 50}") for i in range(9000)]
+
+
+def test_long_conversations(spark):
+    rows = long_conversations()
+    trees = chat.build(spark.createDataFrame(rows, SCHEMA))
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digests(trees).collect()}
+    assert got == expected(rows)
+    nodes = trees.nodes
+    assert nodes.count() == len({tuple(t[:i + 1]) for t in turns_of(rows).values() if len(t) == 2 for i in range(2)}) + 6000 + 10
+    # what a node of the second conversation attends to lies in the tree before it, all of its ancestors' tokens
+    ahead = F.aggregate("attends", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    assert nodes.filter(ahead != F.col("position")).count() == 0
+
+
+def test_node_is_a_prefix_not_a_set_of_turns(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "user", "b"), (2, 0, "user", "b"), (2, 1, "user", "a"), (3, 0, "user:a", ""), (4, 0, "user", "a:")]
+    trees = chat.build(spark.createDataFrame(rows, SCHEMA))
+    assert trees.nodes.count() == 6 and trees.members.select("leaf").distinct().count() == 4
+
+
 def test_empty_and_extra_columns(spark):
     rows = spark.createDataFrame(ROWS, SCHEMA)
     assert chat.digests(chat.build(rows.limit(0))).collect() == []
@@ -93,8 +118,6 @@ def test_empty_and_extra_columns(spark):
 
 
 def python_escape(text, role=False):
-    for c in ("\\", "###", "</turn>") if False else ():
-        text = text.replace(c, "\\" + c)
     import re
 
     text = re.sub(r"(\\|###|</turn>)", r"\\\1", text)
