@@ -276,7 +276,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(text_crc(doc_id) % 3 == 1, F.lit(False))
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.3) -> DataFrame:
-    """The documents with a language: not ``und``, and a score of ``min_score`` or more; columns as in ``docs``."""
+def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.3, sure: float = 0.9) -> DataFrame:
+    """The documents with a language: not ``und``, and a score of ``min_score`` or more; columns as in ``docs``.
+
+    A ``lang`` column gets the language found where it is null, or where it says another and the score is ``sure`` or more;
+    without that column nothing is written.
+    """
     good = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)
-    return filtered(docs, {"lang_pred", "score"}, lambda d: identify(d, model).filter(good))
+
+    def identified(d: DataFrame) -> DataFrame:
+        found = identify(d, model).filter(good)
+        if "lang" not in d.columns:
+            return found
+        kept = F.col("lang").isNotNull() & ((F.col("lang") == F.col("lang_pred")) | (F.col("score") < sure))
+        return found.withColumn("lang", F.when(kept, F.col("lang")).otherwise(F.col("lang_pred")))
+
+    return filtered(docs, {"lang_pred", "score"}, identified)

@@ -74,6 +74,20 @@ def test_odd_rows(spark, odd, none):
     assert {r.lang_pred for r in langid.identify(odd, untaught).collect()} == {"und"}
 
 
+def test_language_is_written_where_missing_or_wrong(spark):
+    en, fr = "the cat sat on the mat and then it went away ", "le chat est sur la table et puis il est parti "
+    model = langid.Model({"en": en * 20, "fr": fr * 20})
+    rows = [(1, en * 9, None), (2, en * 9, "fr"), (3, fr * 9, "fr"), (4, en * 9, "en"), (5, "12", None), (6, None, "fr"), (7, "qq", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sure = {r.doc_id: r.lang for r in langid.keep_identified(docs, model).collect()}
+    assert {d: sure[d] for d in (1, 2, 3, 4)} == {1: "en", 2: "en", 3: "fr", 4: "en"} and not {5, 6} & set(sure)
+    assert sure.get(7, "fr") == "fr"  # too little to contradict
+    careful = {r.doc_id: r.lang for r in langid.keep_identified(docs, model, sure=1.1).collect()}
+    assert careful[1] == "en" and careful[2] == "fr"
+    plain = langid.keep_identified(docs.drop("lang"), model)
+    assert plain.columns == ["doc_id", "text"] and {r.doc_id for r in plain.collect()} == set(sure)
+
+
 def test_sample_is_bounded_and_counts_copies_once(spark, documents):
     sample = langid.training_sample(documents.unionByName(documents), rows=5, chars=3000).collect()
     per = {}

@@ -31,6 +31,9 @@ def test_stages(spark, tmp_path):
     langs, scores = model.predict([r.text for r in before.values()])
     good = {d for d, lang, s in zip(before, langs, scores, strict=True) if lang != "und" and s >= 0.3}
     assert set(after) == good
+    for (d, r), lang, s in zip(before.items(), langs, scores, strict=True):
+        if d in good:
+            assert after[d].lang == (lang if r.lang is None or s >= 0.9 else r.lang)
 
     before, after = rows[1]
     assert set(after) == {d for d, r in before.items() if failures(r.text) == 0}
