@@ -213,7 +213,7 @@ def find_hits(
         rows = dealt.filter(F.col("part") == part).select("item", "n", "window").toArrow()
         shared = spark.sparkContext.broadcast(WindowSet(rows))
         last = clean and part == parts - 1
-        out = extend(out if part == 0 else cut(out), _scan(shared, last), HITS + CLEAN * last)
+        out = extend(out if part == 0 else cut(out), _scan(shared, last), HITS + CLEAN * last, limit=1 << 20)
     n_hit = F.expr("aggregate(spans, 0L, (a, s) -> a + s.last - s.first + 1)")
     return out.withColumn("n_hit", n_hit)
 
