@@ -111,3 +111,61 @@ def test_hot_orders_stay_out_of_the_buckets(spark, tmp_path):
         assert catalog.run(back, key).collect() == catalog.run(t, key).collect()
     a, b = (G.user_features(x.orders, x.item_parts, x.products) for x in (t, back))
     assert a.exceptAll(b).count() == 0 and a.count() == b.count()
+
+
+def test_lines_move_once_to_their_pairs(spark, skew_dir, tmp_path):
+    """The first order number needs one shuffle of the lines and no join with a table of pairs."""
+    from basket.sources import star as ST
+
+    part = ST.read_star(spark, skew_dir, "part")
+    orders = ST.star_orders(ST.read_star(spark, skew_dir, "orders"))
+    lines = ST.star_lines(ST.read_star(spark, skew_dir, "lineitem"), part, orders, ST.star_products(part))
+    lines.write.parquet(str(tmp_path / "lines"))
+    lines = spark.read.parquet(str(tmp_path / "lines"))
+    ST.busy_pair_facts(lines).write.parquet(str(tmp_path / "pairs"))
+    items = ST.mark_reorders(lines, stats=spark.read.parquet(str(tmp_path / "pairs")), partitions=5)
+    items.collect()
+    plan = items._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning(") == 1 and "SortMergeJoin" not in plan and "HashAggregate" not in plan
+
+
+def test_only_busy_users_are_counted_by_pair(spark):
+    """Hot pairs are those of users with more lines than the threshold; lines without a user belong to no pair."""
+    from basket.sources import star as ST
+
+    rows = [(o, 1, 7, o, 1, "prior") for o in range(1, 9)] + [(o, 1, 8, o, 2, "prior") for o in range(2, 4)]
+    rows += [(20 + o, 2, 7, o, 1, "train") for o in range(1, 4)] + [(30, None, 7, 1, 1, "prior")]
+    lines = spark.createDataFrame(
+        rows, "order_id long, user_id long, product_id long, order_number int, add_to_cart_order int, eval_set string"
+    )
+    assert sorted(map(tuple, ST.busy_pair_facts(lines.dropna(), 5).collect())) == [(1, 7, 1, 8), (1, 8, 2, 2)]
+    # A tie in the first number, and an order that is there twice.
+    lines = lines.union(lines.filter("order_id in (1, 22)"))
+    want = sorted([(o, 7, int(o > 1)) for o in [1, *range(1, 9)]] + [(2, 8, 0), (3, 8, 1)] + [(21, 7, 0), (22, 7, 1), (22, 7, 1), (23, 7, 1)])
+    for hot in (1, 5, 100):
+        for n in (None, 3):
+            got = ST.mark_reorders(lines, hot_pair_rows=hot, partitions=n).select("order_id", "product_id", "reordered")
+            assert sorted(map(tuple, got.collect())) == want
+
+
+def test_items_are_computed_for_the_write_alone(spark, tmp_path):
+    """With the orders of the items at hand, saving computes each item once (twice before), and hot orders stay apart."""
+    from pyspark.sql import functions as F
+
+    from basket.sources.tables import Tables, load_tables, save_tables
+    from tests.mini import item, make, orders_row
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def seen(_):
+        made.add(1)
+        return True
+
+    t = make(spark, [orders_row(o, 1, "prior", o, 1) for o in (1, 2)], [item(1, 10, 0, i) for i in range(30)] + [item(2, 20, 0, 1)], [])
+    watched = Tables(t.orders, t.order_items.filter(seen("order_id")), t.products, t.aisles, t.departments)
+    save_tables(watched, str(tmp_path / "b"), buckets=2, item_orders=t.order_items.select("order_id"))
+    assert made.value == 31
+    save_tables(watched, str(tmp_path / "h"), buckets=2, hot_order_rows=10, item_orders=t.order_items.select("order_id"))
+    back = load_tables(spark, str(tmp_path / "h"))
+    assert [p.count() for p in back.item_parts] == [1, 30]
