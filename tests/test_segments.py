@@ -221,3 +221,21 @@ def test_caps_by_prefix_counts(spark, monkeypatch):
     assert sampling.hash_cap(keys.limit(0), "user_id", 5, 42).collect() == []
     kept = sampling.sample_predicate(keys, "user_id", 1.0, 42, max_keys=7, step="x")
     assert kept is not None and keys.filter(kept).select("user_id").distinct().count() == 7
+
+
+def test_given_centres_compute_the_features_once(spark, feats, monkeypatch):
+    """Lloyd's rounds, the numbering and the labels of ``kmeans_from_centres`` read stored features."""
+    import __spark_entry__ as E
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def seen(_):
+        made.add(1)
+        return True
+
+    active = G.training_rows(feats)
+    monkeypatch.setattr(E, "_active", lambda spark, d: active.filter(seen("user_id")))
+    assert len(E._active(spark, "").collect()) > 0
+    once = made.value
+    assert E._from_centres(spark, "").count() == active.count() and made.value == 2 * once > 0
