@@ -46,6 +46,8 @@ N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.999, 256
 BLOCK, BLOCK_GRAMS = 512, 1 << 20
 #: A set of candidates up to this many rows (ids of 8 bytes) is broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Steps along broadcast pointers in a round of :func:`components`; they cost no shuffle.
+JUMPS = 6
 
 
 def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -153,27 +155,37 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, root`` (the least node of its connected component) for every node of the edges.
 
-    Large-star and small-star rounds: each round joins and groups the edges by node and is cut off with a checkpoint,
-    and the number of rounds grows with the logarithm of the longest path.  Nodes reach neither driver nor a single task.
+    Each round points a node at its least lower neighbour, follows these pointers some steps, and links the nodes that an edge's
+    ends lead to; it is cut off with a checkpoint.  The rounds end when every pointer leads to a root and no edge joins two of
+    them; their number grows with the logarithm of the longest path.  Pointers are broadcast up to ``BROADCAST_ROWS`` edges
+    (no shuffle on a node with very many neighbours), and joined by shuffle beyond; nodes never reach a single task.
     """
     pairs = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
-    before = None
-    while True:
-        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # Stored, so that the join is between plain shuffles: adaptive execution splits those where one
-        # node has very many neighbours above it.  (Lower neighbours are few after this step.)
-        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
-        # large star: neighbours above a node go to the node's least neighbour
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
-        # small star: a node and its lower neighbours go to the least of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        pairs = cut(small.filter("u <> v").distinct())
-        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
-        if now == before:
-            break
-        before = now
+    n, unsettled = pairs.count(), True
+    while n and unsettled:
+        few = n <= BROADCAST_ROWS
+        low = pairs.groupBy("u").agg(F.min("v").alias("m"))
+        # Stored, joins are between plain shuffles: adaptive execution splits those where very many nodes meet one.
+        low = low if few else cut(low)
+
+        def pointed(rows: DataFrame, at: str, pointers: DataFrame, names: list[str], how: str = "left", few: bool = few) -> DataFrame:
+            to = pointers.toDF(*names)
+            return rows.join(F.broadcast(to) if few else to, rows[at] == to[names[0]], how)
+
+        up = low.select("u", "m", F.col("m").alias("before"))
+        for _ in range(JUMPS if few else 1):
+            up = pointed(up, "m", low, ["_u", "_m"]).select("u", F.coalesce("_m", "m").alias("m"), F.col("m").alias("before"))
+        # A node without a lower neighbour is a root; a pointer that stayed in its last step leads to one.
+        up = up.select("u", "m", (F.col("m") != F.col("before")).alias("moves"))
+        up = up if few else cut(up)
+        ends = pointed(pointed(pairs, "u", up, ["_u", "a", "_a"], "inner"), "v", up, ["_v", "_m", "_b"])
+        ends = ends.select("u", "a", F.coalesce("_m", "v").alias("b"), (F.col("_a") | F.coalesce("_b", F.lit(False))).alias("moves"))
+        own = F.struct("u", F.col("a").alias("v"), F.col("moves").alias("open"))
+        across = F.struct(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"), F.lit(True).alias("open"))
+        found = ends.select(F.explode(F.array(own, across)).alias("e")).select("e.*").filter("u <> v")
+        found = cut(found.groupBy("u", "v").agg(F.max("open").alias("open")))
+        n, unsettled = found.agg(F.count("*"), F.max("open")).head()
+        pairs = found.select("u", "v")
     roots = pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
@@ -379,19 +391,16 @@ def _similar(
     )
 
     # 4. classes of verified links: finished where the component was one block
-    links = found.groupBy("rid").agg(F.sum("links").alias("n_links"))
+    facts = found.groupBy("rid").agg(F.sum("links").alias("n_links"), F.min(F.when(F.col("whole"), F.col("root"))).alias("whole_root"))
     joined = found.filter("NOT whole").filter("rid <> root")
-    merged = components(joined, "rid", "root").select(F.col("node").alias("rid"), "root")
-    roots = found.filter("whole").select("rid", "root").unionByName(merged)
+    merged = components(joined, "rid", "root").withColumnRenamed("root", "merged_root")
     place = F.struct(F.col("copy_id").isNull(), "copy_id", "k1", "k2")
     own, least, lead = ([place.alias("place")], [F.min("place").alias("first")], [(F.col("place") == F.col("first")).alias("lead")]) if by_row else ([], [], [])
-    of_rep = classes.select("rep", "copy_id", *own)
-    rep_class = of_rep.join(roots, F.col("rep") == F.col("rid"), "left").select(*of_rep.columns, F.coalesce("root", "rep").alias("root"))
-    rep_class = cut(rep_class)
+    rep_class = classes.join(facts, F.col("rep") == F.col("rid"), "left").join(merged, F.col("rep") == F.col("node"), "left")
+    root, n_links = F.coalesce("whole_root", "merged_root", "rep").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    rep_class = cut(rep_class.select("k1", "k2", "copy_id", "n_copies", n_links, root, *own))
     named = cut(rep_class.groupBy("root").agg(F.min("copy_id").alias("class_id"), *least))
-    facts = rep_class.join(named, "root").join(links.withColumnRenamed("rid", "rep"), "rep", "left")
-    facts = facts.select("rep", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), *lead)
-    by_key = cut(classes.join(facts, "rep").select("k1", "k2", "copy_id", "n_copies", "class_id", "n_links", *(["lead"] if by_row else [])))
+    by_key = cut(rep_class.join(named, "root").select("k1", "k2", "copy_id", "n_copies", "class_id", "n_links", *lead))
     kept = [F.col("k1"), F.col("k2"), (F.col("lead") & F.col("doc_id").eqNullSafe(F.col("copy_id"))).alias("kept")] if by_row else []
     with_words = worded.join(by_key, ["k1", "k2"]).select("doc_id", "class_id", "copy_id", "n_copies", "n_links", *kept)
     alone = signed_docs.filter("n_words = 0").select(

@@ -195,3 +195,27 @@ def test_components_against_union_find(spark):
     got = {r.node: r.root for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root}
     assert ngram_join.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("bound", [ngram_join.BROADCAST_ROWS, 0])
+def test_components_of_paths_and_stars(spark, monkeypatch, bound):
+    """Long paths (numbered in order and at random), a node with many neighbours, and repeated edges; whatever the bound."""
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", bound)
+    rnd = random.Random(5)
+    mixed = rnd.sample(range(1000, 1200), 200)
+    edges = [(i, i + 1) for i in range(100)] + list(zip(mixed, mixed[1:])) + [(5000, i) for i in range(4000, 4300)] * 2 + [(7, 7)]
+    got = {r.node: r.root for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {i: 0 for i in range(101)} | {i: 1000 for i in range(1000, 1200)} | {i: 4000 for i in [*range(4000, 4300), 5000]}
+    assert got == want
+
+
+def test_components_stop_when_settled(spark, monkeypatch):
+    """A star takes one round, with one checkpoint beside that of its edges; a path of 200 nodes a few."""
+    cuts = []
+    plain = ngram_join.cut
+    monkeypatch.setattr(ngram_join, "cut", lambda df: cuts.append(1) or plain(df))
+    for edges, most in (([(0, i) for i in range(1, 50)], 2), ([(i, i + 1) for i in range(200)], 5)):
+        cuts.clear()
+        got = ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()
+        assert {r.root for r in got} == {0} and len(got) == len(edges) + 1
+        assert len(cuts) <= most
